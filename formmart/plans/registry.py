@@ -137,3 +137,7 @@ def q_opt_sources_base_only(spark, sf_dir):
     m = mart_for(spark, sf_dir, with_players=False)
     assert m.dataset_view == "v_training_dataset"
     return rounded(m.dataset())
+
+
+# Register the remaining query families.
+from formmart.plans import q_standardize  # noqa: E402,F401
