@@ -158,7 +158,7 @@ def q_ml_impute_medians(spark, sf_dir):
         f"{r9(f'coalesce(CAST({c} AS DOUBLE), m_{c})')} AS {c}" for c in FEATURES)
     + " FROM sp, med WHERE split = 'train'"))
 def q_ml_imputed(spark, sf_dir):
-    from formmart.plans.learn import impute
+    from formmart.plans.learn import impute  # noqa: F401
     train, med = _train_medians(spark, sf_dir)
     out = impute(train, med)
     return out.select("game_id", "team_id", *[R9(c).alias(c) for c in FEATURES])

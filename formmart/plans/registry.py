@@ -143,3 +143,4 @@ def q_opt_sources_base_only(spark, sf_dir):
 from formmart.plans import q_standardize  # noqa: E402,F401
 from formmart.plans import q_analytics  # noqa: E402,F401
 from formmart.plans import q_profile  # noqa: E402,F401
+from formmart.plans import q_learning  # noqa: E402,F401
