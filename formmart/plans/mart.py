@@ -72,6 +72,10 @@ class Mart:
                 self._cache[key] = materialize(df, key) if (persist and self._mat) else df
             return self._cache[key]
 
+    def memo(self, key: str, build) -> DataFrame:
+        """Build once per mart (e.g. plans whose construction runs small jobs)."""
+        return self._memo(key, build)
+
     # -- base views ---------------------------------------------------------
     def v_games(self) -> DataFrame:
         return V.v_games(self.tables.games)

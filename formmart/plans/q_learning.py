@@ -21,7 +21,7 @@ def trained(spark, sf_dir):
     m = mart_for(spark, sf_dir)
     with _LOCK:
         if id(m) not in _FITS:
-            split = time_split(m.dataset())
+            split = m.memo("time_split", lambda: time_split(m.dataset()))
             res = L.fit_models(split, m.dataset_view)
             base = scratch_path(spark, "artifacts")
             L.save_bundle(res, f"{base}/bundle")

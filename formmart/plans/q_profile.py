@@ -123,7 +123,9 @@ SPLIT_CTE = (f", rk AS (SELECT *, row_number() OVER (ORDER BY game_date, game_id
 
 
 def _split(spark, sf_dir):
-    return time_split(_ds(spark, sf_dir))
+    """The split of the mart's dataset; its cut keys are computed once per mart."""
+    m = mart_for(spark, sf_dir)
+    return m.memo("time_split", lambda: time_split(m.dataset()))
 
 
 @register("time_split", with_views(SPLIT_CTE + " SELECT game_id, team_id, game_date, y_win, split FROM sp"))

@@ -10,7 +10,7 @@ from formmart.operators import standardize as STD
 from formmart.plans.fixture_mart import mart_for
 from formmart.plans.mart import write_table
 from formmart.plans.oracle_sql import with_views
-from formmart.plans.registry import register
+from formmart.plans.registry import _ENR_COLS, _view_sql, register
 from formmart.session import scratch_path
 from formmart.sources import csv as CSV
 from formmart.sources import raw_render as R
@@ -192,7 +192,7 @@ def q_fn_minutes(spark, sf_dir):
     return pg.select("player_id", "game_id", P.parse_minutes(txt).alias("minutes"))
 
 
-@register("csv_to_dataset")
+@register("csv_to_dataset", _view_sql("v_training_dataset_enriched", _ENR_COLS))
 def q_csv_to_dataset(spark, sf_dir):
     """Whole build from raw CSV text files: four exports → standard tables → enriched dataset."""
     from formmart.plans.mart import Mart

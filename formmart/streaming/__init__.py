@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The source project is batch only — no stream source, watermark, event-time
+window or state anywhere — so no streaming operator is offered here.  The
+feature views are plain DataFrame functions and can be applied inside a
+``foreachBatch`` sink by a caller that needs incremental refreshes.
+"""
