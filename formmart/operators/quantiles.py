@@ -32,7 +32,17 @@ def order_statistics(df: DataFrame, cols: Sequence[str], ranks: dict[str, set[in
     If ``ranks`` is None, the ranks needed for ``probs`` (linear interpolation)
     are requested.
     """
-    long = _long(df, cols)
+    from pyspark import StorageLevel
+    # several small passes read the same long table: keep it (spills to disk,
+    # recomputed from lineage if an executor is lost)
+    long = _long(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _order_statistics(df, long, cols, ranks, probs, buckets)
+    finally:
+        long.unpersist()
+
+
+def _order_statistics(df, long, cols, ranks, probs, buckets):
     counts = {r["k"]: r["count"] for r in long.groupBy("k").count().collect()}
     if ranks is None:
         ranks = {}

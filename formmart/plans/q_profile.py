@@ -250,13 +250,10 @@ def q_matchup_compare(spark, sf_dir):
     + ") SELECT gl.indicator, gl.explanation, nn.non_null_rows FROM gl JOIN nn USING (indicator)"))
 def q_src_glossary(spark, sf_dir):
     """Glossary JSON file (written from the fixed values) joined with each indicator's coverage."""
-    from formmart.session import local_path
-    import os
-    path = scratch_path(spark, "glossary") + ".json"
-    lp = local_path(path)
-    os.makedirs(os.path.dirname(lp), exist_ok=True)
-    with open(lp, "w", encoding="utf-8") as fh:
-        json.dump(S.GLOSSARY, fh, ensure_ascii=False, indent=2)
+    path = scratch_path(spark, "glossary")
+    # written through Spark, so it lands on whatever file system the shared folder is on
+    (spark.createDataFrame([(json.dumps(S.GLOSSARY, ensure_ascii=False),)], "value string")
+          .coalesce(1).write.mode("overwrite").text(path))
     gl = CMP.read_glossary(spark, path)
     ds = _ds(spark, sf_dir)
     cols = [c for c in sorted(S.GLOSSARY) if c in ds.columns]
