@@ -42,10 +42,14 @@ def strict_long(c, what: str = "id") -> Column:
         F.raise_error(F.concat(F.lit(f"invalid {what}: "), _c(c).cast("string"))).cast("bigint"))
 
 
-def parse_date(c, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First format that parses wins; month names match case-insensitively."""
+def parse_date(c, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
+    """First (format, shape) whose shape matches and whose format parses wins.
+
+    Month names match case-insensitively.  The shape check keeps formats from
+    being attempted on text they cannot read.
+    """
     t = blank_to_null(c)
-    tries = [F.try_to_timestamp(t, F.lit(f)) for f in formats]
+    tries = [F.when(t.rlike(shape), F.try_to_timestamp(t, F.lit(fmt))) for fmt, shape in formats]
     return F.to_date(F.coalesce(*tries))
 
 

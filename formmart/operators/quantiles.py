@@ -30,20 +30,22 @@ def order_statistics(df: DataFrame, cols: Sequence[str], ranks: dict[str, set[in
     """Return ({col: n_non_null}, {(col, rank): value}) for the requested 0-based ranks.
 
     If ``ranks`` is None, the ranks needed for ``probs`` (linear interpolation)
-    are requested.
+    are requested.  All passes after the first run on the distinct
+    (column, value, count) table, which is far smaller than the input whenever
+    values repeat.
     """
     from pyspark import StorageLevel
-    # several small passes read the same long table: keep it (spills to disk,
-    # recomputed from lineage if an executor is lost)
-    long = _long(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
+    # map-side combined: one row per distinct value of each column
+    dist = (_long(df, cols).groupBy("k", "v").agg(F.count(F.lit(1)).alias("cnt"))
+            .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        return _order_statistics(df, long, cols, ranks, probs, buckets)
+        return _order_statistics(df, dist, ranks, probs, buckets)
     finally:
-        long.unpersist()
+        dist.unpersist()
 
 
-def _order_statistics(df, long, cols, ranks, probs, buckets):
-    counts = {r["k"]: r["count"] for r in long.groupBy("k").count().collect()}
+def _order_statistics(df, dist, ranks, probs, buckets):
+    counts = {r["k"]: r["n"] for r in dist.groupBy("k").agg(F.sum("cnt").alias("n")).collect()}
     if ranks is None:
         ranks = {}
         for c, n in counts.items():
@@ -56,37 +58,34 @@ def _order_statistics(df, long, cols, ranks, probs, buckets):
     if not ranks:
         return counts, {}
     qs = [i / buckets for i in range(1, buckets)]
-    edges = (long.where(F.col("k").isin(list(ranks)))
+    # edges over distinct values: buckets hold similar numbers of distinct values,
+    # which bounds the rows any one window task below has to order
+    edges = (dist.where(F.col("k").isin(list(ranks)))
                  .groupBy("k").agg(F.percentile_approx("v", qs, 10 * buckets).alias("edges")))
     # one row per requested column with at most `buckets` edges: bounded, broadcast
-    bucketed = (long.join(F.broadcast(edges), "k")
+    bucketed = (dist.join(F.broadcast(edges), "k")
                     .withColumn("b", F.expr("size(filter(edges, e -> e < v))")).drop("edges"))
-    per_bucket = bucketed.groupBy("k", "b").count().collect()
-    start: dict[tuple, int] = {}
+    per_bucket = bucketed.groupBy("k", "b").agg(F.sum("cnt").alias("n")).collect()
     by_col: dict[str, list] = {}
     for r in per_bucket:
-        by_col.setdefault(r["k"], []).append((r["b"], r["count"]))
+        by_col.setdefault(r["k"], []).append((r["b"], r["n"]))
+    wanted = []  # (col, bucket, local rank, global rank)
     for c, lst in by_col.items():
         acc = 0
         for b, n in sorted(lst):
-            start[(c, b)] = (acc, n)
+            for r in ranks.get(c, ()):
+                if acc <= r < acc + n:
+                    wanted.append((c, b, r - acc, r))
             acc += n
-    wanted = []  # (col, bucket, local rank, global rank)
-    for c, rs in ranks.items():
-        for r in rs:
-            for (cc, b), (s, n) in start.items():
-                if cc == c and s <= r < s + n:
-                    wanted.append((c, b, r - s, r))
     want_df = df.sparkSession.createDataFrame(wanted, "k string, b int, local long, rnk long")
     keys = want_df.select("k", "b").distinct()
     w = Window.partitionBy("k", "b").orderBy("v")
-    dist = (bucketed.join(F.broadcast(keys), ["k", "b"])
-                    .groupBy("k", "b", "v").count()
-                    .withColumn("hi", F.sum("count").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-                    .withColumn("lo", F.col("hi") - F.col("count")))
-    hits = (dist.join(F.broadcast(want_df), ["k", "b"])
-                .where((F.col("local") >= F.col("lo")) & (F.col("local") < F.col("hi")))
-                .select("k", "rnk", "v").collect())
+    run = (bucketed.join(F.broadcast(keys), ["k", "b"])
+                   .withColumn("hi", F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+                   .withColumn("lo", F.col("hi") - F.col("cnt")))
+    hits = (run.join(F.broadcast(want_df), ["k", "b"])
+               .where((F.col("local") >= F.col("lo")) & (F.col("local") < F.col("hi")))
+               .select("k", "rnk", "v").collect())
     return counts, {(r["k"], r["rnk"]): r["v"] for r in hits}
 
 

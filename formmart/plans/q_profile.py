@@ -138,10 +138,17 @@ def q_split_counts(spark, sf_dir):
     return _split(spark, sf_dir).groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
 
 
+_MEDIANS: dict = {}
+
+
 def _train_medians(spark, sf_dir):
+    """Train rows and their exact feature medians (computed once per mart)."""
+    m = mart_for(spark, sf_dir)
     train = _split(spark, sf_dir).where(F.col("split") == "train")
     train = train.withColumn("is_home", F.col("is_home").cast("double"))
-    return train, exact_medians(train, FEATURES)
+    if id(m) not in _MEDIANS:
+        _MEDIANS[id(m)] = exact_medians(train, FEATURES)
+    return train, _MEDIANS[id(m)]
 
 
 @register("ml_impute_medians", with_views(

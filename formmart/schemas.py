@@ -107,17 +107,18 @@ GLOSSARY = {
     "opp_star_pm_avg_l5_avg": "Same as star_pm_avg_l5_avg but for the opponent.",
 }
 
-# Date formats accepted by the tolerant date parser, tried in order.
+# Date formats accepted by the tolerant date parser, tried in order, each only
+# on text of its shape (so a failed attempt never costs a parse error).
 DATE_FORMATS = (
-    "yyyy-MM-dd",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "MMM dd, yyyy",
-    "MMM d, yyyy",
-    "MM/dd/yyyy",
-    "M/d/yyyy",
-    "yyyy/MM/dd",
-    "yyyyMMdd",
+    ("yyyy-MM-dd", r"^\d{4}-\d{1,2}-\d{1,2}$"),
+    ("yyyy-MM-dd HH:mm:ss", r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}$"),
+    ("yyyy-MM-dd'T'HH:mm:ss", r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{2}:\d{2}$"),
+    ("MMM dd, yyyy", r"^[A-Za-z]{3} \d{2}, \d{4}$"),
+    ("MMM d, yyyy", r"^[A-Za-z]{3} \d{1,2}, \d{4}$"),
+    ("MM/dd/yyyy", r"^\d{2}/\d{2}/\d{4}$"),
+    ("M/d/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$"),
+    ("yyyy/MM/dd", r"^\d{4}/\d{1,2}/\d{1,2}$"),
+    ("yyyyMMdd", r"^\d{8}$"),
 )
 
 # ---------------------------------------------------------------------------
