@@ -3,9 +3,10 @@
 Two sub-plans are used twice downstream and would otherwise be planned twice
 (the optimizer prunes and filters each use differently, so no exchange is
 reused): the team form table (both sides of the opponent join) and the
-team star table (own and opponent enrichment).  Both are written once as
-parquet under the shared working folder, which also cuts their lineage so a
-lost executor only re-reads files.
+team star table (own and opponent enrichment).  The training datasets (base
+and enriched) feed every profiling, split, metric, comparison and model step.
+All four are written once as parquet under the shared working folder, which
+also cuts their lineage so a lost executor only re-reads files.
 """
 
 from __future__ import annotations
@@ -97,7 +98,7 @@ class Mart:
                                                            chunk_rows=self.chunk_rows), persist=True)
 
     def training_dataset(self) -> DataFrame:
-        return V.opponent_join(self.team_form())
+        return self._memo("training_dataset", lambda: V.opponent_join(self.team_form()), persist=True)
 
     def player_form(self) -> DataFrame:
         self._need_players()
@@ -109,7 +110,8 @@ class Mart:
         return self._memo("team_star", lambda: V.team_star_features(self.player_form()), persist=True)
 
     def training_dataset_enriched(self) -> DataFrame:
-        return V.enrich(self.training_dataset(), self.team_star_features())
+        return self._memo("training_dataset_enriched",
+                          lambda: V.enrich(self.training_dataset(), self.team_star_features()), persist=True)
 
     def training_dataset_named(self) -> DataFrame:
         return V.with_names(self.training_dataset(), self.tables.teams)
