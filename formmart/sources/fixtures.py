@@ -36,18 +36,17 @@ def fixture_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.lit(None).cast("int").alias("year_founded")))
 
 
-def _game_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lineitems of every order, clustered by order key (the one big shuffle)."""
-    li = driver_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
-    return li.repartition("l_orderkey")
-
-
 def fixture_games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Team-game rows with a bigint ``game_id`` (the order key)."""
-    li = _game_lines(spark, sf_dir)
-    # Box score per (order, supplier).  The input is already clustered by the
-    # order key, so this aggregate and the window below add no shuffle.
+    """Team-game rows with a bigint ``game_id`` (the order key).
+
+    Skew-safe plan: the box score per (order, supplier) is aggregated map-side
+    before its shuffle; the per-order sides (smallest/largest supplier and
+    their points) are a second, partial aggregate of that; and the box rows of
+    the two sides are picked by an equi-join on the composite (order, supplier)
+    key, so no task ever receives all rows of one order.
+    """
+    li = driver_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
     box = li.groupBy("l_orderkey", "l_suppkey").agg(
         F.sum("l_quantity").alias("pts"),
         F.sum("l_linenumber").cast("double").alias("reb"),
@@ -57,34 +56,39 @@ def fixture_games(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("l_discount").alias("fg3_pct"),
         F.max("l_tax").alias("ft_pct"),
     )
-    w = Window.partitionBy("l_orderkey")
-    sided = box.select(
-        "*",
-        F.min("l_suppkey").over(w).alias("home_id"),
-        F.max("l_suppkey").over(w).alias("away_id"),
-        F.min_by("pts", "l_suppkey").over(w).alias("home_pts"),
-        F.max_by("pts", "l_suppkey").over(w).alias("away_pts"),
-    ).where((F.col("home_id") < F.col("away_id"))
-            & ((F.col("l_suppkey") == F.col("home_id")) | (F.col("l_suppkey") == F.col("away_id"))))
-    is_home = F.col("l_suppkey") == F.col("home_id")
-    opp_pts = F.when(is_home, F.col("away_pts")).otherwise(F.col("home_pts"))
+    sides = (box.groupBy("l_orderkey")
+                .agg(F.min("l_suppkey").alias("home_id"), F.max("l_suppkey").alias("away_id"),
+                     F.min_by("pts", "l_suppkey").alias("home_pts"), F.max_by("pts", "l_suppkey").alias("away_pts"))
+                .where(F.col("home_id") < F.col("away_id")))
     orders = driver_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     d = F.col("o_orderdate")
-    return (sided.join(orders, sided.l_orderkey == orders.o_orderkey)
-            .select(
-                F.col("l_orderkey").alias("game_id"),
-                (F.year(d) - F.when(F.month(d) < 10, 1).otherwise(0)).cast("bigint").alias("season"),
-                F.to_date(d).alias("game_date"),
-                F.col("l_suppkey").alias("team_id"),
-                F.when(is_home, F.col("away_id")).otherwise(F.col("home_id")).alias("opponent_team_id"),
-                is_home.alias("is_home"),
-                F.when((F.col("pts") > opp_pts) | ((F.col("pts") == opp_pts) & is_home), "W")
-                 .otherwise("L").alias("wl"),
-                "pts", "fg_pct", "fg3_pct", "ft_pct", "reb", "ast", "tov"))
+    dated = (sides.join(orders, sides.l_orderkey == orders.o_orderkey)
+                  .select("l_orderkey", "home_id", "away_id", "home_pts", "away_pts",
+                          (F.year(d) - F.when(F.month(d) < 10, 1).otherwise(0)).cast("bigint").alias("season"),
+                          F.to_date(d).alias("game_date")))
+    # two rows per game, (order, own supplier) → opponent and opponent's points
+    both = F.explode(F.array(
+        F.struct(F.col("home_id").alias("l_suppkey"), F.col("away_id").alias("opponent_team_id"),
+                 F.lit(True).alias("is_home"), F.col("away_pts").alias("opp_pts")),
+        F.struct(F.col("away_id").alias("l_suppkey"), F.col("home_id").alias("opponent_team_id"),
+                 F.lit(False).alias("is_home"), F.col("home_pts").alias("opp_pts"))))
+    side_rows = dated.select("l_orderkey", "season", "game_date", both.alias("x")).select(
+        "l_orderkey", "season", "game_date", "x.*")
+    rows = box.join(side_rows, ["l_orderkey", "l_suppkey"])
+    win = (F.col("pts") > F.col("opp_pts")) | ((F.col("pts") == F.col("opp_pts")) & F.col("is_home"))
+    return rows.select(
+        F.col("l_orderkey").alias("game_id"), "season", "game_date",
+        F.col("l_suppkey").alias("team_id"), "opponent_team_id", "is_home",
+        F.when(win, "W").otherwise("L").alias("wl"),
+        "pts", "fg_pct", "fg3_pct", "ft_pct", "reb", "ast", "tov")
 
 
 def fixture_player_games(spark: SparkSession, sf_dir: str, games: DataFrame) -> DataFrame:
-    """Player-game rows; ``games`` is the (materialized) bigint-keyed game table."""
+    """Player-game rows; ``games`` is the (materialized) bigint-keyed game table.
+
+    A hot order is split by AQE's skew-join handling (the join side per
+    (order, side) key is a single game row).
+    """
     li = driver_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
     g = games.select("game_id", "season", "game_date", "team_id", "opponent_team_id", "is_home", "wl")
