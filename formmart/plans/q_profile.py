@@ -242,8 +242,8 @@ _IND = list(S.COMPARE_DEFAULTS) + list(S.STAR_FEATURES)
         for i, c in enumerate(_IND)) + ") "
     "SELECT game_id, team_id, opponent_team_id, l.indicator, coalesce(gl.explanation, '') AS explanation, "
     + r9("team_value") + " AS team_value, " + r9("opponent_value") + " AS opponent_value, "
-    + r9("team_value - opponent_value") + " AS difference, row_number() OVER (PARTITION BY game_id, team_id "
-    "ORDER BY abs(round(team_value - opponent_value, 9)) DESC NULLS LAST, ordinal) AS position "
+    + r9("team_value - opponent_value") + " AS difference, CAST(row_number() OVER (PARTITION BY game_id, team_id "
+    "ORDER BY abs(round(team_value - opponent_value, 9)) DESC NULLS LAST, ordinal) AS INTEGER) AS position "
     "FROM lng l LEFT JOIN gl ON gl.indicator = l.indicator"))
 def q_matchup_compare(spark, sf_dir):
     out = CMP.matchup_compare(_ds(spark, sf_dir), CMP.glossary_frame(spark))

@@ -43,6 +43,11 @@ def test_query_matches_oracle(spark, sf_dir, duck, name):
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    spark2duck = {"long": "BIGINT", "integer": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                  "date": "DATE", "boolean": "BOOLEAN"}
+    dtypes = {d[0]: str(d[1]).upper() for d in res.description}
+    for f in df.schema.fields:
+        assert spark2duck.get(f.dataType.typeName()) == dtypes[f.name], (f.name, f.dataType, dtypes[f.name])
     assert len(rows) == len(drows)
     assert _bag(rows, df.columns) == _bag(drows, dcols)
 
