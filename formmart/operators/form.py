@@ -7,7 +7,9 @@ then by tie-break columns (the source orders by date only, which leaves
 same-day events in arbitrary order).
 
 Skew: a plain ``Window.partitionBy(entity)`` puts every event of an entity in
-one task.  To survive an entity holding a large share of all rows, events get
+one task.  The plan is chosen from a checked size, like a broadcast: one small
+aggregate gives the largest entity's event count.  When it fits in
+``chunk_rows``, the plain window (one exchange) is used.  Otherwise events get
 an exact per-entity rank first (two levels: per-(entity, day) counts → running
 offsets → row number inside the day), the rank is cut into chunks of
 ``chunk_rows`` events, and the last ``n`` rows of each chunk are copied into the
@@ -50,6 +52,12 @@ def entity_rank(df: DataFrame, entity, date_col: str, tie_cols: Sequence[str],
               .drop("_fm_off"))
 
 
+def largest_entity(df: DataFrame, keys: Sequence[str]) -> int:
+    """Event count of the biggest entity (map-side partial counts, tiny result)."""
+    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_fm_n")).agg(F.max("_fm_n")).first()[0]
+    return int(n or 0)
+
+
 def with_rolling(df: DataFrame, entity, date_col: str, tie_cols: Sequence[str],
                  features: dict[str, Column], n: int = 5,
                  chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
@@ -63,6 +71,9 @@ def with_rolling(df: DataFrame, entity, date_col: str, tie_cols: Sequence[str],
     if chunk_rows <= n:
         raise ValueError("chunk_rows must exceed the look-back n")
     keys = _cols(entity)
+    if largest_entity(df, keys) <= chunk_rows:
+        w = Window.partitionBy(*keys).orderBy(date_col, *tie_cols)
+        return df.select("*", *[f(w).alias(name) for name, f in features.items()])
     ranked = entity_rank(df, keys, date_col, tie_cols)
     pos = F.col(_RANK) % chunk_rows
     # Every row lives in its own chunk; the last n rows of a chunk are also

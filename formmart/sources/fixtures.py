@@ -39,11 +39,14 @@ def fixture_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fixture_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Team-game rows with a bigint ``game_id`` (the order key).
 
-    Skew-safe plan: the box score per (order, supplier) is aggregated map-side
-    before its shuffle; the per-order sides (smallest/largest supplier and
-    their points) are a second, partial aggregate of that; and the box rows of
-    the two sides are picked by an equi-join on the composite (order, supplier)
-    key, so no task ever receives all rows of one order.
+    Skew-safe plan with one lineitem-sized exchange: the box score per
+    (order, supplier) is aggregated map-side before its shuffle; the sides of
+    each order (smallest and largest supplier) are a partial aggregate straight
+    from lineitem, so only order-level rows cross the network; the two side rows
+    of a game pick their box rows by an equi-join on the composite
+    (order, supplier) key (the box side is already partitioned on it); and the
+    opponent's points come from a window over the game's two rows.  No task
+    ever receives all lineitems of one order.
     """
     li = driver_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
@@ -56,26 +59,28 @@ def fixture_games(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("l_discount").alias("fg3_pct"),
         F.max("l_tax").alias("ft_pct"),
     )
-    sides = (box.groupBy("l_orderkey")
-                .agg(F.min("l_suppkey").alias("home_id"), F.max("l_suppkey").alias("away_id"),
-                     F.min_by("pts", "l_suppkey").alias("home_pts"), F.max_by("pts", "l_suppkey").alias("away_pts"))
-                .where(F.col("home_id") < F.col("away_id")))
+    sides = (li.groupBy("l_orderkey")
+               .agg(F.min("l_suppkey").alias("home_id"), F.max("l_suppkey").alias("away_id"))
+               .where(F.col("home_id") < F.col("away_id")))
     orders = driver_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     d = F.col("o_orderdate")
-    dated = (sides.join(orders, sides.l_orderkey == orders.o_orderkey)
-                  .select("l_orderkey", "home_id", "away_id", "home_pts", "away_pts",
-                          (F.year(d) - F.when(F.month(d) < 10, 1).otherwise(0)).cast("bigint").alias("season"),
-                          F.to_date(d).alias("game_date")))
-    # two rows per game, (order, own supplier) → opponent and opponent's points
     both = F.explode(F.array(
         F.struct(F.col("home_id").alias("l_suppkey"), F.col("away_id").alias("opponent_team_id"),
-                 F.lit(True).alias("is_home"), F.col("away_pts").alias("opp_pts")),
+                 F.lit(True).alias("is_home")),
         F.struct(F.col("away_id").alias("l_suppkey"), F.col("home_id").alias("opponent_team_id"),
-                 F.lit(False).alias("is_home"), F.col("home_pts").alias("opp_pts"))))
-    side_rows = dated.select("l_orderkey", "season", "game_date", both.alias("x")).select(
-        "l_orderkey", "season", "game_date", "x.*")
+                 F.lit(False).alias("is_home"))))
+    side_rows = (sides.join(orders, sides.l_orderkey == orders.o_orderkey)
+                      .select("l_orderkey",
+                              (F.year(d) - F.when(F.month(d) < 10, 1).otherwise(0)).cast("bigint").alias("season"),
+                              F.to_date(d).alias("game_date"), both.alias("x"))
+                      .select("l_orderkey", "season", "game_date", "x.*"))
     rows = box.join(side_rows, ["l_orderkey", "l_suppkey"])
-    win = (F.col("pts") > F.col("opp_pts")) | ((F.col("pts") == F.col("opp_pts")) & F.col("is_home"))
+    game = Window.partitionBy("l_orderkey")
+    # each sum covers exactly one row of the pair, so the value is copied exactly
+    home_pts = F.sum(F.when(F.col("is_home"), F.col("pts"))).over(game)
+    away_pts = F.sum(F.when(~F.col("is_home"), F.col("pts"))).over(game)
+    opp_pts = F.when(F.col("is_home"), away_pts).otherwise(home_pts)
+    win = (F.col("pts") > opp_pts) | ((F.col("pts") == opp_pts) & F.col("is_home"))
     return rows.select(
         F.col("l_orderkey").alias("game_id"), "season", "game_date",
         F.col("l_suppkey").alias("team_id"), "opponent_team_id", "is_home",

@@ -42,12 +42,16 @@ def test_chunked_window_equals_plain_window(spark, sf_dir):
     from formmart.plans.fixture_mart import mart_for
     games = V.v_games(mart_for(spark, sf_dir).tables.games)
     metrics = [("pts", "pts_avg_l5"), ("fg_pct", "fg_pct_avg_l5")]
+    from formmart.operators.form import largest_entity
+    assert largest_entity(games, ["team_id"]) > 7  # so chunk_rows=7 takes the chunked plan
     chunked = rolling_form(games, "team_id", metrics, n=5, chunk_rows=7)
+    default = rolling_form(games, "team_id", metrics, n=5)  # fits: plain window plan
     w = Window.partitionBy("team_id").orderBy("game_date", "game_id")
     plain = games.select("*", *[F.avg(s).over(w.rowsBetween(-5, -1)).alias(o) for s, o in metrics])
     a = {(r.game_id, r.team_id): (r.pts_avg_l5, r.fg_pct_avg_l5) for r in chunked.collect()}
     b = {(r.game_id, r.team_id): (r.pts_avg_l5, r.fg_pct_avg_l5) for r in plain.collect()}
-    assert a == b
+    c = {(r.game_id, r.team_id): (r.pts_avg_l5, r.fg_pct_avg_l5) for r in default.collect()}
+    assert a == b == c
 
 
 def test_opponent_features_mirror_and_wins_balance(spark, sf_dir):
