@@ -43,5 +43,11 @@ def matchup_title(a_name, a_abbr, b_name, b_abbr, is_home) -> Column:
 
 
 def percent_text(p) -> Column:
-    """Probability as a percentage with two decimals ('53.20%')."""
-    return F.format_string("%.2f%%", _c(p) * 100.0)
+    """Probability as a percentage with two decimals ('53.20%').
+
+    Hundredths of a percent are rounded half-up from p·10000 in integer form,
+    so the text does not depend on a formatter's tie rule.
+    """
+    q = F.floor(_c(p) * 10000.0 + 0.5).cast("bigint")
+    return F.concat((q / 100).cast("bigint").cast("string"), F.lit("."),
+                    F.lpad(F.pmod(q, F.lit(100)).cast("string"), 2, "0"), F.lit("%"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from formmart.functions.labels import percent_text
 from formmart.operators.quantiles import exact_quantiles
 
 EPS = 2.220446049250313e-16  # double machine epsilon: probabilities are clipped to [eps, 1 - eps]
@@ -82,5 +83,6 @@ def matchup_probability(scored: DataFrame, p: str = "p") -> DataFrame:
     b = scored.select(F.col("game_id").alias("_g"), F.col("team_id").alias("_t"), F.col(p).alias("p_opponent"))
     j = a.join(b, (a.game_id == b._g) & (a.opponent_team_id == b._t))
     s = F.col("p_team") + F.col("p_opponent")
-    return j.select("game_id", "team_id", "opponent_team_id", "p_team", "p_opponent",
-                    F.when(s > 0, F.col("p_team") / s).otherwise(F.col("p_team")).alias("p_norm"))
+    out = j.select("game_id", "team_id", "opponent_team_id", "p_team", "p_opponent",
+                   F.when(s > 0, F.col("p_team") / s).otherwise(F.col("p_team")).alias("p_norm"))
+    return out.withColumn("p_norm_text", percent_text("p_norm"))

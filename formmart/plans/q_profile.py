@@ -217,13 +217,17 @@ def q_calibration(spark, sf_dir):
 
 
 @register("matchup_probability", with_views(
-    SCORE_CTE + " SELECT a.game_id, a.team_id, a.opponent_team_id, " + r9("a.p") + " AS p_team, "
-    + r9("b.p") + " AS p_opponent, " + r9("CASE WHEN a.p + b.p > 0 THEN a.p / (a.p + b.p) ELSE a.p END")
-    + " AS p_norm FROM sc a JOIN sc b ON a.game_id = b.game_id AND a.opponent_team_id = b.team_id"))
+    SCORE_CTE + ", pr AS (SELECT a.game_id, a.team_id, a.opponent_team_id, a.p AS pa, b.p AS pb, "
+    "CASE WHEN a.p + b.p > 0 THEN a.p / (a.p + b.p) ELSE a.p END AS pn "
+    "FROM sc a JOIN sc b ON a.game_id = b.game_id AND a.opponent_team_id = b.team_id), "
+    "pq AS (SELECT *, CAST(floor(pn * CAST(10000 AS DOUBLE) + 0.5) AS BIGINT) AS q FROM pr) "
+    f"SELECT game_id, team_id, opponent_team_id, {r9('pa')} AS p_team, {r9('pb')} AS p_opponent, "
+    f"{r9('pn')} AS p_norm, concat(CAST(q // 100 AS VARCHAR), '.', lpad(CAST(q % 100 AS VARCHAR), 2, '0'), '%') "
+    "AS p_norm_text FROM pq"))
 def q_matchup_probability(spark, sf_dir):
     out = M.matchup_probability(_scored(spark, sf_dir))
     return out.select("game_id", "team_id", "opponent_team_id",
-                      *[R9(c).alias(c) for c in ("p_team", "p_opponent", "p_norm")])
+                      *[R9(c).alias(c) for c in ("p_team", "p_opponent", "p_norm")], "p_norm_text")
 
 
 def _q(s: str) -> str:

@@ -147,8 +147,3 @@ GAMES_COLUMNS = ("game_id", "season", "game_date", "team_id", "opponent_team_id"
 PLAYER_GAMES_COLUMNS = ("player_id", "game_id", "season", "game_date", "team_id", "opponent_team_id",
                         "is_home", "wl", "minutes", "pts", "reb", "ast", "tov", "plus_minus",
                         "fg_pct", "fg3_pct", "ft_pct", "stl", "blk", "pf")
-
-
-def all_strings(columns) -> T.StructType:
-    """Schema for reading raw text files: every column a string, no inference."""
-    return T.StructType([T.StructField(c, T.StringType()) for c in columns])

@@ -8,7 +8,6 @@ create a private folder ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -63,12 +62,3 @@ def work_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path below the shared working folder."""
     return "/".join([work_dir(spark), "formmart", *parts, uuid.uuid4().hex[:12]])
-
-
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme so Python can read small metadata files."""
-    if uri.startswith("file:"):
-        uri = uri[len("file:"):]
-        while uri.startswith("//"):
-            uri = uri[1:]
-    return os.path.abspath(uri)

@@ -48,3 +48,12 @@ def test_strict_id_raises(spark):
     df = spark.createDataFrame([("12",), ("abc",)], "x string")
     with pytest.raises(Exception):
         df.select(P.strict_long("x")).collect()
+
+
+def test_percent_text(spark):
+    from formmart.functions.labels import percent_text, ratio_round
+    df = spark.createDataFrame([(0.532,), (0.125,), (0.00005,), (1.0,), (0.0,)], "p double")
+    assert [r[0] for r in df.select(percent_text("p")).collect()] == ["53.20%", "12.50%", "0.01%", "100.00%",
+                                                                      "0.00%"]
+    r = spark.createDataFrame([(1, 8), (27, 200), (2, 3), (0, 5)], "n long, d long")
+    assert [x[0] for x in r.select(ratio_round("n", "d", 3)).collect()] == [0.125, 0.135, 0.667, 0.0]
