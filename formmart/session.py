@@ -41,6 +41,42 @@ def get_session(master: str | None = None, app: str = "formmart",
     return spark
 
 
+def size_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
+                   max_partitions: int = 100_000) -> dict[str, str]:
+    """Partition sizing for a job reading ``input_bytes``; fills only settings that are unset.
+
+    AQE coalesces small shuffle partitions but never splits large ones, so the
+    initial shuffle partition count is derived from the input size (about
+    ``target_partition_bytes`` of input per partition).  Scan splits are capped
+    at the same size.  Returns what was set.
+    """
+    n = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    wanted = {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
+    applied = {}
+    for k, v in wanted.items():
+        explicit = spark.sparkContext.getConf().get(k, None)
+        if explicit is None:
+            spark.conf.set(k, v)
+            applied[k] = v
+    return applied
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the files under ``paths`` (Hadoop file system, any scheme)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return int(total)
+
+
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables of this application.
 
