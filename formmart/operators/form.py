@@ -52,6 +52,17 @@ def entity_rank(df: DataFrame, entity, date_col: str, tie_cols: Sequence[str],
               .drop("_fm_off"))
 
 
+def rank_rows(df: DataFrame, entity, date_col: str, tie_cols: Sequence[str], rank_col: str = _RANK,
+              chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """0-based position within the entity: a plain row number when the largest
+    entity fits in ``chunk_rows``, else the two-level :func:`entity_rank`."""
+    keys = _cols(entity)
+    if largest_entity(df, keys) <= chunk_rows:
+        w = Window.partitionBy(*keys).orderBy(date_col, *tie_cols)
+        return df.withColumn(rank_col, F.row_number().over(w) - 1)
+    return entity_rank(df, keys, date_col, tie_cols, rank_col)
+
+
 def largest_entity(df: DataFrame, keys: Sequence[str]) -> int:
     """Event count of the biggest entity (map-side partial counts, tiny result)."""
     n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_fm_n")).agg(F.max("_fm_n")).first()[0]

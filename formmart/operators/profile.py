@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from formmart.operators.form import entity_rank
+from formmart.operators.form import rank_rows
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -100,7 +100,7 @@ def leakage_violations(form: DataFrame, metrics: Sequence[tuple[str, str]], n: i
     Every row is sent to its next ``n`` ranks, so the join is n-to-1 and never
     pairs a whole entity with itself.
     """
-    ranked = entity_rank(form, entity, date_col, tie_cols, "_r")
+    ranked = rank_rows(form, entity, date_col, tie_cols, "_r")
     src = [s for s, _ in metrics]
     ahead = ranked.select(entity, F.explode(F.sequence(F.col("_r") + 1, F.col("_r") + n)).alias("_target"),
                           *[F.col(s).alias("_v_" + s) for s in src])
