@@ -98,7 +98,7 @@ def test_mart_with_forced_chunking_equals_default(spark, sf_dir):
     from formmart.plans.fixture_mart import mart_for
     from formmart.plans.mart import Mart
     default = mart_for(spark, sf_dir)
-    forced = Mart(spark, default.tables, chunk_rows=16)  # every team and player exceeds 16 events
+    forced = Mart(spark, default.tables, chunk_rows=16)  # largest team and player exceed 16: chunked plan
     a, b = forced.training_dataset_enriched(), default.training_dataset_enriched()
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
