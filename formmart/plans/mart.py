@@ -2,10 +2,11 @@
 
 Two sub-plans are used twice downstream and would otherwise be planned twice
 (the optimizer prunes and filters each use differently, so no exchange is
-reused): the team form table (both sides of the opponent join) and the
-team star table (own and opponent enrichment).  The training datasets (base
-and enriched) feed every profiling, split, metric, comparison and model step.
-All four are written once as parquet under the shared working folder, which
+reused): the team form table (both sides of the opponent join), the player
+form table (star ranking and the player views) and the team star table (own
+and opponent enrichment).  The training datasets (base and enriched) feed
+every profiling, split, metric, comparison and model step.  All five are
+written once as parquet under the shared working folder, which
 also cuts their lineage so a lost executor only re-reads files.
 """
 
@@ -103,7 +104,7 @@ class Mart:
     def player_form(self) -> DataFrame:
         self._need_players()
         return self._memo("player_form", lambda: V.player_form(self.tables.player_games, self.n,
-                                                               chunk_rows=self.chunk_rows))
+                                                               chunk_rows=self.chunk_rows), persist=True)
 
     def team_star_features(self) -> DataFrame:
         self._need_players()
