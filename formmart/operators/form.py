@@ -74,10 +74,10 @@ def with_rolling(df: DataFrame, entity, date_col: str, tie_cols: Sequence[str],
                  chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Add window features computed per entity over a (date, ties) order.
 
-    ``features`` maps output name → a column built from :func:`prev_mean`,
-    :func:`prev_value` etc. with the placeholder window :data:`FRAME`; they
-    are re-bound here to the chunked window.  Every feature may look back at
-    most ``n`` rows.
+    ``features`` maps output name → a function of the ordered window that
+    returns the feature column (see :func:`prev_mean`, :func:`prev_value`,
+    :func:`days_since_previous`).  The same functions are bound to the plain
+    or the chunked window.  No feature may look back more than ``n`` rows.
     """
     if chunk_rows <= n:
         raise ValueError("chunk_rows must exceed the look-back n")

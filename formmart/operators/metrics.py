@@ -40,8 +40,8 @@ def roc_auc(df: DataFrame, y: str = "y", p: str = "p", buckets: int = 128) -> Da
     edges = dist.agg(F.percentile_approx("s", [i / buckets for i in range(1, buckets)], 10 * buckets)
                      .alias("edges")).first()["edges"] or []
     if edges:
-        arr = "array({})".format(", ".join(repr(float(e)) + "D" for e in edges))
-        bucket = F.expr(f"size(filter({arr}, e -> e < s))")
+        arr = F.array(*[F.lit(float(e)) for e in edges])  # at most `buckets` literals
+        bucket = F.size(F.filter(arr, lambda e: e < F.col("s")))
     else:
         bucket = F.lit(0)
     with_b = dist.withColumn("b", bucket)
