@@ -64,7 +64,7 @@ def _order_statistics(df, dist, ranks, probs, buckets):
                  .groupBy("k").agg(F.percentile_approx("v", qs, 10 * buckets).alias("edges")))
     # one row per requested column with at most `buckets` edges: bounded, broadcast
     bucketed = (dist.join(F.broadcast(edges), "k")
-                    .withColumn("b", F.expr("size(filter(edges, e -> e < v))")).drop("edges"))
+                    .withColumn("b", F.size(F.filter("edges", lambda e: e < F.col("v")))).drop("edges"))
     per_bucket = bucketed.groupBy("k", "b").agg(F.sum("cnt").alias("n")).collect()
     by_col: dict[str, list] = {}
     for r in per_bucket:
