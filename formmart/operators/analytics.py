@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formmart.functions.labels import ratio_round
+from formmart.operators.joins import small_side
 
 def _W():
     return F.when(F.col("wl") == "W", 1).otherwise(0)
@@ -23,7 +24,7 @@ def standings(games: DataFrame, teams: DataFrame) -> DataFrame:
     """Wins, losses and win share by (season, team name), best first within a season."""
     per_team = (games.groupBy("season", "team_id")
                      .agg(F.sum(_W()).alias("w"), F.sum(_L()).alias("l"), F.count(F.lit(1)).alias("n")))
-    named = per_team.join(teams.select("team_id", F.col("full_name").alias("team_name")), "team_id")
+    named = per_team.join(small_side(teams.select("team_id", F.col("full_name").alias("team_name"))), "team_id")
     agg = named.groupBy("season", "team_name").agg(
         F.sum("w").cast("bigint").alias("wins"), F.sum("l").cast("bigint").alias("losses"),
         F.sum("n").alias("games"))
@@ -41,8 +42,8 @@ def h2h_unordered(games: DataFrame, teams: DataFrame) -> DataFrame:
     pairs = (games.select(F.least("team_id", "opponent_team_id").alias("t1"),
                           F.greatest("team_id", "opponent_team_id").alias("t2"), _W().alias("is_win"))
                   .groupBy("t1", "t2").agg(F.sum("is_win").alias("w"), F.count(F.lit(1)).alias("n")))
-    a = teams.select(F.col("team_id").alias("t1"), F.col("full_name").alias("team_a"))
-    b = teams.select(F.col("team_id").alias("t2"), F.col("full_name").alias("team_b"))
+    a = small_side(teams.select(F.col("team_id").alias("t1"), F.col("full_name").alias("team_a")))
+    b = small_side(teams.select(F.col("team_id").alias("t2"), F.col("full_name").alias("team_b")))
     agg = (pairs.join(a, "t1").join(b, "t2").groupBy("team_a", "team_b")
                 .agg(F.sum("w").alias("w"), F.sum("n").alias("n")))
     return (agg.select("team_a", "team_b", F.col("w").cast("bigint").alias("wins_team_a_side"),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from formmart import schemas as S
 from formmart.operators.form import DEFAULT_CHUNK_ROWS, days_since_previous, rolling_form
+from formmart.operators.joins import small_side
 
 _D = "double"
 
@@ -125,13 +126,14 @@ def enrich(base: DataFrame, stars: DataFrame, prefix: str = "opp_") -> DataFrame
 def with_names(dataset: DataFrame, teams: DataFrame, enriched: bool = False) -> DataFrame:
     """Readable view: names and abbreviations first, numeric features, ids last.
 
-    The team dimension is joined twice (own side, opponent side).
+    The team dimension is joined twice (own side, opponent side), broadcast
+    when its measured size fits (see :mod:`formmart.operators.joins`).
     """
     t = v_teams(teams)
-    own = t.select(F.col("team_id").alias("_t_id"), F.col("full_name").alias("team_name"),
-                   F.col("abbreviation").alias("team_abbr"))
-    opp = t.select(F.col("team_id").alias("_o_id"), F.col("full_name").alias("opponent_name"),
-                   F.col("abbreviation").alias("opponent_abbr"))
+    own = small_side(t.select(F.col("team_id").alias("_t_id"), F.col("full_name").alias("team_name"),
+                              F.col("abbreviation").alias("team_abbr")))
+    opp = small_side(t.select(F.col("team_id").alias("_o_id"), F.col("full_name").alias("opponent_name"),
+                              F.col("abbreviation").alias("opponent_abbr")))
     d = (dataset.join(own, dataset.team_id == own._t_id)
                 .join(opp, dataset.opponent_team_id == opp._o_id))
     team = list(S.TEAM_FEATURES) + (list(S.STAR_FEATURES) if enriched else [])

@@ -36,10 +36,35 @@ class StandardTables:
         return self.players is not None and self.player_games is not None
 
 
+SMALL_TABLE_BYTES = 256 << 20
+
+
+def _listing(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(data files, bytes) under ``path`` — driver-side file-system metadata only."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = [st for st in fs.listStatus(p) if st.isFile() and not st.getPath().getName().startswith(("_", "."))]
+    return len(files), sum(st.getLen() for st in files)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
-    """Replace a table at ``path`` (drop + create-as-select) and return a scan of it."""
+    """Replace a table at ``path`` (drop + create-as-select) and return a scan of it.
+
+    A small result that the optimizer wrote with fewer files than there are
+    cores is rewritten once as one file per core (size-checked: only below
+    ``SMALL_TABLE_BYTES``), so later scans of it are not limited to a few
+    tasks.  Large tables are already split across many files.
+    """
+    spark = df.sparkSession
     df.write.mode(mode).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    n_files, n_bytes = _listing(spark, path)
+    if n_files < cores and n_bytes < SMALL_TABLE_BYTES:
+        spread = path.rstrip("/") + "_spread"
+        spark.read.parquet(path).repartition(cores).write.mode("overwrite").parquet(spread)
+        return spark.read.parquet(spread)
+    return spark.read.parquet(path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

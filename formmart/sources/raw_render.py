@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from formmart.operators.joins import small_side
+
 _S = "string"
 
 
@@ -46,7 +48,7 @@ def num_text(c: str) -> Column:
 
 
 def _abbr(df: DataFrame, teams: DataFrame, id_col: str, out: str) -> DataFrame:
-    t = teams.select(F.col("team_id").alias(f"_{out}_id"), F.col("abbreviation").alias(out))
+    t = small_side(teams.select(F.col("team_id").alias(f"_{out}_id"), F.col("abbreviation").alias(out)))
     return df.join(t, df[id_col] == t[f"_{out}_id"], "left").drop(f"_{out}_id")
 
 
