@@ -22,6 +22,20 @@ def ratio_round(num, den, digits: int = 3) -> Column:
     return q / F.lit(float(scale))
 
 
+def quantize(c, digits: int = 9) -> Column:
+    """x rounded half-up to ``digits`` decimals in plain double arithmetic:
+    floor(x·10^d + 0.5) / 10^d.  Cheap (no decimal conversion) and evaluated
+    identically by any IEEE engine, so it is also the canonical form results
+    are compared in."""
+    scale = float(10 ** digits)
+    return F.floor(_c(c) * scale + 0.5).cast("double") / scale
+
+
+def quantize_sql(expr: str, digits: int = 9) -> str:
+    """SQL text of :func:`quantize` (``+ 0.0`` folds a negative zero)."""
+    return f"(floor(({expr}) * 1e{digits} + 0.5) / 1e{digits} + 0.0)"
+
+
 def team_label(name="full_name", abbr="abbreviation") -> Column:
     """'Full Name (ABBR)'."""
     return F.concat(F.coalesce(_c(name).cast("string"), F.lit("None")), F.lit(" ("),

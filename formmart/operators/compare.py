@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from formmart import schemas as S
+from formmart.functions.labels import quantize
 
 
 def glossary_frame(spark: SparkSession, glossary: dict[str, str] | None = None) -> DataFrame:
@@ -59,8 +60,9 @@ def matchup_compare(dataset: DataFrame, glossary: DataFrame,
     # glossary: one row per known indicator, a fixed small table
     long = long.join(F.broadcast(glossary), "indicator", "left").withColumn(
         "explanation", F.coalesce(F.col("explanation"), F.lit("")))
+    # |difference| quantized to 9 decimals, so last-bit noise cannot reorder ties
     w = Window.partitionBy("game_id", "team_id").orderBy(
-        F.abs(F.round("difference", 9)).desc_nulls_last(), "ordinal")
+        F.abs(quantize("difference", 9)).desc_nulls_last(), "ordinal")
     return long.withColumn("position", F.row_number().over(w)).select(
         "game_id", "team_id", "opponent_team_id", "indicator", "explanation", "team_value",
         "opponent_value", "difference", "position")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from formmart.functions import labels as LB
+from formmart.functions.labels import quantize_sql
 from formmart.operators import analytics as A
 from formmart.plans.fixture_mart import mart_for
 from formmart.plans.oracle_sql import with_views
@@ -82,7 +83,7 @@ _ENR = ("game_id, season, game_date, team_id, opponent_team_id, is_home, y_win,
 
 def _rsel(cols, alias="d"):
     from formmart.plans.oracle_sql import FRACTIONAL
-    return ", ".join(f"(round({alias}.{c}, 9) + 0.0) AS {c}" if c in FRACTIONAL else f"{alias}.{c}"
+    return ", ".join(f"{quantize_sql(alias + '.' + c)} AS {c}" if c in FRACTIONAL else f"{alias}.{c}"
                      for c in cols)
 
 

@@ -8,6 +8,7 @@ import json
 from pyspark.sql import functions as F
 
 from formmart import schemas as S
+from formmart.functions.labels import quantize, quantize_sql
 from formmart.operators import compare as CMP
 from formmart.operators import metrics as M
 from formmart.operators import profile as PR
@@ -25,11 +26,11 @@ FEATURES = [c for c in _ENR if c not in S.NON_FEATURES]
 
 
 def r9(expr: str) -> str:
-    return f"(round({expr}, 9) + 0.0)"
+    return quantize_sql(expr)
 
 
 def R9(c):
-    return F.round(F.col(c) if isinstance(c, str) else c, 9)
+    return quantize(c)
 
 
 def _ds(spark, sf_dir):
@@ -247,7 +248,8 @@ _IND = list(S.COMPARE_DEFAULTS) + list(S.STAR_FEATURES)
     "SELECT game_id, team_id, opponent_team_id, l.indicator, coalesce(gl.explanation, '') AS explanation, "
     + r9("team_value") + " AS team_value, " + r9("opponent_value") + " AS opponent_value, "
     + r9("team_value - opponent_value") + " AS difference, CAST(row_number() OVER (PARTITION BY game_id, team_id "
-    "ORDER BY abs(round(team_value - opponent_value, 9)) DESC NULLS LAST, ordinal) AS INTEGER) AS position "
+    "ORDER BY abs(" + quantize_sql("team_value - opponent_value") + ") DESC NULLS LAST, ordinal) AS INTEGER) "
+    "AS position "
     "FROM lng l LEFT JOIN gl ON gl.indicator = l.indicator"))
 def q_matchup_compare(spark, sf_dir):
     out = CMP.matchup_compare(_ds(spark, sf_dir), CMP.glossary_frame(spark))

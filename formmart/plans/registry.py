@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from formmart.functions.labels import quantize
 from formmart.plans import oracle_sql as O
 from formmart.plans.fixture_mart import mart_for
 
@@ -30,8 +31,8 @@ def register(name: str, oracle: str | None = None):
 
 
 def rounded(df: DataFrame, digits: int = 9) -> DataFrame:
-    """Round fractional averages (see ``oracle_sql.FRACTIONAL``) for comparison."""
-    return df.select(*[F.round(F.col(c), digits).alias(c) if c in O.FRACTIONAL else F.col(c)
+    """Quantize fractional averages (see ``oracle_sql.FRACTIONAL``) for comparison."""
+    return df.select(*[quantize(c, digits).alias(c) if c in O.FRACTIONAL else F.col(c)
                        for c in df.columns])
 
 
