@@ -51,16 +51,16 @@ def _listing(spark: SparkSession, path: str) -> tuple[int, int]:
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
     """Replace a table at ``path`` (drop + create-as-select) and return a scan of it.
 
-    A small result that the optimizer wrote with fewer files than there are
-    cores is rewritten once as one file per core (size-checked: only below
-    ``SMALL_TABLE_BYTES``), so later scans of it are not limited to a few
+    A small result that the optimizer wrote with at most half as many files as
+    there are cores is rewritten once as one file per core (size-checked: only
+    below ``SMALL_TABLE_BYTES``), so later scans of it are not limited to a few
     tasks.  Large tables are already split across many files.
     """
     spark = df.sparkSession
     df.write.mode(mode).parquet(path)
     cores = spark.sparkContext.defaultParallelism
     n_files, n_bytes = _listing(spark, path)
-    if n_files < cores and n_bytes < SMALL_TABLE_BYTES:
+    if 2 * n_files <= cores and n_bytes < SMALL_TABLE_BYTES:
         spread = path.rstrip("/") + "_spread"
         spark.read.parquet(path).repartition(cores).write.mode("overwrite").parquet(spread)
         return spark.read.parquet(spread)
