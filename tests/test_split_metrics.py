@@ -71,3 +71,18 @@ def test_matchup_probability_sums_to_one(spark):
     out = {(r.game_id, r.team_id): r.p_norm for r in M.matchup_probability(df).collect()}
     assert out[("g", 1)] + out[("g", 2)] == pytest.approx(1.0)
     assert out[("h", 1)] == 0.0
+
+
+def test_quantiles_distributed_path_matches_summary_path(spark, monkeypatch):
+    import numpy as np
+    from formmart.operators import quantiles as Q
+    vals = [float(v) for v in np.random.default_rng(7).normal(0, 1, 3000)]
+    df = spark.createDataFrame([(v, v * 2) for v in vals], "x double, y double")
+    probs = [0.1, 0.5, 0.9]
+    small = Q.exact_quantiles(df, ["x", "y"], probs)
+    monkeypatch.setattr(Q, "DRIVER_DISTINCT_LIMIT", 10)  # force the bucketed path
+    big = Q.exact_quantiles(df, ["x", "y"], probs, buckets=16)
+    want = {c: list(np.percentile([v if c == "x" else 2 * v for v in vals], [p * 100 for p in probs]))
+            for c in ("x", "y")}
+    for c in ("x", "y"):
+        assert small[c] == pytest.approx(want[c]) and big[c] == pytest.approx(want[c])
