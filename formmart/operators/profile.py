@@ -52,18 +52,25 @@ def baseline_accuracy(ds: DataFrame) -> DataFrame:
 
 def correlations(ds: DataFrame, target: str = "y_win", top: int = 20) -> DataFrame:
     """Pearson correlation of every numeric column with ``target`` over pairwise
-    non-null rows; a constant column gives null (sorted last)."""
+    non-null rows; a constant or all-null column gives null (sorted last).
+
+    Long form: each row is unpivoted into (column, x, y) pairs and aggregated per
+    column with the numerically stable central-moment aggregates — a few
+    aggregates per group instead of one very wide row of them.
+    """
     cols = numeric_columns(ds)
-    aggs = []
-    for c in cols:
-        both = F.col(c).isNotNull() & F.col(target).isNotNull()
-        x = F.when(both, F.col(c).cast("double"))
-        y = F.when(both, F.col(target).cast("double"))
-        den = F.stddev_pop(x) * F.stddev_pop(y)
-        aggs.append((F.covar_pop(x, y) / F.when(den != 0, den)).alias(c))
-    wide = ds.agg(*aggs)
-    return (_long_form(wide, cols, "column_name", "corr_with_y_win")
-            .orderBy(F.col("corr_with_y_win").desc_nulls_last(), "column_name").limit(top))
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x"))
+                                for c in cols]))
+    long = (ds.select(F.col(target).cast("double").alias("y"), pairs.alias("p"))
+              .select("p.column_name", "p.x", "y")
+              .where(F.col("x").isNotNull() & F.col("y").isNotNull()))
+    den = F.stddev_pop("x") * F.stddev_pop("y")
+    per_col = long.groupBy("column_name").agg((F.covar_pop("x", "y") / F.when(den != 0, den))
+                                              .alias("corr_with_y_win"))
+    # one row per numeric column (schema-sized): columns without pairs keep a null
+    names = ds.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+    return (names.join(per_col, "column_name", "left")
+                 .orderBy(F.col("corr_with_y_win").desc_nulls_last(), "column_name").limit(top))
 
 
 def histogram(ds: DataFrame, col: str, bins: int = 30) -> DataFrame:
