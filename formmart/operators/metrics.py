@@ -46,6 +46,7 @@ def roc_auc(df: DataFrame, y: str = "y", p: str = "p", buckets: int = 128) -> Da
         bucket = F.lit(0)
     with_b = dist.withColumn("b", bucket)
     totals = with_b.groupBy("b").agg(F.sum("neg").alias("bneg"), F.sum("pos").alias("bpos"))
+    # at most `buckets` rows: the one global window here runs over a bounded table
     before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     offs = totals.select("b", F.coalesce(F.sum("bneg").over(before), F.lit(0)).alias("neg_before_bucket"))
     inside = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
