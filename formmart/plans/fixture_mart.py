@@ -34,7 +34,10 @@ def mart_for(spark: SparkSession, sf_dir: str, with_players: bool = True) -> Mar
             if not with_players:
                 full = mart_for_unlocked(spark, sf_dir)
                 tables = StandardTables(teams=full.tables.teams, games=full.tables.games)
-                _MARTS[key] = Mart(spark, tables)
+                base = Mart(spark, tables)
+                # same games → same team form and base dataset: share the written tables
+                base.adopt(full, ("team_form", "training_dataset"))
+                _MARTS[key] = base
             else:
                 _MARTS[key] = Mart(spark, fixture_tables(spark, sf_dir))
         return _MARTS[key]

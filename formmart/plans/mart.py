@@ -99,6 +99,13 @@ class Mart:
                 self._cache[key] = materialize(df, key) if (persist and self._mat) else df
             return self._cache[key]
 
+    def adopt(self, other: Mart, keys) -> None:
+        """Reuse another mart's materialized tables built from the same games."""
+        if other.tables.games is not self.tables.games or other.n != self.n:
+            raise ValueError("can only share tables built from the same games and look-back")
+        for k in keys:
+            self._cache[k] = getattr(other, k)()
+
     def memo(self, key: str, build) -> DataFrame:
         """Build once per mart (e.g. plans whose construction runs small jobs)."""
         return self._memo(key, build)
