@@ -26,6 +26,15 @@ def log_loss(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     return df.agg((-F.avg(yy * F.log(q) + (1 - yy) * F.log(1 - q))).alias("log_loss"))
 
 
+def accuracy_and_log_loss(df: DataFrame, y: str = "y", p: str = "p", threshold: float = 0.5) -> DataFrame:
+    """Both point metrics in one pass over the scored rows."""
+    pred = (F.col(p) >= threshold).cast("int")
+    q = F.least(F.greatest(F.col(p), F.lit(EPS)), F.lit(1 - EPS))
+    yy = F.col(y).cast("double")
+    return df.agg(F.avg(F.when(pred == F.col(y), 1).otherwise(0)).alias("accuracy"),
+                  (-F.avg(yy * F.log(q) + (1 - yy) * F.log(1 - q))).alias("log_loss"))
+
+
 def roc_auc(df: DataFrame, y: str = "y", p: str = "p", buckets: int = 128) -> DataFrame:
     """Area under the ROC curve with ties counted as one half; null for a single class.
 

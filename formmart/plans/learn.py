@@ -74,10 +74,9 @@ def proba(model: PipelineModel, df: DataFrame, out: str = "pred_win_proba") -> D
 
 
 def evaluate(scored: DataFrame, y: str = "y_win", p: str = "pred_win_proba") -> dict[str, float | None]:
-    acc = M.accuracy(scored, y, p).first()[0]
-    ll = M.log_loss(scored, y, p).first()[0]
+    point = M.accuracy_and_log_loss(scored, y, p).first()
     auc = M.roc_auc(scored, y, p).first()[0]
-    return {"roc_auc": auc, "logloss": ll, "accuracy": acc}
+    return {"roc_auc": auc, "logloss": point["log_loss"], "accuracy": point["accuracy"]}
 
 
 @dataclass

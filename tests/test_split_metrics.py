@@ -86,3 +86,10 @@ def test_quantiles_distributed_path_matches_summary_path(spark, monkeypatch):
             for c in ("x", "y")}
     for c in ("x", "y"):
         assert small[c] == pytest.approx(want[c]) and big[c] == pytest.approx(want[c])
+
+
+def test_combined_point_metrics_match_separate(spark):
+    df = spark.createDataFrame([(1, 0.9), (0, 0.2), (1, 0.4), (0, 0.7), (1, 0.5)], "y int, p double")
+    both = M.accuracy_and_log_loss(df).first()
+    assert both["accuracy"] == M.accuracy(df).first()[0]
+    assert both["log_loss"] == pytest.approx(M.log_loss(df).first()[0], rel=1e-15)
