@@ -170,8 +170,7 @@ class Mart:
             raise ValueError("player tables are not available in this mart")
 
     # -- catalog ------------------------------------------------------------
-    def register_views(self) -> list[str]:
-        """Create-or-replace every view this mart can serve; drop stale player views."""
+    def _view_builders(self) -> dict:
         views = {"v_games": self.v_games, "v_teams": self.v_teams, "v_team_form": self.team_form,
                  "v_training_dataset": self.training_dataset,
                  "v_training_dataset_named": self.training_dataset_named}
@@ -181,6 +180,20 @@ class Mart:
                           "v_team_star_features": self.team_star_features,
                           "v_training_dataset_enriched": self.training_dataset_enriched,
                           "v_training_dataset_enriched_named": self.training_dataset_enriched_named})
+        return views
+
+    def register_missing_views(self) -> list[str]:
+        """Create only the views not yet in the catalog (existing ones are kept); returns those created."""
+        created = []
+        for name, fn in self._view_builders().items():
+            if not self.spark.catalog.tableExists(name):
+                fn().createOrReplaceTempView(name)
+                created.append(name)
+        return created
+
+    def register_views(self) -> list[str]:
+        """Create-or-replace every view this mart can serve; drop stale player views."""
+        views = self._view_builders()
         for name in self.VIEW_NAMES:
             if name not in views:
                 self.spark.catalog.dropTempView(name)

@@ -29,3 +29,15 @@ def test_base_only_mart_drops_player_views(spark, sf_dir):
     assert "v_training_dataset_enriched" not in names
     assert not spark.catalog.tableExists("v_training_dataset_enriched")
     assert spark.catalog.tableExists("v_training_dataset_named")
+
+
+def test_register_missing_views_keeps_existing(spark, sf_dir):
+    m = mart_for(spark, sf_dir)
+    for name in Mart.VIEW_NAMES:
+        spark.catalog.dropTempView(name)
+    spark.sql("SELECT 1 AS marker").createOrReplaceTempView("v_teams")
+    created = m.register_missing_views()
+    assert "v_teams" not in created and "v_games" in created
+    assert spark.table("v_teams").columns == ["marker"]
+    m.register_views()  # replace semantics restore the real view
+    assert "team_id" in spark.table("v_teams").columns
