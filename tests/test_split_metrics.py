@@ -93,3 +93,18 @@ def test_combined_point_metrics_match_separate(spark):
     both = M.accuracy_and_log_loss(df).first()
     assert both["accuracy"] == M.accuracy(df).first()[0]
     assert both["log_loss"] == pytest.approx(M.log_loss(df).first()[0], rel=1e-15)
+
+
+def test_auc_summary_and_bucketed_paths_agree(spark, monkeypatch):
+    import numpy as np
+    from formmart.operators import metrics as MM
+    rng = np.random.default_rng(3)
+    p = rng.random(2000)
+    y = (rng.random(2000) < p).astype(int)
+    df = spark.createDataFrame([(int(a), float(round(b, 3))) for a, b in zip(y, p)], "y int, p double")
+    small = MM.roc_auc(df).first()[0]
+    monkeypatch.setattr(MM, "DRIVER_DISTINCT_LIMIT", 10)  # force the distributed path
+    big = MM.roc_auc(df, buckets=16).first()[0]
+    pos, neg = p.round(3)[y == 1], p.round(3)[y == 0]
+    want = ((pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()) / (len(pos) * len(neg))
+    assert small == pytest.approx(want, rel=1e-12) and big == pytest.approx(want, rel=1e-12)
