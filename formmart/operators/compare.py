@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formmart import schemas as S
@@ -43,26 +43,36 @@ def default_indicators(columns: Sequence[str]) -> list[str]:
     return [c for c in defaults if c in available]
 
 
+def _by_gap(left: Column, right: Column) -> Column:
+    """Comparator: larger |difference| first (quantized to 9 decimals), nulls last, then indicator order."""
+    lk, rk = F.abs(quantize(left["difference"], 9)), F.abs(quantize(right["difference"], 9))
+    by_ordinal = F.signum(left["ordinal"] - right["ordinal"]).cast("int")
+    return (F.when(lk.isNull() & rk.isNull(), by_ordinal)
+             .when(lk.isNull(), F.lit(1)).when(rk.isNull(), F.lit(-1))
+             .when(lk > rk, F.lit(-1)).when(lk < rk, F.lit(1))
+             .otherwise(by_ordinal))
+
+
 def matchup_compare(dataset: DataFrame, glossary: DataFrame,
                     indicators: Sequence[str] | None = None) -> DataFrame:
     """(game, team, indicator, explanation, team/opponent value, difference, position).
 
     ``position`` orders a game's indicators by |difference| descending (nulls
-    last, then indicator order), as the comparison table is shown.
+    last, then indicator order), as the comparison table is shown.  All of a
+    table's rows come from one dataset row, so they are ordered inside that row
+    (array sort, then positional explode): no shuffle.
     """
     ind = list(indicators or default_indicators(dataset.columns))
     pairs = F.array(*[F.struct(F.lit(c).alias("indicator"), F.lit(i).alias("ordinal"),
                                F.col(c).cast("double").alias("team_value"),
-                               F.col("opp_" + c).cast("double").alias("opponent_value")) for i, c in enumerate(ind)])
-    long = dataset.select("game_id", "team_id", "opponent_team_id", F.explode(pairs).alias("x")).select(
-        "game_id", "team_id", "opponent_team_id", "x.*")
-    long = long.withColumn("difference", F.col("team_value") - F.col("opponent_value"))
+                               F.col("opp_" + c).cast("double").alias("opponent_value"),
+                               (F.col(c).cast("double") - F.col("opp_" + c).cast("double")).alias("difference"))
+                      for i, c in enumerate(ind)])
+    long = dataset.select("game_id", "team_id", "opponent_team_id",
+                          F.posexplode(F.array_sort(pairs, _by_gap)).alias("pos", "x")).select(
+        "game_id", "team_id", "opponent_team_id", "x.*", (F.col("pos") + 1).cast("int").alias("position"))
     # glossary: one row per known indicator, a fixed small table
     long = long.join(F.broadcast(glossary), "indicator", "left").withColumn(
         "explanation", F.coalesce(F.col("explanation"), F.lit("")))
-    # |difference| quantized to 9 decimals, so last-bit noise cannot reorder ties
-    w = Window.partitionBy("game_id", "team_id").orderBy(
-        F.abs(quantize("difference", 9)).desc_nulls_last(), "ordinal")
-    return long.withColumn("position", F.row_number().over(w)).select(
-        "game_id", "team_id", "opponent_team_id", "indicator", "explanation", "team_value",
-        "opponent_value", "difference", "position")
+    return long.select("game_id", "team_id", "opponent_team_id", "indicator", "explanation", "team_value",
+                       "opponent_value", "difference", "position")
