@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from formmart.operators.joins import salted_join
+
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -91,13 +93,16 @@ def fixture_games(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fixture_player_games(spark: SparkSession, sf_dir: str, games: DataFrame) -> DataFrame:
     """Player-game rows; ``games`` is the (materialized) bigint-keyed game table.
 
-    A hot order is split by AQE's skew-join handling (the join side per
-    (order, side) key is a single game row).
+    The join on (order, side) salts hot orders explicitly (see
+    :func:`formmart.operators.joins.salted_join`): the one game row of a hot
+    key is replicated per salt, the hot key's lineitems spread over the salts.
     """
-    li = driver_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
-    g = games.select("game_id", "season", "game_date", "team_id", "opponent_team_id", "is_home", "wl")
-    joined = li.join(g, (li.l_orderkey == g.game_id) & (g.is_home == (li.l_partkey % 2 == 0)))
+    li = (driver_table(spark, sf_dir, "lineitem")
+          .select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
+          .withColumn("is_home", F.col("l_partkey") % 2 == 0))
+    g = games.select(F.col("game_id").alias("l_orderkey"), "is_home", "game_id", "season", "game_date",
+                     "team_id", "opponent_team_id", "wl")
+    joined = salted_join(li, g, ["l_orderkey", "is_home"])
     return (joined.groupBy(F.col("l_partkey").alias("player_id"), "game_id", "season", "game_date",
                            "team_id", "opponent_team_id", "is_home", "wl")
             .agg(F.sum("l_quantity").alias("minutes"),

@@ -41,3 +41,4 @@ def test_register_missing_views_keeps_existing(spark, sf_dir):
     assert spark.table("v_teams").columns == ["marker"]
     m.register_views()  # replace semantics restore the real view
     assert "team_id" in spark.table("v_teams").columns
+
