@@ -37,9 +37,13 @@ def main() -> None:
     path = sys.argv[1]
     top = int(sys.argv[2]) if len(sys.argv) > 2 else 15
     stages = []
+    tasks: dict[int, list[int]] = {}
     for f in _files(path):
         for line in _lines(f):
             ev = json.loads(line)
+            if ev.get("Event") == "SparkListenerTaskEnd":
+                info = ev["Task Info"]
+                tasks.setdefault(ev["Stage ID"], []).append(info["Finish Time"] - info["Launch Time"])
             if ev.get("Event") == "SparkListenerStageCompleted":
                 info = ev["Stage Info"]
                 start, end = info.get("Submission Time"), info.get("Completion Time")
@@ -48,8 +52,10 @@ def main() -> None:
                                    info["Stage Name"][:70]))
     total = sum(s[0] for s in stages)
     print(f"{len(stages)} stages, {total / 1000:.1f} s of stage time")
-    for ms, sid, tasks, name in sorted(stages, reverse=True)[:top]:
-        print(f"{ms / 1000:7.2f} s  stage {sid:4d}  {tasks:5d} tasks  {name}")
+    print("   stage time   id  tasks  task median / max (s)  name")
+    for ms, sid, n, name in sorted(stages, reverse=True)[:top]:
+        t = sorted(tasks.get(sid, [0]))
+        print(f"{ms / 1000:9.2f} s {sid:5d} {n:6d}   {t[len(t) // 2] / 1000:6.2f} / {t[-1] / 1000:6.2f}      {name}")
 
 
 if __name__ == "__main__":
