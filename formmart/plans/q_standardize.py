@@ -136,7 +136,7 @@ def q_fn_to_numeric(spark, sf_dir):
     f"SELECT game_id, team_id, CASE WHEN {_k_sql(7)} = 6 THEN NULL ELSE game_date END AS parsed "
     "FROM games"))
 def q_fn_parse_date(spark, sf_dir):
-    g = _tables(spark, sf_dir).games
+    g = R.with_style(_tables(spark, sf_dir).games)
     txt = F.when(_k(7) == 6, F.lit("not a date")).otherwise(R.date_text())
     return g.select("game_id", "team_id", P.parse_date(txt).alias("parsed"))
 

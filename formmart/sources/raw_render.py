@@ -17,9 +17,17 @@ from formmart.operators.joins import small_side
 _S = "string"
 
 
+_STYLE = "_fm_style"
+
+
+def with_style(df: DataFrame, other: str = "team_id") -> DataFrame:
+    """Add the per-row style number once (not re-derived inside every CASE branch)."""
+    return df.withColumn(_STYLE, F.col("game_id").cast("bigint") + F.col(other))
+
+
 def style(n: int) -> Column:
-    """Deterministic spelling selector: (game id + team id) mod n."""
-    return F.pmod(F.col("game_id").cast("bigint") + F.col("team_id"), F.lit(n))
+    """Deterministic spelling selector: (game id + team id) mod n; needs :func:`with_style`."""
+    return F.pmod(F.col(_STYLE), F.lit(n))
 
 
 def padded(c: str, width: int = 10) -> Column:
@@ -84,7 +92,7 @@ _STATS = ("pts", "fg_pct", "fg3_pct", "ft_pct", "reb", "ast", "tov")
 def raw_games_matchup(games: DataFrame, teams: DataFrame, junk: bool = True,
                       season: str = "full") -> DataFrame:
     """Box-score export with a MATCHUP text instead of an opponent id."""
-    g = _abbr(_abbr(games, teams, "team_id", "_t_abbr"), teams, "opponent_team_id", "_o_abbr")
+    g = with_style(_abbr(_abbr(games, teams, "team_id", "_t_abbr"), teams, "opponent_team_id", "_o_abbr"))
     season_c = {"full": F.col("season").cast(_S), "empty": F.lit(""),
                 "none": None}[season]
     cols = [padded("game_id").alias("GAME_ID"), date_text().alias("GAME_DATE_EST"),
@@ -109,6 +117,7 @@ def raw_games_matchup(games: DataFrame, teams: DataFrame, junk: bool = True,
 def raw_games_oppid(games: DataFrame, junk: bool = True, with_home: bool = True,
                     with_stats: bool = True, missing_keys: bool = False) -> DataFrame:
     """Export with explicit opponent ids (and optionally a home flag)."""
+    games = with_style(games)
     k = style(2)
     home = F.when(k == 0, F.when(F.col("is_home"), "1").otherwise("0")).otherwise(
         F.when(F.col("is_home"), "true").otherwise("false"))
@@ -141,7 +150,7 @@ def raw_games_oppid(games: DataFrame, junk: bool = True, with_home: bool = True,
 
 def raw_player_games(pg: DataFrame, teams: DataFrame, junk: bool = True) -> DataFrame:
     """Player box scores: MATCHUP text, MIN as 'M:SS' or a number, partly missing seasons."""
-    g = _abbr(_abbr(pg, teams, "team_id", "_t_abbr"), teams, "opponent_team_id", "_o_abbr")
+    g = with_style(_abbr(_abbr(pg, teams, "team_id", "_t_abbr"), teams, "opponent_team_id", "_o_abbr"))
     k = style(4)
     whole = F.floor(F.col("minutes"))
     secs = F.round((F.col("minutes") - whole) * 60).cast("int")
