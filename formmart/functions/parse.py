@@ -30,9 +30,10 @@ def to_numeric(c) -> Column:
 
 
 def to_long(c) -> Column:
-    """Tolerant integer: through double, so '2019.0' reads as 2019; fractions → null."""
+    """Tolerant integer: plain integer text directly; otherwise through double, so
+    '2019.0' reads as 2019 and fractions give null."""
     x = to_numeric(c)
-    return F.when(x == F.floor(x), x.cast("bigint"))
+    return F.coalesce(blank_to_null(c).try_cast("bigint"), F.when(x == F.floor(x), x.cast("bigint")))
 
 
 def strict_long(c, what: str = "id") -> Column:
