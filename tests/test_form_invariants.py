@@ -112,3 +112,30 @@ def test_null_dates_never_dropped(spark):
     assert len(plain) == 10  # the plain window keeps them (nulls sort first)
     with pytest.raises(ValueError):  # the chunked plan refuses rather than dropping rows
         rolling_form(df, "team_id", [("pts", "m")], n=3, chunk_rows=4)
+
+
+def _two_join_reference(base, stars):
+    own = stars.select(F.col("game_id").alias("g1"), F.col("team_id").alias("t1"), "star_pts_avg_l5_sum",
+                       "star_min_avg_l5_avg", "star_pm_avg_l5_avg")
+    opp = stars.select(F.col("game_id").alias("g2"), F.col("team_id").alias("t2"),
+                       *[F.col(c).alias("opp_" + c) for c in ("star_pts_avg_l5_sum", "star_min_avg_l5_avg",
+                                                             "star_pm_avg_l5_avg")])
+    return (base.join(own, (base.game_id == own.g1) & (base.team_id == own.t1), "left")
+                .join(opp, (base.game_id == opp.g2) & (base.opponent_team_id == opp.t2), "left")
+                .drop("g1", "t1", "g2", "t2"))
+
+
+def test_enrich_pivot_and_fallback_match_two_joins(spark):
+    base = spark.createDataFrame([("a", 1, 2), ("a", 2, 1), ("b", 3, 4), ("b", 4, 3), ("c", 5, 6)],
+                                 "game_id string, team_id long, opponent_team_id long")
+    cols = "game_id string, team_id long, star_pts_avg_l5_sum double, star_min_avg_l5_avg double, " \
+           "star_pm_avg_l5_avg double"
+    two_sided = spark.createDataFrame([("a", 1, 10.0, 1.0, None), ("a", 2, 20.0, 2.0, 0.5), ("b", 4, 40.0, 4.0, 4.5)],
+                                      cols)  # game b has one side, game c none
+    three_teams = two_sided.unionByName(spark.createDataFrame([("a", 9, 90.0, 9.0, 9.5)], cols))
+    for stars, pivot in ((two_sided, True), (three_teams, False)):
+        assert V._two_sides_per_game(stars) is pivot
+        got = V.enrich(base, stars)
+        want = _two_join_reference(base, stars).select(*got.columns)
+        assert got.count() == want.count()
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
