@@ -25,3 +25,12 @@ def test_small_side_broadcasts_only_when_small(spark):
         assert small_side(df) is df  # broadcasting disabled: left to a shuffle join
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_keys_none_when_balanced(spark):
+    from pyspark.sql import functions as F
+    from formmart.operators.joins import hot_keys, salted_join
+    df = spark.range(5000).select((F.col("id") % 100).alias("k"), F.col("id").alias("v"))
+    assert hot_keys(df, "k", share=0.05, min_rows=10) is None
+    small = spark.range(100).select(F.col("id").alias("k"))
+    assert salted_join(df, small, "k", share=0.05, min_rows=10).count() == 5000
