@@ -13,6 +13,8 @@ from formmart.plans.registry import register
 from formmart.session import scratch_path
 
 _FITS: dict = {}
+PREDICTIONS = ("game_id string, game_date date, team_id bigint, opponent_team_id bigint, is_home boolean, "
+               "y_win int, pred_win_proba double")
 _LOCK = threading.Lock()
 
 
@@ -87,7 +89,7 @@ def q_ml_model_roundtrip(spark, sf_dir):
 def q_sink_predictions(spark, sf_dir):
     """Test-set predictions as written (CSV with header), read back."""
     _, base, _ = trained(spark, sf_dir)
-    return spark.read.option("header", True).csv(f"{base}/test_predictions")
+    return spark.read.option("header", True).schema(PREDICTIONS).csv(f"{base}/test_predictions")
 
 
 @register("score_full")
@@ -100,7 +102,7 @@ def q_score_full(spark, sf_dir):
         views["v_training_dataset_enriched"] = m.training_dataset_enriched()
     out = L.score(spark, f"{base}/bundle", views)
     path = L.write_predictions(out, scratch_path(spark, "artifacts", "predictions_full"))
-    return spark.read.option("header", True).csv(path)
+    return spark.read.option("header", True).schema(out.schema).csv(path)
 
 
 @register("catalog_listing")
