@@ -5,10 +5,21 @@ from __future__ import annotations
 from formmart.llm.common import read_table
 from formmart.llm.registry import register
 from formmart.llm.url_filter import Rule, filter_urls
+from formmart.llm.warc import read_records, write_archives
 
 URL_RULES = [Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"),
              Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/")]
 
+_OP9_SQL = """
+WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS payload_digest,
+                  CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages),
+k AS (SELECT payload_digest, max(page_id) AS keeper FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN k.keeper IS DISTINCT FROM p.page_id AND k.keeper IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN k.keeper IS DISTINCT FROM p.page_id THEN k.keeper END AS refers_to
+FROM p LEFT JOIN k ON p.payload_digest = k.payload_digest AND p.payload_bytes >= 1000
+"""
+
 _OP10_SQL = r"""
 WITH rules(host, path, action) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
                                           ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
@@ -26,6 +37,14 @@ FROM urls u LEFT JOIN fits f ON u.n = f.n AND f.k = 1
 """
 
 
+@register("op9_warc", _OP9_SQL)
+def op9_warc(spark, sf_dir):
+    """Archives of all pages are written, then every record is read back through the index."""
+    index = write_archives(read_table(spark, sf_dir, "pages"), "page_id", "url", "html")
+    return read_records(index, with_payload=False).selectExpr(
+        "record_id AS page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @register("op10_url_filter", _OP10_SQL)
 def op10_url_filter(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
