@@ -19,3 +19,19 @@ def op6_packing(spark, sf_dir):
 
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return pack(docs, tokenizer_file("word_bpe_49k.json"), end_id=1, window=2048)
+
+
+@register("op5_piece_codec")
+def op5_piece_codec(spark, sf_dir):
+    from formmart.llm.piece_codec import encode_decode
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_decode(docs, tokenizer_file("piece_bpe_32k.model"), end_id=2, with_values=False)
+
+
+@register("op7_token_counts")
+def op7_token_counts(spark, sf_dir):
+    from formmart.llm.token_counts import count_tokens
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(docs, tokenizer_file("piece_bpe_32k.model"))
