@@ -185,7 +185,9 @@ class PieceModel:
 
     def decode(self, ids) -> str:
         """The text of ids, without the blank that encoding put in front."""
-        return self.decode_part(ids).removeprefix(" ")
+        ids = [i for i in ids if i not in self.silent]
+        marked = ids and ids[0] not in self.byte_of and self.pieces[ids[0]].startswith(BLANK)
+        return self.decode_part(ids)[1 if marked else 0:]
 
 
 def decode_bytes(data: bytes) -> str:

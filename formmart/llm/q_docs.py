@@ -35,3 +35,13 @@ def op7_token_counts(spark, sf_dir):
 
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return count_tokens(docs, tokenizer_file("piece_bpe_32k.model"))
+
+
+@register("op8_language_id")
+def op8_language_id(spark, sf_dir):
+    from formmart.llm.language_id import identify, split_held_out, train_prototypes
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", split_held_out(docs.doc_id))
+    prototypes = train_prototypes(docs.where("NOT held_out"))
+    return identify(docs, prototypes).select("doc_id", "held_out", "lang_pred", "score")
