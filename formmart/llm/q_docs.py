@@ -45,3 +45,11 @@ def op8_language_id(spark, sf_dir):
     docs = docs.withColumn("held_out", split_held_out(docs.doc_id))
     prototypes = train_prototypes(docs.where("NOT held_out"))
     return identify(docs, prototypes).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@register("op4_quality_rules")
+def op4_quality_rules(spark, sf_dir):
+    from formmart.llm.quality import judge, references
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return judge(docs, references(docs)).drop("text", "lang")
