@@ -53,3 +53,10 @@ def op4_quality_rules(spark, sf_dir):
 
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return judge(docs, references(docs)).drop("text", "lang")
+
+
+@register("op2_ngram_jaccard_join")
+def op2_ngram_jaccard_join(spark, sf_dir):
+    from formmart.llm.ngram_join import jaccard_join
+
+    return jaccard_join(read_table(spark, sf_dir, "documents").select("doc_id", "text"), size=3, percent=90)
