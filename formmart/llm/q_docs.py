@@ -60,3 +60,12 @@ def op2_ngram_jaccard_join(spark, sf_dir):
     from formmart.llm.ngram_join import jaccard_join
 
     return jaccard_join(read_table(spark, sf_dir, "documents").select("doc_id", "text"), size=3, percent=90)
+
+
+@register("op1_ppm")
+def op1_ppm(spark, sf_dir):
+    from formmart.llm.language_id import split_held_out
+    from formmart.llm.ppm import score_corpus
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_corpus(docs, split_held_out(docs.doc_id, folds=7, held=2))
