@@ -1,21 +1,28 @@
 """Ids of a ``tokenizers`` file, encoded word by word with a bounded store of known words.
 
-Cutting at blanks and line feeds is exact for tokenizers whose pre-tokenizer
-drops white space and never joins across it (checked by the tests against
-encoding whole texts).
+For tokenizers that normalize to NFC and lower case, drop white space and split
+runs of letters, single digits and runs of other marks, cutting a text into
+words gives the same ids as encoding it whole (the tests compare the two).  To
+know more words again, a full stop or comma after a letter or digit at a word's
+end is a word of its own, and texts without characters beyond U+02FF (so without
+combining marks, whose composition depends on case) are lower-cased first.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 
-#: Known words kept by a task; beyond that the store starts afresh.
+#: Words in each of the two generations of the store.
 MAX_WORDS = 300_000
 #: Longer words are encoded each time they occur.
 MAX_WORD_CHARS = 64
 
+_FAR = re.compile("[^\x00-˿]")
+_ENDING = re.compile(r"(?<=[^\W_])([.,])(?=[ \n]|\Z)")
+
 
 class WordIds:
     def __init__(self, path: str):
@@ -23,22 +30,33 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    @staticmethod
+    def words(text: str | None) -> list[str]:
+        if not text:
+            return []
+        if not _FAR.search(text):
+            text = text.lower()
+        return _ENDING.sub(r" \1", text).replace("\n", " ").split(" ")
 
     def texts(self, texts: list[str | None], chunk: int = 256):
         """The ids of each text as little-endian unsigned 32-bit integers; null counts as empty."""
         for at in range(0, len(texts), chunk):
-            words = [t.replace("\n", " ").split(" ") if t else [] for t in texts[at:at + chunk]]
-            new = set().union(*words) - self.known.keys()
-            if len(self.known) + len(new) > MAX_WORDS:
-                self.known = {"": b""}
-                new = set().union(*words) - self.known.keys()
-            new = list(new)
-            ids = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            known = dict(zip(new, (np.array(e.ids, "<u4").tobytes() for e in ids)))
-            long = {w: v for w, v in known.items() if len(w) > MAX_WORD_CHARS}
-            self.known |= known
+            words = [self.words(t) for t in texts[at:at + chunk]]
+            needed = set().union(*words)
+            if len(self.young) >= MAX_WORDS:
+                self.old, self.young = self.young, {}
+            missing = needed - self.young.keys()
+            again = {w: self.old[w] for w in missing if w in self.old}
+            new = list(missing - again.keys())
+            encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+            again.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in encoded)))
+            self.young |= again
+            known = self.young
             for ws in words:
-                yield b"".join([self.known[w] for w in ws])
-            for w in long:
-                del self.known[w]
+                yield b"".join([known[w] for w in ws])
+            for w in again:
+                if len(w) > MAX_WORD_CHARS:
+                    del known[w]
