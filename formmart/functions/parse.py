@@ -18,8 +18,13 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip(c) -> Column:
+    """Without white space at either end, of any Unicode kind (tabs, no-break spaces)."""
+    return F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")
+
+
 def blank_to_null(c) -> Column:
-    t = F.trim(_c(c))
+    t = strip(c)
     return F.when(t != "", t)
 
 
@@ -44,14 +49,20 @@ def strict_long(c, what: str = "id") -> Column:
 
 
 def parse_date(c, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
-    """First (format, shape) whose shape matches and whose format parses wins.
+    """First (format, shape) whose shape matches and whose format parses wins, then Spark's
+    own reading of timestamps (ISO forms with fractions or a zone).
 
     Month names match case-insensitively.  The shape check keeps formats from
-    being attempted on text they cannot read.
+    being attempted on text they cannot read; text that starts with four digits
+    and a dash tries the ISO forms alone.
     """
     t = blank_to_null(c)
-    tries = [F.when(t.rlike(shape), F.try_to_timestamp(t, F.lit(fmt))) for fmt, shape in formats]
-    return F.to_date(F.coalesce(*tries))
+    iso = t.rlike(r"^\d{4}-")
+    plain = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), t.try_cast("date"))
+    tried = lambda of: [F.when(t.rlike(shape), F.try_to_timestamp(t, F.lit(fmt))).cast("date")
+                        for fmt, shape in formats if fmt.startswith("yyyy-") == of]
+    return F.coalesce(plain, F.when(iso, F.coalesce(*tried(True), F.try_to_timestamp(t).cast("date")))
+                      .otherwise(F.coalesce(*tried(False))))
 
 
 def season_start(d) -> Column:
@@ -66,7 +77,7 @@ def parse_matchup(c) -> Column:
     Whitespace-split; at least three tokens; a middle token containing 'vs'
     (any case) means home, exactly '@' means away.  Abbreviations upper-cased.
     """
-    parts = F.split(F.trim(_c(c)), r"\s+")
+    parts = F.split(strip(c), r"(?U)\s+")
     ok = _c(c).isNotNull() & (F.size(parts) >= 3)
     mid = F.get(parts, 1)
     home = F.when(ok & F.lower(mid).contains("vs"), F.lit(True)).when(ok & (mid == "@"), F.lit(False))
@@ -80,7 +91,7 @@ def parse_matchup(c) -> Column:
 
 def parse_minutes(c) -> Column:
     """Minutes played from a number or 'MM:SS' (split at the first colon)."""
-    t = F.trim(_c(c).cast("string"))
+    t = strip(_c(c).cast("string"))
     has_colon = F.instr(t, ":") > 0
     mm = F.substring_index(t, ":", 1)
     ss = t.substr(F.instr(t, ":") + 1, F.lit(1 << 30))
@@ -97,10 +108,10 @@ def parse_bool(c) -> Column:
 
 def clean_wl(c) -> Column:
     """Upper-cased, trimmed result letter; null stays null."""
-    return F.upper(F.trim(_c(c)))
+    return F.upper(strip(c))
 
 
 def clean_id(c) -> Column:
-    """Identifier text without surrounding blanks or leading zeros ('007' → '7')."""
+    """Identifier text without surrounding blanks; of all-digit ids also without leading zeros ('007' → '7')."""
     t = blank_to_null(c)
-    return F.regexp_replace(t, r"^0+(?=\d)", "")
+    return F.regexp_replace(t, r"^0+(?=\d+$)", "")

@@ -113,6 +113,9 @@ DATE_FORMATS = (
     ("yyyy-MM-dd", r"^\d{4}-\d{1,2}-\d{1,2}$"),
     ("yyyy-MM-dd HH:mm:ss", r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}$"),
     ("yyyy-MM-dd'T'HH:mm:ss", r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{2}:\d{2}$"),
+    ("yyyy-MM-dd HH:mm", r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}$"),
+    ("MMMM d, yyyy", r"^[A-Za-z]{4,9} \d{1,2}, \d{4}$"),
+    ("d MMM yyyy", r"^\d{1,2} [A-Za-z]{3} \d{4}$"),
     ("MMM dd, yyyy", r"^[A-Za-z]{3} \d{2}, \d{4}$"),
     ("MMM d, yyyy", r"^[A-Za-z]{3} \d{1,2}, \d{4}$"),
     ("MM/dd/yyyy", r"^\d{2}/\d{2}/\d{4}$"),

@@ -57,3 +57,23 @@ def test_percent_text(spark):
                                                                       "0.00%"]
     r = spark.createDataFrame([(1, 8), (27, 200), (2, 3), (0, 5)], "n long, d long")
     assert [x[0] for x in r.select(ratio_round("n", "d", 3)).collect()] == [0.125, 0.135, 0.667, 0.0]
+
+
+def test_more_date_forms(spark):
+    import datetime as dt
+    from formmart.functions.parse import parse_date
+    day = dt.date(2020, 10, 27)
+    good = ["2020-10-27", "2020-10-27 00:00", "2020-10-27T00:00:00.000", "2020-10-27 00:00:00.000", "2020-10-27T00:00:00Z",
+            "October 27, 2020", "27 Oct 2020", "Oct 27, 2020", "10/27/2020", "20201027", "\t2020-10-27 "]
+    bad = ["2020-13-27", "27th of May", "", "x", None]
+    df = spark.createDataFrame([(x,) for x in good + bad], "d string")
+    assert [r[0] for r in df.select(parse_date("d")).collect()] == [day] * len(good) + [None] * len(bad)
+
+
+def test_white_space_of_any_kind_and_ids(spark):
+    from formmart.functions.parse import clean_id, clean_wl, parse_matchup
+    df = spark.createDataFrame([("\tMEM vs. OKC\n", "w\t", "001B"), ("ORL @ BOS", " L ", " 007 ")],
+                               "m string, wl string, id string")
+    rows = df.select(parse_matchup("m").alias("m"), clean_wl("wl").alias("wl"), clean_id("id").alias("id")).collect()
+    assert [(r.m.team, r.m.opponent, r.m.is_home, r.wl, r.id) for r in rows] == [
+        ("MEM", "OKC", True, "W", "001B"), ("ORL", "BOS", False, "L", "7")]
