@@ -44,8 +44,7 @@ def get_session(master: str | None = None, app: str = "formmart",
     return spark
 
 
-def size_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
-                   max_partitions: int = 100_000) -> dict[str, str]:
+def size_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Partition sizing for a job reading ``input_bytes``; fills only settings that are unset.
 
     AQE coalesces small shuffle partitions but never splits large ones, so the
@@ -53,7 +52,7 @@ def size_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes
     ``target_partition_bytes`` of input per partition).  Scan splits are capped
     at the same size.  Returns what was set.
     """
-    n = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    n = max(200, -(-input_bytes // target_partition_bytes))
     wanted = {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
@@ -84,14 +83,17 @@ def work_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables of this application.
 
     Uses the checkpoint folder of the running context (which the cluster sets
-    through ``spark.checkpoint.dir``); sets a private one only when none is
-    configured.
+    through ``spark.checkpoint.dir``).  Only a local master, whose executors
+    share the driver's disk, gets a private folder when none is configured; on
+    a cluster that is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
         base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-        if not base:  # local runs and tests only
+        if not base and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if not base:
             base = tempfile.mkdtemp(prefix="formmart-ckpt-")
         sc.setCheckpointDir(base)
         d = sc.getCheckpointDir()
