@@ -57,43 +57,40 @@ def small_side(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if measured_rows(df) * _row_width(df) <= limit else df
 
 
-def hot_keys(df: DataFrame, keys, share: float = 0.01, min_rows: int = 1 << 20) -> DataFrame | None:
-    """Keys holding more than ``share`` of the rows (and at least ``min_rows``).
+def hot_keys(df: DataFrame, keys, max_rows: int = 1 << 20) -> DataFrame | None:
+    """(keys, salts) of the keys with more than ``max_rows`` rows, a task's fair load at any size.
 
-    At most 1/share keys can qualify, so the result is small by construction.
-    Returns None when there are none (the common case, one small job).
+    ``salts`` is how many tasks such a key is dealt to.  Returns None when there
+    are none (the common case, one small job).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_fm_rows"))
-    total, biggest = per_key.agg(F.sum("_fm_rows"), F.max("_fm_rows")).first()
-    limit = max(int((total or 0) * share), min_rows)
-    if not biggest or biggest <= limit:  # the common case: one small job, no hot key
+    if (per_key.agg(F.max("_fm_rows")).first()[0] or 0) <= max_rows:
         return None
-    hot = per_key.where(F.col("_fm_rows") > limit)
-    rows = hot.select(*keys).collect()
-    if not rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, hot.select(*keys).schema)
+    return per_key.where(F.col("_fm_rows") > max_rows).select(
+        *keys, F.ceil(F.col("_fm_rows") / max_rows).cast("int").alias("salts"))
+
+
+SALTED = ("inner", "left", "left_semi", "left_anti")
 
 
-def salted_join(big: DataFrame, small: DataFrame, keys, how: str = "inner", salts: int = 32,
-                share: float = 0.01, min_rows: int = 1 << 20) -> DataFrame:
-    """Equi-join on ``keys`` that splits hot keys of ``big`` across ``salts`` tasks.
+def salted_join(big: DataFrame, small: DataFrame, keys, how: str = "inner", max_rows: int = 1 << 20) -> DataFrame:
+    """Equi-join on ``keys`` that splits the hot keys of ``big`` across tasks.
 
-    Rows of a hot key get a salt from a hash of the whole row; the matching
-    ``small`` rows are replicated once per salt.  Other keys use salt 0 and
-    are joined as usual.  Without hot keys this is a plain join.
+    Rows of a hot key are dealt to its salts by a hash of the whole row, which a
+    task that runs again repeats; the matching ``small`` rows are copied once for
+    each salt.  Other keys are joined as usual.  Joins that keep unmatched rows
+    of ``small`` would repeat them for each salt and are refused.
     """
+    if how not in SALTED:
+        raise ValueError(f"a salted join is one of {', '.join(SALTED)}")
     keys = [keys] if isinstance(keys, str) else list(keys)
-    hot = hot_keys(big, keys, share, min_rows)
+    hot = hot_keys(big, keys, max_rows)
     if hot is None:
         return big.join(small, keys, how)
-    flag = "_fm_hot"
-    hot = F.broadcast(hot.withColumn(flag, F.lit(True)))  # at most 1/share rows
-    b = big.join(hot, keys, "left")
-    b = b.withColumn("_fm_salt", F.when(F.col(flag), F.pmod(F.xxhash64(*big.columns), F.lit(salts)))
-                     .otherwise(F.lit(0))).drop(flag)
-    s = small.join(hot, keys, "left")
-    s = s.withColumn("_fm_salt", F.explode(F.when(F.col(flag), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                           .otherwise(F.array(F.lit(0))))).drop(flag)
+    hot = small_side(hot)
+    salts = F.coalesce(F.col("salts"), F.lit(1))
+    b = (big.join(hot, keys, "left")
+         .withColumn("_fm_salt", F.pmod(F.xxhash64(*big.columns), salts).cast("int")).drop("salts"))
+    s = small.join(hot, keys, "left").withColumn("_fm_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
     return b.join(s, [*keys, "_fm_salt"], how).drop("_fm_salt")

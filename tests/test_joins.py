@@ -7,9 +7,9 @@ def test_salted_join_equals_plain_join(spark):
     big = spark.range(20000).select((F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500)).alias("k"),
                                     F.col("id").alias("v"))
     small = spark.range(500).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    assert [r.k for r in hot_keys(big, "k", share=0.05, min_rows=100).collect()] == [7]
-    for how in ("inner", "left"):
-        a = salted_join(big, small, "k", how, salts=8, share=0.05, min_rows=100)
+    assert [(r.k, r.salts) for r in hot_keys(big, "k", max_rows=1000).collect()] == [(7, 7)]
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        a = salted_join(big, small, "k", how, max_rows=1000)
         b = big.join(small, "k", how)
         assert a.count() == b.count()
         assert a.select(*sorted(b.columns)).exceptAll(b.select(*sorted(b.columns))).count() == 0
@@ -31,6 +31,15 @@ def test_hot_keys_none_when_balanced(spark):
     from pyspark.sql import functions as F
     from formmart.operators.joins import hot_keys, salted_join
     df = spark.range(5000).select((F.col("id") % 100).alias("k"), F.col("id").alias("v"))
-    assert hot_keys(df, "k", share=0.05, min_rows=10) is None
+    assert hot_keys(df, "k", max_rows=50) is None
     small = spark.range(100).select(F.col("id").alias("k"))
-    assert salted_join(df, small, "k", share=0.05, min_rows=10).count() == 5000
+    assert salted_join(df, small, "k", max_rows=50).count() == 5000
+
+
+def test_salted_join_refuses_joins_that_keep_the_small_side(spark):
+    import pytest
+    from formmart.operators.joins import salted_join
+    df = spark.range(10)
+    for how in ("right", "full"):
+        with pytest.raises(ValueError):
+            salted_join(df, df, "id", how)
