@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from formmart.functions.labels import percent_text
-from formmart.operators.quantiles import DRIVER_DISTINCT_LIMIT, exact_quantiles
+from formmart.operators.quantiles import BUCKET_VALUES, exact_quantiles
 
 EPS = 2.220446049250313e-16  # double machine epsilon: probabilities are clipped to [eps, 1 - eps]
 
@@ -35,38 +35,26 @@ def accuracy_and_log_loss(df: DataFrame, y: str = "y", p: str = "p", threshold:
                   (-F.avg(yy * F.log(q) + (1 - yy) * F.log(1 - q))).alias("log_loss"))
 
 
-def roc_auc(df: DataFrame, y: str = "y", p: str = "p", buckets: int = 128) -> DataFrame:
+def roc_auc(df: DataFrame, y: str = "y", p: str = "p", buckets: int | None = None) -> DataFrame:
     """Area under the ROC curve with ties counted as one half; null for a single class.
 
     Equals the rank-sum statistic with average ranks.  Scores are reduced to
-    distinct values with (positives, negatives) counts.  A small summary
-    (size-checked) is walked on the driver; otherwise the running count of
+    distinct values with (positives, negatives) counts.  The running count of
     negatives below each score comes from a two-level scan: score buckets cut
-    at approximate quantiles, per-bucket totals (a small table), then a running
-    sum inside each bucket — no task ever orders all scores.
+    at approximate quantiles (one for each ``BUCKET_VALUES`` distinct scores),
+    per-bucket totals (a small table), then a running sum inside each bucket:
+    no task ever orders all scores.  Null scores come first, NaN last.
     """
     from pyspark import StorageLevel
     scores = df.select(F.col(p).cast("double").alias("s"), F.col(y).cast("int").alias("y"))
     dist = (scores.groupBy("s").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
                   .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        if dist.count() <= DRIVER_DISTINCT_LIMIT:
-            # size-checked: walk the bounded (score, positives, negatives) summary
-            return df.sparkSession.createDataFrame([(_auc_from_summary(dist.collect()),)], "roc_auc double")
-        return _roc_auc_bucketed(dist, buckets)
+        buckets = buckets or max(2, -(-dist.count() // BUCKET_VALUES))
+        auc = _roc_auc_bucketed(dist, buckets).first()[0]
     finally:
         dist.unpersist()
-
-
-def _auc_from_summary(rows) -> float | None:
-    neg_below = c = npos = nneg = 0
-    for r in sorted(rows, key=lambda r: (r["s"] is not None, r["s"])):  # nulls first, as in Spark
-        pos, neg = r["pos"] or 0, r["neg"] or 0
-        c += pos * (neg_below + 0.5 * neg)
-        neg_below += neg
-        npos += pos
-        nneg += neg
-    return c / (float(npos) * nneg) if npos > 0 and nneg > 0 else None
+    return df.sparkSession.createDataFrame([(auc,)], "roc_auc double")
 
 
 def _roc_auc_bucketed(dist: DataFrame, buckets: int) -> DataFrame:

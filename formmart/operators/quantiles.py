@@ -26,14 +26,15 @@ def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def order_statistics(df: DataFrame, cols: Sequence[str], ranks: dict[str, set[int]] | None = None,
-                     probs: Sequence[float] = (), buckets: int = 128) -> tuple[dict, dict]:
+                     probs: Sequence[float] = (), buckets: int | None = None) -> tuple[dict, dict]:
     """Return ({col: n_non_null}, {(col, rank): value}) for the requested 0-based ranks.
 
     If ``ranks`` is None, the ranks needed for ``probs`` (linear interpolation)
     are requested.  All passes after the first run on the distinct
     (column, value, count) table, which is far smaller than the input whenever
-    values repeat.  When that table is small (size-checked), it is read whole
-    and walked on the driver; otherwise the bucketed distributed path runs.
+    values repeat.  ``buckets`` defaults to one for each ``BUCKET_VALUES``
+    distinct values of the largest column, so that a bucket's window task keeps
+    its size as the data grow.
     """
     from pyspark import StorageLevel
     # map-side combined: one row per distinct value of each column
@@ -45,13 +46,13 @@ def order_statistics(df: DataFrame, cols: Sequence[str], ranks: dict[str, set[in
         dist.unpersist()
 
 
-DRIVER_DISTINCT_LIMIT = 50_000
+BUCKET_VALUES = 1 << 18
 
 
 def _order_statistics(df, dist, ranks, probs, buckets):
     per_col = dist.groupBy("k").agg(F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("d")).collect()
     counts = {r["k"]: r["n"] for r in per_col}
-    small = sum(r["d"] for r in per_col) <= DRIVER_DISTINCT_LIMIT
+    buckets = buckets or max(2, -(-max([r["d"] for r in per_col], default=0) // BUCKET_VALUES))
     if ranks is None:
         ranks = {}
         for c, n in counts.items():
@@ -63,16 +64,13 @@ def _order_statistics(df, dist, ranks, probs, buckets):
     ranks = {c: r for c, r in ranks.items() if c in counts and r}
     if not ranks:
         return counts, {}
-    if small:
-        # size-checked: the distinct (column, value, count) summary is at most
-        # DRIVER_DISTINCT_LIMIT rows, so read it and walk the cumulative counts
-        return counts, _ranks_from_summary(dist.where(F.col("k").isin(list(ranks))).collect(), ranks)
     qs = [i / buckets for i in range(1, buckets)]
     # edges over distinct values: buckets hold similar numbers of distinct values,
     # which bounds the rows any one window task below has to order
-    edges = (dist.where(F.col("k").isin(list(ranks)))
-                 .groupBy("k").agg(F.percentile_approx("v", qs, 10 * buckets).alias("edges")))
-    # one row per requested column with at most `buckets` edges: bounded, broadcast
+    # collected once (at most `buckets` numbers a column): the sketch may differ from job to job
+    cut = {r["k"]: r["edges"] for r in dist.where(F.col("k").isin(list(ranks))).groupBy("k")
+           .agg(F.percentile_approx("v", qs, 10 * buckets).alias("edges")).collect()}
+    edges = df.sparkSession.createDataFrame(list(cut.items()), "k string, edges array<double>")
     bucketed = (dist.join(F.broadcast(edges), "k")
                     .withColumn("b", F.size(F.filter("edges", lambda e: e < F.col("v")))).drop("edges"))
     per_bucket = bucketed.groupBy("k", "b").agg(F.sum("cnt").alias("n")).collect()
@@ -99,24 +97,8 @@ def _order_statistics(df, dist, ranks, probs, buckets):
     return counts, {(r["k"], r["rnk"]): r["v"] for r in hits}
 
 
-def _ranks_from_summary(rows, ranks: dict[str, set[int]]) -> dict[tuple, float]:
-    by_col: dict[str, list] = {}
-    for r in rows:
-        by_col.setdefault(r["k"], []).append((r["v"], r["cnt"]))
-    out = {}
-    for c, vals in by_col.items():
-        want = sorted(ranks.get(c, ()))
-        acc, i = 0, 0
-        for v, n in sorted(vals):
-            while i < len(want) and want[i] < acc + n:
-                out[(c, want[i])] = v
-                i += 1
-            acc += n
-    return out
-
-
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    buckets: int = 128) -> dict[str, list[float | None]]:
+                    buckets: int | None = None) -> dict[str, list[float | None]]:
     """Linear-interpolation quantiles of each column (None for an all-null column)."""
     counts, vals = order_statistics(df, cols, probs=probs, buckets=buckets)
     out = {}

@@ -80,7 +80,8 @@ def test_quantiles_distributed_path_matches_summary_path(spark, monkeypatch):
     df = spark.createDataFrame([(v, v * 2) for v in vals], "x double, y double")
     probs = [0.1, 0.5, 0.9]
     small = Q.exact_quantiles(df, ["x", "y"], probs)
-    monkeypatch.setattr(Q, "DRIVER_DISTINCT_LIMIT", 10)  # force the bucketed path
+    monkeypatch.setattr(Q, "BUCKET_VALUES", 100)
+    assert Q.exact_quantiles(df, ["x", "y"], probs) == small
     big = Q.exact_quantiles(df, ["x", "y"], probs, buckets=16)
     want = {c: list(np.percentile([v if c == "x" else 2 * v for v in vals], [p * 100 for p in probs]))
             for c in ("x", "y")}
@@ -103,7 +104,8 @@ def test_auc_summary_and_bucketed_paths_agree(spark, monkeypatch):
     y = (rng.random(2000) < p).astype(int)
     df = spark.createDataFrame([(int(a), float(round(b, 3))) for a, b in zip(y, p)], "y int, p double")
     small = MM.roc_auc(df).first()[0]
-    monkeypatch.setattr(MM, "DRIVER_DISTINCT_LIMIT", 10)  # force the distributed path
+    monkeypatch.setattr(MM, "BUCKET_VALUES", 50)
+    assert MM.roc_auc(df).first()[0] == pytest.approx(small, rel=1e-12)
     big = MM.roc_auc(df, buckets=16).first()[0]
     pos, neg = p.round(3)[y == 1], p.round(3)[y == 0]
     want = ((pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()) / (len(pos) * len(neg))
