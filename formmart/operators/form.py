@@ -47,9 +47,13 @@ def entity_rank(df: DataFrame, entity, date_col: str, tie_cols: Sequence[str],
     offsets = per_day.select(*keys, date_col,
                              F.coalesce(F.sum("_fm_n").over(before), F.lit(0)).alias("_fm_off"))
     within = Window.partitionBy(*keys, date_col).orderBy(*tie_cols)
-    # equi-join on (entity, day): its partitioning is reused by the row-number window.
-    # Entity and date must be non-null here (see :func:`with_rolling`).
-    return (df.join(offsets, [*keys, date_col])
+    # null-safe, so that rows without an entity or a date are ranked as in a plain window
+    there = offsets.select(*[F.col(c).alias(f"_fm_k{i}") for i, c in enumerate([*keys, date_col])], "_fm_off")
+    same = None
+    for i, c in enumerate([*keys, date_col]):
+        term = F.col(c).eqNullSafe(F.col(f"_fm_k{i}"))
+        same = term if same is None else same & term
+    return (df.join(there, same).drop(*[f"_fm_k{i}" for i in range(len(keys) + 1)])
               .withColumn(rank_col, F.col("_fm_off") + F.row_number().over(within) - 1)
               .drop("_fm_off"))
 
@@ -59,11 +63,9 @@ def rank_rows(df: DataFrame, entity, date_col: str, tie_cols: Sequence[str], ran
     """0-based position within the entity: a plain row number when the largest
     entity fits in ``chunk_rows``, else the two-level :func:`entity_rank`."""
     keys = _cols(entity)
-    biggest, null_keys = _entity_stats(df, keys, date_col)
-    if biggest <= chunk_rows:
+    if largest_entity(df, keys) <= chunk_rows:
         w = Window.partitionBy(*keys).orderBy(date_col, *tie_cols)
         return df.withColumn(rank_col, F.row_number().over(w) - 1)
-    _require_keys(null_keys)
     return entity_rank(df, keys, date_col, tie_cols, rank_col)
 
 
@@ -73,24 +75,6 @@ def largest_entity(df: DataFrame, keys: Sequence[str]) -> int:
     return int(n or 0)
 
 
-def _entity_stats(df: DataFrame, keys: Sequence[str], date_col: str) -> tuple[int, int]:
-    """(events of the biggest entity, rows with a null entity or date) in one small job."""
-    bad = None
-    for c in [*keys, date_col]:
-        term = F.col(c).isNull()
-        bad = term if bad is None else bad | term
-    per = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_fm_n"),
-                                F.sum(F.when(bad, 1).otherwise(0)).alias("_fm_bad"))
-    row = per.agg(F.max("_fm_n"), F.sum("_fm_bad")).first()
-    return int(row[0] or 0), int(row[1] or 0)
-
-
-def _require_keys(null_keys: int) -> None:
-    if null_keys:
-        raise ValueError(f"{null_keys} rows have a null entity or date: the chunked plan for a hot "
-                         "entity needs both (standardized tables drop such rows)")
-
-
 def with_rolling(df: DataFrame, entity, date_col: str, tie_cols: Sequence[str],
                  features: dict[str, Column], n: int = 5,
                  chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
@@ -104,11 +88,9 @@ def with_rolling(df: DataFrame, entity, date_col: str, tie_cols: Sequence[str],
     if chunk_rows <= n:
         raise ValueError("chunk_rows must exceed the look-back n")
     keys = _cols(entity)
-    biggest, null_keys = _entity_stats(df, keys, date_col)
-    if biggest <= chunk_rows:
+    if largest_entity(df, keys) <= chunk_rows:
         w = Window.partitionBy(*keys).orderBy(date_col, *tie_cols)
         return df.select("*", *[f(w).alias(name) for name, f in features.items()])
-    _require_keys(null_keys)
     ranked = entity_rank(df, keys, date_col, tie_cols)
     pos = F.col(_RANK) % chunk_rows
     # Every row lives in its own chunk; the last n rows of a chunk are also
