@@ -5,9 +5,9 @@ split (exact medians, midpoint for even counts) is baked into the pipeline as a
 ``SQLTransformer``; logistic regression with an L2 penalty of strength 1 on the
 summed loss becomes ``regParam = 1 / n_train`` on Spark's mean loss, without
 standardization; the histogram gradient-boosting model becomes a seeded
-``GBTClassifier`` of the same size (similar family, not identical numbers),
-including its default early stopping above 10,000 training rows (10% held
-out, stop when the held-out loss stops improving).
+``GBTClassifier`` of the same size (similar family, not identical numbers).
+It is fitted on all training rows; ``early_stopping`` asks for a held-out share
+instead, at any size.
 """
 
 from __future__ import annotations
@@ -47,11 +47,7 @@ def _imputer_sql(features: Sequence[str], medians: dict[str, float]) -> str:
     return f"SELECT *, {cols} FROM __THIS__"
 
 
-# The boosted model's early-stopping default: above this many training rows a
-# seeded 10% of them is held out and boosting stops once the held-out loss no
-# longer improves.
-EARLY_STOP_MIN_ROWS = 10_000
-EARLY_STOP_FRACTION = 0.1
+EARLY_STOP_FRACTION = 0.1  # of the training rows, where early stopping is asked for
 _VAL = "_fm_es_val"
 
 
@@ -113,8 +109,12 @@ class TrainResult:
 
 
 def fit_models(split_df: DataFrame, dataset_view: str, seed: int = 42,
-               kinds: Sequence[str] = ("lr", "gbt")) -> TrainResult:
-    """Fit on 'train', evaluate on 'val' and 'test', pick the lowest validation log loss (ties → lr)."""
+               kinds: Sequence[str] = ("lr", "gbt"), early_stopping: bool = False) -> TrainResult:
+    """Fit on 'train', evaluate on 'val' and 'test', pick the lowest validation log loss (ties → lr).
+
+    With ``early_stopping`` the boosted model holds out the training rows whose
+    hash of (game, team, seed) falls in a tenth, and stops when their loss does.
+    """
     df = with_label(split_df.withColumn("is_home", F.col("is_home").cast("double")))
     features = feature_columns(split_df.drop("split"))
     train = df.where(F.col("split") == "train")
@@ -122,17 +122,18 @@ def fit_models(split_df: DataFrame, dataset_view: str, seed: int = 42,
     med = exact_medians(train, features)
     skipped = [c for c in features if med[c] is None]  # all-null in train: dropped, as the source's imputer does
     features = [c for c in features if med[c] is not None]
-    early = n_train > EARLY_STOP_MIN_ROWS
-    # hold-out flag for the boosted model's early stopping (seeded, so reproducible)
-    train = train.withColumn(_VAL, F.rand(seed) < EARLY_STOP_FRACTION).persist()
+    part = F.pmod(F.xxhash64("game_id", "team_id", F.lit(seed)), F.lit(1000))
+    train = train.withColumn(_VAL, part < int(1000 * EARLY_STOP_FRACTION)).persist()
     models, metrics = {}, {}
-    for kind in kinds:
-        models[kind] = build_pipeline(kind, features, med, n_train, seed, early_stopping=early).fit(train)
-        for part in ("val", "test"):
-            rows = df.where(F.col("split") == part)
-            for name, v in evaluate(proba(models[kind], rows)).items():
-                metrics[f"{kind}_{part}_{name}"] = v
-    train.unpersist()
+    try:
+        for kind in kinds:
+            models[kind] = build_pipeline(kind, features, med, n_train, seed, early_stopping=early_stopping).fit(train)
+            for part in ("val", "test"):
+                rows = df.where(F.col("split") == part)
+                for name, v in evaluate(proba(models[kind], rows)).items():
+                    metrics[f"{kind}_{part}_{name}"] = v
+    finally:
+        train.unpersist()
     scored = [(k, metrics.get(f"{k}_val_logloss")) for k in kinds]
     scored = [(k, v if v is not None else float("inf")) for k, v in scored]
     best = min(scored, key=lambda t: t[1])[0]  # stable: lr wins ties
