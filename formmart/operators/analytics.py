@@ -83,12 +83,15 @@ def busiest_pair(games: DataFrame) -> DataFrame:
                                          F.col("opponent_team_id").alias("team_b")))
 
 
-def matchup_feature_rows(dataset: DataFrame, pair: DataFrame) -> DataFrame:
-    """Feature rows of both sides for every game between the pair (both perspectives)."""
-    p = pair.select("team_a", "team_b")
-    a_side = dataset.join(p, (dataset.team_id == p.team_a) & (dataset.opponent_team_id == p.team_b), "left_semi")
-    b_side = dataset.join(p, (dataset.team_id == p.team_b) & (dataset.opponent_team_id == p.team_a), "left_semi")
-    return a_side.unionByName(b_side)
+def matchup_feature_rows(dataset: DataFrame, team_a: int, team_b: int) -> DataFrame:
+    """Feature rows of both sides for every game between two teams; the ids reach the scan as a filter."""
+    t, o = F.col("team_id"), F.col("opponent_team_id")
+    return dataset.where(((t == team_a) & (o == team_b)) | ((t == team_b) & (o == team_a)))
+
+
+def game_row(dataset: DataFrame, game_id, team_id: int) -> DataFrame:
+    """The feature row of one side of one game."""
+    return dataset.where((F.col("game_id") == game_id) & (F.col("team_id") == team_id))
 
 
 def most_frequent_team(dataset: DataFrame) -> DataFrame:
@@ -97,11 +100,10 @@ def most_frequent_team(dataset: DataFrame) -> DataFrame:
                    .orderBy(F.col("count").desc(), "team_id").limit(1).select("team_id"))
 
 
-def form_series(form: DataFrame, team: DataFrame, first: int = 60, last: int = 20) -> DataFrame:
+def form_series(form: DataFrame, team_id: int, first: int = 60, last: int = 20) -> DataFrame:
     """One team's first ``first`` form rows by date, of which the last ``last``."""
     cols = ["game_date", "game_id", "team_id", "wl", "pts", "pts_avg_l5", "winrate_l5", "tov", "tov_avg_l5"]
-    head = (form.join(team, "team_id", "left_semi").select(*cols)
-                .orderBy("game_date", "game_id").limit(first))
+    head = form.where(F.col("team_id") == team_id).select(*cols).orderBy("game_date", "game_id").limit(first)
     return head.orderBy(F.col("game_date").desc(), F.col("game_id").desc()).limit(last)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from formmart import schemas as S
 from formmart.functions.labels import quantize
+from formmart.operators.joins import small_side
 
 
 def glossary_frame(spark: SparkSession, glossary: dict[str, str] | None = None) -> DataFrame:
@@ -30,17 +31,22 @@ def read_glossary(spark: SparkSession, path: str) -> DataFrame:
     return obj.unpivot([], obj.columns, "indicator", "explanation")
 
 
+def _shown(columns: Sequence[str]) -> list[tuple[int, str]]:
+    """(place, name) of the own-side indicators: the preferred ones by their order, the rest behind."""
+    preferred = {name: i for i, name in enumerate([*S.COMPARE_DEFAULTS, *S.STAR_FEATURES])}
+    own = [c for c in columns if not c.startswith("opp_") and c not in S.COMPARE_IGNORE]
+    return sorted(((preferred.get(c, len(preferred)), c) for c in own), key=lambda x: x[0])
+
+
 def indicator_list(columns: Sequence[str]) -> list[str]:
-    """Default indicators first (star ones when present), then the remaining own-side columns."""
-    defaults = list(S.COMPARE_DEFAULTS) + [c for c in S.STAR_FEATURES if c in columns]
-    available = [c for c in columns if c not in S.COMPARE_IGNORE and not c.startswith("opp_")]
-    return [c for c in defaults if c in available] + [c for c in available if c not in defaults]
+    """All indicators of a dataset, in the order in which they are offered."""
+    return [name for _, name in _shown(columns)]
 
 
 def default_indicators(columns: Sequence[str]) -> list[str]:
-    defaults = list(S.COMPARE_DEFAULTS) + [c for c in S.STAR_FEATURES if c in columns]
-    available = set(indicator_list(columns))
-    return [c for c in defaults if c in available]
+    """The preferred indicators that a dataset has."""
+    known = len(S.COMPARE_DEFAULTS) + len(S.STAR_FEATURES)
+    return [name for place, name in _shown(columns) if place < known]
 
 
 def _by_gap(left: Column, right: Column) -> Column:
@@ -71,8 +77,7 @@ def matchup_compare(dataset: DataFrame, glossary: DataFrame,
     long = dataset.select("game_id", "team_id", "opponent_team_id",
                           F.posexplode(F.array_sort(pairs, _by_gap)).alias("pos", "x")).select(
         "game_id", "team_id", "opponent_team_id", "x.*", (F.col("pos") + 1).cast("int").alias("position"))
-    # glossary: one row per known indicator, a fixed small table
-    long = long.join(F.broadcast(glossary), "indicator", "left").withColumn(
+    long = long.join(small_side(glossary), "indicator", "left").withColumn(
         "explanation", F.coalesce(F.col("explanation"), F.lit("")))
     return long.select("game_id", "team_id", "opponent_team_id", "indicator", "explanation", "team_value",
                        "opponent_value", "difference", "position")

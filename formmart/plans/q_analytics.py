@@ -20,34 +20,37 @@ def ratio_sql(num: str, den: str, digits: int = 3) -> str:
     return f"CAST((2 * {s} * ({num}) + ({den})) // (2 * ({den})) AS DOUBLE) / {s}"
 
 
-PAIR = ("pair AS (SELECT team_id AS team_a, opponent_team_id AS team_b FROM v_games GROUP BY 1, 2 "
-        "ORDER BY count(*) DESC, 1, 2 LIMIT 1)")
+PAIR = ("meetings AS (SELECT team_id AS team_a, opponent_team_id AS team_b, count(*) AS n FROM v_games GROUP BY ALL), "
+        "pair AS (SELECT team_a, team_b FROM meetings ORDER BY n DESC, team_a, team_b LIMIT 1)")
 
 
 @register("standings", with_views(
-    f"SELECT season, t.full_name AS team_name, CAST(SUM({WIN}) AS BIGINT) AS wins, "
-    f"CAST(SUM({LOSS}) AS BIGINT) AS losses, {ratio_sql(f'SUM({WIN})', 'COUNT(*)')} AS win_pct "
-    "FROM v_games g JOIN v_teams t ON t.team_id = g.team_id GROUP BY 1, 2"))
+    f", results AS (SELECT season, team_id, {WIN} AS w, {LOSS} AS l FROM v_games) "
+    "SELECT season, full_name AS team_name, CAST(sum(w) AS BIGINT) AS wins, CAST(sum(l) AS BIGINT) AS losses, "
+    f"{ratio_sql('sum(w)', 'count(*)')} AS win_pct "
+    "FROM results JOIN v_teams USING (team_id) GROUP BY season, full_name"))
 def q_standings(spark, sf_dir):
     m = mart_for(spark, sf_dir)
     return A.standings(m.v_games(), m.v_teams())
 
 
 @register("h2h_unordered", with_views(
-    "SELECT a.full_name AS team_a, b.full_name AS team_b, CAST(SUM(is_win) AS BIGINT) AS wins_team_a_side, "
-    "CAST(COUNT(*) - SUM(is_win) AS BIGINT) AS losses_team_a_side, "
-    f"{ratio_sql('SUM(is_win)', 'COUNT(*)')} AS winrate_team_a_side "
-    f"FROM (SELECT LEAST(team_id, opponent_team_id) AS t1, GREATEST(team_id, opponent_team_id) AS t2, "
-    f"{WIN} AS is_win FROM v_games) h2h JOIN v_teams a ON a.team_id = h2h.t1 JOIN v_teams b ON b.team_id = h2h.t2 "
-    "GROUP BY 1, 2"))
+    f", met AS (SELECT list_sort([team_id, opponent_team_id]) AS ids, {WIN} AS w FROM v_games), "
+    "per_pair AS (SELECT ids, sum(w) AS w, count(*) AS n FROM met GROUP BY ids) "
+    "SELECT x.full_name AS team_a, y.full_name AS team_b, CAST(sum(w) AS BIGINT) AS wins_team_a_side, "
+    "CAST(sum(n) - sum(w) AS BIGINT) AS losses_team_a_side, "
+    f"{ratio_sql('sum(w)', 'sum(n)')} AS winrate_team_a_side "
+    "FROM per_pair JOIN v_teams x ON x.team_id = ids[1] JOIN v_teams y ON y.team_id = ids[2] GROUP BY ALL"))
 def q_h2h_unordered(spark, sf_dir):
     m = mart_for(spark, sf_dir)
     return A.h2h_unordered(m.v_games(), m.v_teams())
 
 
-@register("h2h_record_all", with_views(
-    f"SELECT team_id, opponent_team_id, COUNT(*) AS games_count, CAST(SUM({WIN}) AS BIGINT) AS team_a_wins, "
-    f"CAST(SUM({LOSS}) AS BIGINT) AS team_a_losses FROM v_games GROUP BY 1, 2"))
+_TALLY = ("count(*) AS games_count, CAST(sum(CAST(wl = 'W' AS INTEGER)) AS BIGINT) AS team_a_wins, "
+          "CAST(sum(CAST(wl = 'L' AS INTEGER)) AS BIGINT) AS team_a_losses")
+
+
+@register("h2h_record_all", with_views(f"SELECT team_id, opponent_team_id, {_TALLY} FROM v_games GROUP BY ALL"))
 def q_h2h_record_all(spark, sf_dir):
     return A.h2h_record_all(mart_for(spark, sf_dir).v_games())
 
@@ -58,9 +61,7 @@ def _pair(spark, sf_dir):
 
 
 @register("h2h_record", with_views(
-    f", {PAIR} SELECT COUNT(*) AS games_count, CAST(SUM({WIN}) AS BIGINT) AS team_a_wins, "
-    f"CAST(SUM({LOSS}) AS BIGINT) AS team_a_losses FROM v_games g JOIN pair "
-    "ON g.team_id = pair.team_a AND g.opponent_team_id = pair.team_b"))
+    f", {PAIR} SELECT {_TALLY} FROM v_games WHERE (team_id, opponent_team_id) = (SELECT (team_a, team_b) FROM pair)"))
 def q_h2h_record(spark, sf_dir):
     a, b = _pair(spark, sf_dir)
     return A.h2h_record(mart_for(spark, sf_dir).v_games(), a, b)
@@ -93,9 +94,7 @@ def _rsel(cols, alias="d"):
     "OR (d.team_id = pair.team_b AND d.opponent_team_id = pair.team_a)"))
 def q_matchup_feature_rows(spark, sf_dir):
     m = mart_for(spark, sf_dir)
-    a, b = _pair(spark, sf_dir)
-    pair = spark.createDataFrame([(a, b)], "team_a bigint, team_b bigint")
-    return rounded(A.matchup_feature_rows(m.dataset(), pair))
+    return rounded(A.matchup_feature_rows(m.dataset(), *_pair(spark, sf_dir)))
 
 
 @register("leakage_series", with_views(
@@ -107,7 +106,7 @@ def q_matchup_feature_rows(spark, sf_dir):
     "FROM (SELECT * FROM head ORDER BY game_date DESC, game_id DESC LIMIT 20) h"))
 def q_leakage_series(spark, sf_dir):
     m = mart_for(spark, sf_dir)
-    team = A.most_frequent_team(m.dataset())
+    team = A.most_frequent_team(m.dataset()).first()[0]
     return rounded(A.form_series(m.team_form(), team))
 
 

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from formmart.plans.registry import ORACLES
 
 TABLES = "region nation customer supplier part orders lineitem".split()
 
@@ -35,7 +36,7 @@ def duck(sf_dir):
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, sf_dir, duck, name):
     df = E.queries()[name](spark, sf_dir)
     rows = [tuple(r) for r in df.collect()]
