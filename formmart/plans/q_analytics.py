@@ -97,6 +97,15 @@ def q_matchup_feature_rows(spark, sf_dir):
     return rounded(A.matchup_feature_rows(m.dataset(), *_pair(spark, sf_dir)))
 
 
+@register("game_row", with_views(
+    f"SELECT {_rsel(_ENR)} FROM v_training_dataset_enriched d ORDER BY d.game_date, d.game_id, d.team_id LIMIT 1"))
+def q_game_row(spark, sf_dir):
+    """Point lookup by (game, team): the first row of the dataset, found by its key."""
+    ds = mart_for(spark, sf_dir).dataset()
+    key = ds.orderBy("game_date", "game_id", "team_id").select("game_id", "team_id").first()
+    return rounded(A.game_row(ds, key.game_id, key.team_id) if key else ds.limit(0))
+
+
 @register("leakage_series", with_views(
     ", top_team AS (SELECT team_id FROM v_training_dataset_enriched GROUP BY team_id "
     "ORDER BY count(*) DESC, team_id LIMIT 1), "
