@@ -38,10 +38,11 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 @dataclass(frozen=True)
 class Limits:
     min_words: int = 50
-    max_char_distance: float = 0.26
-    max_word_distance: float = 0.46
     min_chars_for_classes: int = 200
-    min_words_for_common: int = 50
+    max_char_distance: float = 0.26
+    #: (least number of words, largest distance); short texts vary more.  A text
+    #: without any common word is about 0.4 away from its language.
+    word_distances: tuple[tuple[int, float], ...] = ((50, 0.46), (120, 0.385))
 
 
 @dataclass(frozen=True)
@@ -77,18 +78,18 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", top_word
     """Histograms of every language over all documents that have one."""
     rows = (docs.select(F.col(text).alias("t"), F.col(lang).alias("lang"))
             .where(F.col("t").isNotNull() & F.col("lang").isNotNull()))
-    sums = (_classes(rows, "t").groupBy("lang").agg(*[F.sum(f"_c_{c}").alias(c) for c in CLASSES])
+    sums = (_classes(rows, "t").groupBy("lang")
+            .agg(*[F.sum(f"_c_{c}").alias(c) for c in CLASSES], F.sum(F.size(word_array(F.col("t")))).alias("n_words"))
             .limit(MAX_LANGUAGES + 1).collect())
     if len(sums) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    classes = {}
+    classes, totals = {}, {r.lang: r.n_words for r in sums}
     for r in sums:
         total = sum(r[c] for c in CLASSES)
         if total:
             classes[r.lang] = tuple(r[c] / total for c in CLASSES)
     counts = (rows.select("lang", F.explode(word_array(F.col("t"))).alias("word"))
               .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
-    totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     common = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_words).collect()
     words: dict[str, dict[str, float]] = {x: {} for x in classes}
@@ -183,10 +184,12 @@ def judge(docs: DataFrame, refs: References, text: str = "text", limits: Limits
         df = df.withColumn("_near", F.array_min(F.zip_with(
             "char_distance", "word_distance", lambda c, w: F.struct((c + w).alias("sum"), c.alias("c"), w.alias("w")))))
         df = df.withColumn("char_distance", F.col("_near.c")).withColumn("word_distance", F.col("_near.w"))
-        far = ((F.col("_n") >= limits.min_chars_for_classes) & (F.col("char_distance") > limits.max_char_distance)) | (
-            (F.col("n_words") >= limits.min_words_for_common) & (F.col("word_distance") > limits.max_word_distance))
+        far = (F.col("_n") >= limits.min_chars_for_classes) & (F.col("char_distance") > limits.max_char_distance)
+        for least, most in limits.word_distances:
+            far = far | ((F.col("n_words") >= least) & (F.col("word_distance") > most))
     else:
         df = df.withColumn("char_distance", F.lit(None).cast("double")).withColumn("word_distance", F.lit(None).cast("double"))
         far = F.lit(False)
     df = df.withColumn("kept", ~F.col("base_failed") & ~far)
-    return df.select(*kept, *out)
+    # as a generated row, so that a later filter on a verdict isn't moved below, where all would be computed again
+    return df.select(*kept, F.inline(F.array(F.struct(*out))))
