@@ -13,7 +13,6 @@ from formmart.session import scratch_path
 WORD_CLASS = r"\x20\x09-\x0D"
 WORD = re.compile(f"[^{WORD_CLASS}]+")
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-LOWER_TABLE = str.maketrans(UPPER, UPPER.lower())
 
 
 def low_words(text: str | None) -> list[bytes]:

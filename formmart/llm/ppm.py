@@ -14,7 +14,8 @@ first, then by key.  What the tasks then share is bounded by the contexts'
 shares alone, at every size of the corpus by the same rule: a context is in the
 trie when it holds at least ``min_share`` of all symbols, so each order has at
 most 1 / min_share contexts; its symbols keep their full counts.  (Should the
-symbols of these pass ``MAX_EVENTS``, the share is doubled until they don't.)
+symbols of these pass ``MAX_EVENTS``, which a natural corpus doesn't reach, the
+share is doubled until they don't.)
 
 The base score is a unigram model of words with add-one smoothing, over counts
 of all training texts.  Texts are stored in chunks; each chunk sends each of its
@@ -31,6 +32,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,13 +41,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from formmart.llm.common import LOWER_TABLE, WORD, written
+from formmart.llm.common import low_words, written
 
 END = 256             # the symbol after a text's last byte
 SYMBOLS = 257
-END_WORD = "\n"       # the base model's end token; no word holds a line feed
+END_WORD = b"\n"      # the base model's end token; no word holds a line feed
 EVENT_CHUNK = 1 << 22
-MAX_EVENTS = 1 << 23
+MAX_EVENTS = 1 << 22
 
 
 def events(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -199,29 +201,26 @@ def _event_batch(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(counts.astype(np.int64))], names=["key", "n"])
 
 
-def train(texts: DataFrame, order: int = 5, min_share: float = 2.0 ** -22) -> PPM:
+def train(texts: DataFrame, order: int = 5, min_share: float = 2.0 ** -20) -> PPM:
     """The trie over all rows of a text column (see the module's text for what it keeps)."""
     counted = written(count_events(texts, order), "ppm_events")
+    shorter = [counted.groupBy(F.col("key").bitwiseAND((1 << (8 * j + 9)) - 1).alias("key")).agg(F.sum("n").alias("n"))
+               .select(F.lit(j).alias("j"), "key", "n") for j in range(order)]
+    levels = reduce(DataFrame.unionByName, shorter, counted.select(F.lit(order).alias("j"), "key", "n"))
     total = counted.agg(F.sum("n")).first()[0] or 0
-    share = min_share
-    while True:
-        levels, size = [], 0
-        for j in range(order + 1):
-            short = F.col("key").bitwiseAND((1 << (8 * j + 9)) - 1)
-            level = counted.groupBy(short.alias("key")).agg(F.sum("n").alias("n"))
-            context = F.shiftright("key", 9)
-            held = level.groupBy(context.alias("context")).agg(F.sum("n").alias("all")).where(F.col("all") >= share * total)
-            kept = level.join(held.select("context"), context == F.col("context"), "left_semi")
-            rows = kept.limit(MAX_EVENTS + 1 - size).toPandas()
-            size += len(rows)
-            if size > MAX_EVENTS:
-                break
-            keys = rows["key"].to_numpy().astype(np.uint64)
-            at = np.argsort(keys)
-            levels.append((keys[at], rows["n"].to_numpy().astype(np.int64)[at]))
-        else:
-            return PPM(levels)
-        share *= 2
+    of_context = Window.partitionBy("j", F.shiftright("key", 9))
+    held = written(levels.withColumn("all", F.sum("n").over(of_context)).where(F.col("all") >= min_share * total), "ppm_levels")
+    shares = [min_share * 2 ** i for i in range(24)]
+    sizes = held.agg(*[F.count_if(F.col("all") >= s * total).alias(str(i)) for i, s in enumerate(shares)]).first()
+    share = next(s for i, s in enumerate(shares) if sizes[i] <= MAX_EVENTS)
+    rows = held.where(F.col("all") >= share * total).select(F.col("j").cast("byte").alias("j"), "key", "n").toArrow()
+    out = []
+    for j in range(order + 1):
+        here = rows["j"].to_numpy() == j
+        keys, counts = rows["key"].to_numpy()[here].view(np.uint64), rows["n"].to_numpy()[here]
+        at = np.argsort(keys)
+        out.append((keys[at], counts[at]))
+    return PPM(out)
 
 
 def _chunked(docs: DataFrame, chunk_chars: int) -> DataFrame:
@@ -243,10 +242,6 @@ def _chunked(docs: DataFrame, chunk_chars: int) -> DataFrame:
     return written(sized.mapInArrow(number, "chunk long, doc_id long, held_out boolean, text string"), "chunks")
 
 
-def _words(text: str) -> list[str]:
-    return WORD.findall(text.translate(LOWER_TABLE))
-
-
 def _chunk_words(chunks: DataFrame) -> DataFrame:
     """(chunk, word, n): the distinct words of each chunk, and how often its training texts have them."""
     schema = pa.schema([("chunk", pa.int64()), ("word", pa.string()), ("n", pa.int64())])
@@ -258,7 +253,7 @@ def _chunk_words(chunks: DataFrame) -> DataFrame:
             rest = list(other - trained.keys())
             words = list(trained) + rest
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(words), now)), pa.array(words, pa.string()),
+                [pa.array(np.full(len(words), now)), pa.array(words, pa.binary()).cast(pa.string()),
                  pa.array(list(trained.values()) + [0] * len(rest), pa.int64())], schema=schema)
 
         for batch in batches:
@@ -268,10 +263,10 @@ def _chunk_words(chunks: DataFrame) -> DataFrame:
                         yield done()
                     now, trained, other = chunk, Counter(), set()
                 if held_out:
-                    other.update(_words(text))
+                    other.update(low_words(text))
                     other.add(END_WORD)
                 else:
-                    trained.update(_words(text))
+                    trained.update(low_words(text))
                     trained[END_WORD] += 1
         if now is not None:
             yield done()
@@ -279,7 +274,7 @@ def _chunk_words(chunks: DataFrame) -> DataFrame:
     return chunks.select("chunk", "held_out", "text").mapInArrow(count, "chunk long, word string, n long")
 
 
-def score_corpus(docs: DataFrame, held_out, order: int = 5, min_share: float = 2.0 ** -22, doc_id: str = "doc_id",
+def score_corpus(docs: DataFrame, held_out, order: int = 5, min_share: float = 2.0 ** -20, doc_id: str = "doc_id",
                  text: str = "text", chunk_chars: int = 24_000_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), held_out.alias("held_out"),
@@ -291,11 +286,11 @@ def score_corpus(docs: DataFrame, held_out, order: int = 5, min_share: float = 2
                .withColumn("first", F.row_number().over(of_word.orderBy("chunk")) == 1))
 
     def score(key: tuple, rows: pa.Table, words: pa.Table) -> pa.Table:
-        known = dict(zip(words["word"].to_pylist(), words["c"].to_pylist()))
+        known = dict(zip(words["word"].cast(pa.binary()).to_pylist(), words["c"].to_pylist()))
         texts = rows["text"].to_pylist()
         n_tokens, n_known, logs = [], [], []
         for t in texts:
-            counts = np.array([known[w] for w in _words(t)] + [known[END_WORD]])
+            counts = np.array([known[w] for w in low_words(t)] + [known[END_WORD]])
             n_tokens.append(len(counts))
             n_known.append(int(np.count_nonzero(counts)))
             logs.append(float(np.log10(counts + 1.0).sum()))
