@@ -46,7 +46,8 @@ from formmart.llm.common import low_words, written
 END = 256             # the symbol after a text's last byte
 SYMBOLS = 257
 END_WORD = b"\n"      # the base model's end token; no word holds a line feed
-EVENT_CHUNK = 1 << 22
+RUN_BYTES = 1 << 20   # bytes of text turned into events at a time
+HELD_EVENTS = 1 << 22  # distinct events that a counting task holds
 MAX_EVENTS = 1 << 22
 
 
@@ -75,7 +76,7 @@ def _runs(texts: list[bytes]) -> Iterator[list[bytes]]:
     for t in texts:
         run.append(t)
         size += len(t)
-        if size >= EVENT_CHUNK:
+        if size >= RUN_BYTES:
             yield run
             run, size = [], 0
     if run:
@@ -187,9 +188,9 @@ def count_events(texts: DataFrame, order: int) -> DataFrame:
         for batch in batches:
             for run in _runs([(t or "").encode() for t in batch.column(0).to_pylist()]):
                 held.append(np.unique(events(run, order)[0], return_counts=True))
-            if sum(len(k) for k, _ in held) > EVENT_CHUNK:
+            if sum(len(k) for k, _ in held) > HELD_EVENTS:
                 held = [_summed(*map(np.concatenate, zip(*held)))]
-                if len(held[0][0]) > EVENT_CHUNK // 2:
+                if len(held[0][0]) > HELD_EVENTS // 2:
                     yield _event_batch(*held.pop())
         if held:
             yield _event_batch(*_summed(*map(np.concatenate, zip(*held))))
@@ -307,6 +308,7 @@ def score_corpus(docs: DataFrame, held_out, order: int = 5, min_share: float = 2
     schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, score double, "
               "vocabulary long, trained long")
     scored = written(chunks.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInArrow(score, schema), "scored")
+    model.unpersist()
     totals = scored.agg(F.sum("vocabulary").alias("v"), F.sum("trained").alias("n")).first()
     n, v = totals.n or 0, totals.v or 0
     base = F.col("log_counts") - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))
