@@ -9,18 +9,22 @@ symbols of the longer one are excluded, and in the end to an even share of the
 symbols never seen.  A text is preceded by ``order`` zero bytes; its score is the
 log10 of the product over its bytes and its end.
 
-Training counts every (context, symbol) of the training texts, in the tasks
-first, then by key.  What the tasks then share is bounded by the contexts'
-shares alone, at every size of the corpus by the same rule: a context is in the
-trie when it holds at least ``min_share`` of all symbols, so each order has at
-most 1 / min_share contexts; its symbols keep their full counts.  (Should the
-symbols of these pass ``MAX_EVENTS``, which a natural corpus doesn't reach, the
-share is doubled until they don't.)
+Texts are stored in chunks.  Each chunk sends each of its distinct events
+(context and symbol) once, with its count in the chunk's training texts, 0 where
+only held-out texts have it.  Their sums are the counts of the longest contexts,
+from which those of every shorter order follow.  The log10 probabilities come
+from joins, order by order: an event is joined with the same symbol's event in
+the context shorter by a byte (each has at most 256 longer ones), and a context's
+totals are sums over its at most 257 symbols.  From four bytes on, the events
+are grouped by their last three bytes of context instead.  The values go back to the chunks
+by a join, and each chunk is scored as a whole.  The trie holds all contexts of
+the training texts at every size of the corpus, and is in no task, on no driver
+and in no broadcast as a whole.  (``min_share`` leaves out contexts with less
+than that share of all symbols, for callers who ask for it.)
 
 The base score is a unigram model of words with add-one smoothing, over counts
-of all training texts.  Texts are stored in chunks; each chunk sends each of its
-distinct words once, gets back the word's count, and is scored as a whole.  No
-word list is ever held for the whole corpus.
+of all training texts.  Each chunk sends each of its distinct words once and
+gets back the word's count.  No word list is ever held for the whole corpus.
 
 Edge cases: a null text is empty and consists of its end; without training texts
 all symbols are equally likely; a null doc_id counts as empty text for the fold;
@@ -31,11 +35,12 @@ by row.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +54,8 @@ END_WORD = b"\n"      # the base model's end token; no word holds a line feed
 RUN_BYTES = 1 << 20   # bytes of text turned into events at a time
 HELD_EVENTS = 1 << 22  # distinct events that a counting task holds
 MAX_EVENTS = 1 << 22
+JOINED = 3            # orders up to this one are scored by joins of rows
+BUCKET_EVENTS = 1 << 18  # distinct events of the longer orders in one task
 
 
 def events(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -71,7 +78,7 @@ def events(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     return keys, np.concatenate([[0], np.cumsum(sizes + 1)])
 
 
-def _runs(texts: list[bytes]) -> Iterator[list[bytes]]:
+def _runs(texts: Iterable[bytes]) -> Iterator[list[bytes]]:
     run, size = [], 0
     for t in texts:
         run.append(t)
@@ -224,6 +231,102 @@ def train(texts: DataFrame, order: int = 5, min_share: float = 2.0 ** -20) -> PP
     return PPM(out)
 
 
+def _longer_logs(keys: np.ndarray, counts: np.ndarray, up: dict[str, np.ndarray], first: int, order: int,
+                 least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted events of the full order and their logs, from all of some contexts of order first - 1.
+
+    ``up``: the rows of ``_shorter_levels`` of that order, sorted by key.  The formulas are the same.
+    """
+    for j in range(first, order + 1):
+        key, n = _summed(keys & np.uint64((1 << (8 * j + 9)) - 1), counts)
+        above = np.searchsorted(up["key"], key & np.uint64((1 << (8 * j + 1)) - 1))
+        up = {c: x[above] for c, x in up.items()}
+        begin = np.flatnonzero(np.concatenate([[True], key[1:] >> np.uint64(9) != key[:-1] >> np.uint64(9)]))
+        size = np.diff(np.append(begin, len(key)))
+        of_context = lambda x: np.repeat(np.add.reduceat(x, begin), size)
+        total, seen, excluded = of_context(n), of_context((n > 0).astype(np.int64)), of_context(np.where(n > 0, up["n"], 0))
+        kept = total >= least
+        n, total, seen = n * kept, total * kept, seen * kept
+        rest_room = np.where(up["seen"] < SYMBOLS, up["seen"] - seen, 0)
+        weight = up["all"] - excluded + rest_room
+        room = np.where(seen < SYMBOLS, seen, 0)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            escape = np.where(weight > 0, np.log10(rest_room / weight), 0.0)
+            below = np.where(up["n"] > 0, np.log10(up["n"] / weight), escape + up["log_below"])
+            below = np.where(total == 0, up["log"], below)
+            log = np.where(n > 0, np.log10(n / (total + room)),
+                           np.where(total > 0, np.log10(room / (total + room)) + below, below))
+        up = {"key": key, "n": n, "all": total, "seen": seen, "log_below": below, "log": log}
+    return up["key"], up["log"]
+
+
+def _shorter_levels(counted: DataFrame, order: int, least: float, name: str = "ppm_level") -> DataFrame:
+    """The events of an order with n, their context's all and seen, log_below (of a new symbol) and log.
+
+    ``counted``: (key, n) of that order; contexts with fewer than ``least`` symbols count as absent.
+    """
+    levels = [counted]
+    for j in range(order - 1, -1, -1):
+        shorter = levels[0].groupBy(F.col("key").bitwiseAND((1 << (8 * j + 9)) - 1).alias("key")).agg(F.sum("n").alias("n"))
+        levels.insert(0, written(shorter, f"{name}_{j}"))
+    of_context = Window.partitionBy(F.shiftright("key", 9))
+    rows = None
+    for j, level in enumerate(levels):
+        # up_*: the same symbol in the context shorter by a byte
+        if j:
+            up = rows.select(F.col("key").alias("up"), *[F.col(c).alias(f"up_{c}") for c in ("n", "all", "seen", "log_below", "log")])
+            level = level.withColumn("up", F.col("key").bitwiseAND((1 << (8 * j + 1)) - 1)).join(up, "up")
+        sums = {"all": F.sum("n"), "seen": F.count_if(F.col("n") > 0)}
+        if j:
+            sums["excluded"] = F.sum(F.when(F.col("n") > 0, F.col("up_n")).otherwise(0))
+        level = level.withColumns({c: x.over(of_context) for c, x in sums.items()})
+        kept = F.col("all") >= least
+        level = level.withColumns({c: F.when(kept, F.col(c)).otherwise(0) for c in ("n", "all", "seen")})
+        if j:
+            rest_room = F.when(F.col("up_seen") < SYMBOLS, F.col("up_seen") - F.col("seen")).otherwise(0)
+            weight = F.col("up_all") - F.col("excluded") + rest_room
+            escape = F.when(weight > 0, F.log10(rest_room / weight)).otherwise(0.0)
+            log_below = (F.when(F.col("all") == 0, F.col("up_log")).when(F.col("up_n") > 0, F.log10(F.col("up_n") / weight))
+                         .otherwise(escape + F.col("up_log_below")))
+        else:
+            log_below = -F.log10(F.lit(SYMBOLS) - F.col("seen"))
+        room = F.when(F.col("seen") < SYMBOLS, F.col("seen")).otherwise(0)
+        rows = level.withColumn("log_below", F.when(F.col("n") == 0, log_below).otherwise(0.0)).select(
+            "key", "n", "all", "seen", "log_below",
+            F.when(F.col("n") > 0, F.log10(F.col("n") / (F.col("all") + room)))
+            .when(F.col("all") > 0, F.log10(room / (F.col("all") + room)) + F.col("log_below"))
+            .otherwise(F.col("log_below")).alias("log"))
+    return rows
+
+
+def event_logs(counted: DataFrame, order: int, min_share: float = 0.0) -> DataFrame:
+    """(key, log): log10 probability of each event of the full order in ``counted``.
+
+    ``counted``: each event's key and training count n, 0 for one that is only asked for.
+    Up to JOINED bytes of context every order is joined with the next shorter one.  The longer
+    orders of a context of JOINED bytes are in one task, which the alphabet bounds; tasks
+    take such contexts by a hash, about BUCKET_EVENTS events each.
+    """
+    size = counted.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows")).first()
+    least = min_share * (size.n or 0)
+    if order <= JOINED:
+        return _shorter_levels(counted, order, least).select("key", "log")
+    mask = (1 << (8 * JOINED + 9)) - 1
+    joined = written(counted.groupBy(F.col("key").bitwiseAND(mask).alias("key")).agg(F.sum("n").alias("n")), f"ppm_level_{JOINED}")
+    bucket = F.pmod(F.xxhash64(F.shiftright(F.col("key").bitwiseAND(mask), 9)), F.lit(size.rows // BUCKET_EVENTS + 1)).alias("bucket")
+
+    def logs(key: tuple, rows: pa.Table, up: pa.Table) -> pa.Table:
+        at = np.argsort(up["key"].to_numpy())
+        up = {c: up[c].to_numpy()[at] for c in ("key", "n", "all", "seen", "log_below", "log")}
+        up["key"] = up["key"].view(np.uint64)
+        keys, log = _longer_logs(rows["key"].to_numpy().view(np.uint64), rows["n"].to_numpy(), up, JOINED + 1, order, least)
+        return pa.table({"key": keys.view(np.int64), "log": log})
+
+    return (counted.select(bucket, "key", "n").groupBy("bucket")
+            .cogroup(_shorter_levels(joined, JOINED, least).select(bucket, "*").groupBy("bucket"))
+            .applyInArrow(logs, "key long, log double"))
+
+
 def _chunked(docs: DataFrame, chunk_chars: int) -> DataFrame:
     """The rows with the number of their chunk, stored."""
 
@@ -275,40 +378,88 @@ def _chunk_words(chunks: DataFrame) -> DataFrame:
     return chunks.select("chunk", "held_out", "text").mapInArrow(count, "chunk long, word string, n long")
 
 
-def score_corpus(docs: DataFrame, held_out, order: int = 5, min_share: float = 2.0 ** -20, doc_id: str = "doc_id",
+def _chunk_events(chunks: DataFrame, order: int) -> DataFrame:
+    """(chunk, key, n): the distinct events of each chunk, and how often its training texts have them; stored."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, size, texts, held = None, 0, {True: [], False: []}, []
+
+        def run() -> None:
+            for held_out, ts in texts.items():
+                if ts:
+                    keys, n = np.unique(events(ts, order)[0], return_counts=True)
+                    held.append((keys, n * (not held_out)))
+                    ts.clear()
+            if sum(len(k) for k, _ in held) > max(HELD_EVENTS // 4, 2 * len(held[0][0])):
+                held[:] = [_summed(*map(np.concatenate, zip(*held)))]
+
+        def done() -> pa.RecordBatch:
+            run()
+            keys, n = _summed(*map(np.concatenate, zip(*held)))
+            held.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(keys), now)), pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))],
+                names=["chunk", "key", "n"])
+
+        for batch in batches:
+            for chunk, held_out, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if chunk != now:
+                    if now is not None:
+                        yield done()
+                    now, size = chunk, 0
+                texts[bool(held_out)].append(text.encode())
+                size += len(text)
+                if size >= RUN_BYTES:
+                    run()
+                    size = 0
+        if now is not None:
+            yield done()
+
+    return written(chunks.select("chunk", "held_out", "text").mapInArrow(count, "chunk long, key long, n long"), "chunk_events")
+
+
+def score_corpus(docs: DataFrame, held_out, order: int = 5, min_share: float = 0.0, doc_id: str = "doc_id",
                  text: str = "text", chunk_chars: int = 24_000_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), held_out.alias("held_out"),
                        F.coalesce(F.col(text), F.lit("")).alias("text"))
-    model = docs.sparkSession.sparkContext.broadcast(train(docs.where("NOT held_out").select("text"), order, min_share))
     chunks = _chunked(docs, chunk_chars)
+    chunk_events = _chunk_events(chunks, order)
+    logs = event_logs(written(chunk_events.groupBy("key").agg(F.sum("n").alias("n")), "ppm_events"), order, min_share)
     of_word = Window.partitionBy("word")
     counted = (_chunk_words(chunks).withColumn("c", F.sum("n").over(of_word))
                .withColumn("first", F.row_number().over(of_word.orderBy("chunk")) == 1))
-
-    def score(key: tuple, rows: pa.Table, words: pa.Table) -> pa.Table:
-        known = dict(zip(words["word"].cast(pa.binary()).to_pylist(), words["c"].to_pylist()))
-        texts = rows["text"].to_pylist()
-        n_tokens, n_known, logs = [], [], []
-        for t in texts:
-            counts = np.array([known[w] for w in low_words(t)] + [known[END_WORD]])
-            n_tokens.append(len(counts))
-            n_known.append(int(np.count_nonzero(counts)))
-            logs.append(float(np.log10(counts + 1.0).sum()))
-        first = words["first"].to_numpy(zero_copy_only=False) & (words["c"].to_numpy() > 0)
+    known_of_chunk = counted.unionByName(chunk_events.select("chunk", "key").join(logs, "key"), allowMissingColumns=True)
+
+    def score(key: tuple, rows: pa.Table, given: pa.Table) -> pa.Table:
+        # a word's row has no key, an event's row only a key and a log
+        known = dict(zip(given["word"].drop_null().cast(pa.binary()).to_pylist(), given["c"].drop_null().to_pylist()))
+        event, log = given["key"].drop_null().to_numpy().view(np.uint64), given["log"].drop_null().to_numpy()
+        at = np.argsort(event)
+        event, log = event[at], log[at]
+        n_tokens, n_known, logs, scores = [], [], [], []
+        for run in _runs(t.as_py() for t in rows["text"].cast(pa.binary())):
+            for t in run:
+                counts = np.array([known[w] for w in t.lower().split()] + [known[END_WORD]])  # low_words of bytes
+                n_tokens.append(len(counts))
+                n_known.append(int(np.count_nonzero(counts)))
+                logs.append(float(np.log10(counts + 1.0).sum()))
+            keys, begin = events(run, order)
+            unique, where = np.unique(keys, return_inverse=True)
+            scores += np.add.reduceat(log[np.searchsorted(event, unique)][where], begin[:-1]).tolist()
+        vocabulary = int(np.count_nonzero(given["first"].drop_null().to_numpy() & (given["c"].drop_null().to_numpy() > 0)))
         # the last row has no document, but this chunk's part of the totals
         return pa.table({
             "doc_id": pa.concat_arrays([rows["doc_id"].combine_chunks(), pa.array([None], pa.int64())]),
             "held_out": pa.array(rows["held_out"].to_pylist() + [None], pa.bool_()),
             "n_tokens": pa.array(n_tokens + [0], pa.int64()), "n_known": pa.array(n_known + [0], pa.int64()),
-            "log_counts": pa.array(logs + [0.0]), "score": pa.array(model.value.score([t.encode() for t in texts]) + [0.0]),
-            "vocabulary": pa.array([0] * len(texts) + [int(first.sum())], pa.int64()),
-            "trained": pa.array([0] * len(texts) + [int(words["n"].to_numpy().sum())], pa.int64())})
+            "log_counts": pa.array(logs + [0.0]), "score": pa.array(scores + [0.0]),
+            "vocabulary": pa.array([0] * len(scores) + [vocabulary], pa.int64()),
+            "trained": pa.array([0] * len(scores) + [pc.sum(given["n"]).as_py()], pa.int64())})
 
     schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, score double, "
               "vocabulary long, trained long")
-    scored = written(chunks.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInArrow(score, schema), "scored")
-    model.unpersist()
+    scored = written(chunks.groupBy("chunk").cogroup(known_of_chunk.groupBy("chunk")).applyInArrow(score, schema), "scored")
     totals = scored.agg(F.sum("vocabulary").alias("v"), F.sum("trained").alias("n")).first()
     n, v = totals.n or 0, totals.v or 0
     base = F.col("log_counts") - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))

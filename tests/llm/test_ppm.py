@@ -105,3 +105,15 @@ def test_untrained_and_empty(spark):
         size = 1 + (len({0: "", 1: "", 2: " ", 3: "\n\t \r"}[r.doc_id]))
         assert r.score == pytest.approx(-size * math.log10(SYMBOLS))
         assert (r.train_tokens, r.n_known, r.base_score) == (0, 0, 0.0)
+
+
+def test_rare_contexts_of_a_larger_corpus_count(spark):
+    """Over 2^20 symbols, contexts that occur once or twice still take part by default."""
+    rare = [(i, prose(i, 30, [f"w{i * 30 + k}" for k in range(30)]) + " " + prose(i, 900)) for i in range(600)]
+    docs = spark.createDataFrame(rare + [(1000 + i, t) for i, t in rare[:20]], "doc_id long, text string")
+    held_out = F.col("doc_id") >= 1000
+    training = docs.where(~held_out).select("text")
+    assert training.agg(F.sum(F.length("text"))).first()[0] > 2 ** 21
+    want = dict(zip(range(1000, 1020), train(training, min_share=0.0).score([t.encode() for _, t in rare[:20]])))
+    got = {r.doc_id: r.score for r in score_corpus(docs, held_out).where("held_out").collect()}
+    assert got == pytest.approx(want)
