@@ -53,7 +53,6 @@ SYMBOLS = 257
 END_WORD = b"\n"      # the base model's end token; no word holds a line feed
 RUN_BYTES = 1 << 20   # bytes of text turned into events at a time
 HELD_EVENTS = 1 << 22  # distinct events that a counting task holds
-MAX_EVENTS = 1 << 22
 JOINED = 3            # orders up to this one are scored by joins of rows
 BUCKET_EVENTS = 1 << 18  # distinct events of the longer orders in one task
 
@@ -209,19 +208,16 @@ def _event_batch(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(counts.astype(np.int64))], names=["key", "n"])
 
 
-def train(texts: DataFrame, order: int = 5, min_share: float = 2.0 ** -20) -> PPM:
-    """The trie over all rows of a text column (see the module's text for what it keeps)."""
+def train(texts: DataFrame, order: int = 5, min_share: float = 0.0) -> PPM:
+    """The trie over all rows of a text column as one object on the driver, for small corpora; score_corpus has none."""
     counted = written(count_events(texts, order), "ppm_events")
     shorter = [counted.groupBy(F.col("key").bitwiseAND((1 << (8 * j + 9)) - 1).alias("key")).agg(F.sum("n").alias("n"))
                .select(F.lit(j).alias("j"), "key", "n") for j in range(order)]
     levels = reduce(DataFrame.unionByName, shorter, counted.select(F.lit(order).alias("j"), "key", "n"))
     total = counted.agg(F.sum("n")).first()[0] or 0
     of_context = Window.partitionBy("j", F.shiftright("key", 9))
-    held = written(levels.withColumn("all", F.sum("n").over(of_context)).where(F.col("all") >= min_share * total), "ppm_levels")
-    shares = [min_share * 2 ** i for i in range(24)]
-    sizes = held.agg(*[F.count_if(F.col("all") >= s * total).alias(str(i)) for i, s in enumerate(shares)]).first()
-    share = next(s for i, s in enumerate(shares) if sizes[i] <= MAX_EVENTS)
-    rows = held.where(F.col("all") >= share * total).select(F.col("j").cast("byte").alias("j"), "key", "n").toArrow()
+    held = levels.withColumn("all", F.sum("n").over(of_context)).where(F.col("all") >= min_share * total)
+    rows = held.select(F.col("j").cast("byte").alias("j"), "key", "n").toArrow()
     out = []
     for j in range(order + 1):
         here = rows["j"].to_numpy() == j

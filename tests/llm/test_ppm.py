@@ -117,3 +117,12 @@ def test_rare_contexts_of_a_larger_corpus_count(spark):
     want = dict(zip(range(1000, 1020), train(training, min_share=0.0).score([t.encode() for _, t in rare[:20]])))
     got = {r.doc_id: r.score for r in score_corpus(docs, held_out).where("held_out").collect()}
     assert got == pytest.approx(want)
+
+
+def test_no_limit_on_events_drops_contexts(spark, monkeypatch):
+    monkeypatch.setattr("formmart.llm.ppm.MAX_EVENTS", 500, raising=False)  # the limit that there was
+    texts = [prose(i, 40) for i in range(20)]
+    model = train(spark.createDataFrame([(t,) for t in texts], "text string"), order=3, min_share=0.0)
+    assert len(model.keys[3]) > 500
+    assert model.score([b"the old river", b"unseen"]) == pytest.approx(
+        [Brute([t.encode() for t in texts], 3).score(t) for t in (b"the old river", b"unseen")])
