@@ -6,7 +6,9 @@ more than half of its words lie in 3-word windows that occur twice or more in it
 Divergence.  Two histograms of each document are compared with those of every
 reference language by Jensen-Shannon distance (base 2, 0 to 1): character classes
 (lower case, upper case, digits, white space, other), and the language's most
-common words with one bin for all others.  A histogram is judged only from a
+common words with one bin for all others.  The limit for words is a
+share of the language's own distance from a text without any common word, wider
+for short texts, whose shares vary more.  A histogram is judged only from a
 minimum length on.  A document is kept when some language is near in both.
 
 References come from all documents with a text and a language: sums of the
@@ -21,6 +23,7 @@ decide; a null doc_id or repeated rows are judged row by row.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -40,9 +43,12 @@ class Limits:
     min_words: int = 50
     min_chars_for_classes: int = 200
     max_char_distance: float = 0.26
-    #: (least number of words, largest distance); short texts vary more.  A text
-    #: without any common word is about 0.4 away from its language.
-    word_distances: tuple[tuple[int, float], ...] = ((50, 0.46), (120, 0.385))
+    #: Largest word distance, as a share of the distance that the language has from a
+    #: text without any of its common words: word_share + word_noise / sqrt(words).
+    #: Below 1 from 50 words on, so that such a text is always too far.
+    min_words_for_common: int = 50
+    word_share: float = 0.85
+    word_noise: float = 1.0
 
 
 @dataclass(frozen=True)
@@ -125,6 +131,14 @@ def base_counts(df: DataFrame, text: str) -> DataFrame:
         F.coalesce(F.aggregate(reach, F.lit(0), lambda a, x: a + x), F.lit(0)).cast("long").alias("n_repeat_words"))
 
 
+def bare_distance(shares: dict[str, float]) -> float:
+    """Word distance between a language and a text without any of its common words."""
+    common = min(1.0, sum(shares.values()))
+    rest = 1 - common
+    other = (math.log2(2 / (1 + rest)) + (rest * math.log2(2 * rest / (1 + rest)) if rest > 0 else 0.0)) / 2
+    return math.sqrt(max(0.0, common / 2 + other))
+
+
 def _term(p: Column, q: Column | float) -> Column:
     """A bin's part of the divergence; p or q may be 0."""
     q = q if isinstance(q, Column) else F.lit(float(q))
@@ -181,12 +195,15 @@ def judge(docs: DataFrame, refs: References, text: str = "text", limits: Limits
     df = df.withColumn("base_failed", failed)
     if refs.classes:
         df = _distances(df, refs)
-        df = df.withColumn("_near", F.array_min(F.zip_with(
-            "char_distance", "word_distance", lambda c, w: F.struct((c + w).alias("sum"), c.alias("c"), w.alias("w")))))
+        df = df.withColumn("_bare", F.array(*[F.lit(bare_distance(qs)) for qs in refs.words.values()]))
+        df = df.withColumn("_near", F.array_min(F.transform(
+            F.arrays_zip("char_distance", "word_distance", "_bare"),
+            lambda x: F.struct((x["char_distance"] + x["word_distance"]).alias("sum"), x["char_distance"].alias("c"),
+                               x["word_distance"].alias("w"), x["_bare"].alias("bare")))))
         df = df.withColumn("char_distance", F.col("_near.c")).withColumn("word_distance", F.col("_near.w"))
         far = (F.col("_n") >= limits.min_chars_for_classes) & (F.col("char_distance") > limits.max_char_distance)
-        for least, most in limits.word_distances:
-            far = far | ((F.col("n_words") >= least) & (F.col("word_distance") > most))
+        most = F.col("_near.bare") * (limits.word_share + limits.word_noise / F.sqrt(F.col("n_words")))
+        far = far | ((F.col("n_words") >= limits.min_words_for_common) & (F.col("word_distance") > most))
     else:
         df = df.withColumn("char_distance", F.lit(None).cast("double")).withColumn("word_distance", F.lit(None).cast("double"))
         far = F.lit(False)

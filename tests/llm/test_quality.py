@@ -99,3 +99,15 @@ def test_no_python_in_the_plan(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     plan = judge(docs, references(docs))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_texts_without_common_words_are_rejected(spark):
+    """At every judged length, also for a language whose common words are rare."""
+    rng = np.random.default_rng(3)
+    junk = lambda n: " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), int(rng.integers(6, 10)))) for _ in range(n))
+    refs = references(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    rare = {w: q * 0.15 / sum(refs.words["en"].values()) for w, q in refs.words["en"].items()}
+    docs = spark.createDataFrame([(n, junk(n)) for n in (50, 60, 110, 119, 120, 200, 1000)], "doc_id long, text string")
+    for r in (refs, References({"en": refs.classes["en"]}, {"en": rare})):
+        rows = judge(docs, r).collect()
+        assert not any(x.base_failed or x.kept for x in rows), [(x.n_words, x.char_distance, x.word_distance) for x in rows if x.kept]
