@@ -78,11 +78,20 @@ def q_ml_coefficients(spark, sf_dir):
 
 @register("ml_model_roundtrip")
 def q_ml_model_roundtrip(spark, sf_dir):
-    """Saved bundle reloaded: its metadata as rows."""
-    _, base, _ = trained(spark, sf_dir)
+    """Saved bundle reloaded: its scores of each split compared with those of the fitted model."""
+    res, base, split = trained(spark, sf_dir)
     model, meta = L.load_bundle(spark, f"{base}/bundle")
-    return spark.createDataFrame([(meta["model_name"], meta["dataset_view"], c) for c in meta["feature_cols"]],
-                                 "model_name string, dataset_view string, feature string")
+    rows = split.withColumn("is_home", F.col("is_home").cast("double"))
+    keys = ["game_id", "team_id"]
+    fitted = L.proba(res.models[res.best], rows, "fitted").select(*keys, "fitted")
+    reloaded = L.proba(model, rows, "reloaded").select(*keys, "reloaded")
+    both = split.select(*keys, "split").join(fitted, keys, "left").join(reloaded, keys, "left")
+    differs = ~F.col("fitted").eqNullSafe(F.col("reloaded"))
+    return both.groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("reloaded").alias("rows_scored"), F.count_if(differs).alias("rows_differing"),
+        F.max(F.abs(F.col("fitted") - F.col("reloaded"))).alias("largest_difference")).select(
+        F.lit(meta["model_name"]).alias("model_name"), F.lit(meta["dataset_view"]).alias("dataset_view"),
+        F.lit(len(meta["feature_cols"])).alias("n_features"), "split", "rows", "rows_scored", "rows_differing", "largest_difference")
 
 
 @register("sink_predictions")

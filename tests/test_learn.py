@@ -39,3 +39,11 @@ def test_bundle_round_trip_and_scoring(spark, sf_dir, fitted):
     scored = L.score(spark, path, {"v_training_dataset": ds})
     assert scored.count() == ds.count()
     assert scored.where((F.col("pred_win_proba") < 0) | (F.col("pred_win_proba") > 1)).count() == 0
+
+
+def test_reloaded_model_scores_every_split(spark, sf_dir):
+    import __spark_entry__ as E
+    rows = {r.split: r for r in E.queries()["ml_model_roundtrip"](spark, sf_dir).collect()}
+    want = {r.split: r.rows for r in E.queries()["split_counts"](spark, sf_dir).collect()}
+    assert {s: r.rows for s, r in rows.items()} == {s: r.rows_scored for s, r in rows.items()} == want
+    assert all(r.rows_differing == 0 and r.largest_difference == 0 for r in rows.values())
