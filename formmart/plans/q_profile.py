@@ -174,6 +174,19 @@ def q_ml_imputed(spark, sf_dir):
     return out.select("game_id", "team_id", *[R9(c).alias(c) for c in FEATURES])
 
 
+@register("ml_imputed_splits", with_views(
+    SPLIT_CTE + ", med AS (SELECT " + ", ".join(f"median(CAST({c} AS DOUBLE)) AS m_{c}" for c in FEATURES)
+    + " FROM sp WHERE split = 'train') SELECT game_id, team_id, split, " + ", ".join(
+        f"{r9(f'coalesce(CAST({c} AS DOUBLE), m_{c})')} AS {c}" for c in FEATURES)
+    + " FROM sp, med"))
+def q_ml_imputed_splits(spark, sf_dir):
+    """The rows of every split, imputed with the medians of train."""
+    from formmart.plans.learn import impute
+    _, med = _train_medians(spark, sf_dir)
+    out = impute(_split(spark, sf_dir).withColumn("is_home", F.col("is_home").cast("double")), med)
+    return out.select("game_id", "team_id", "split", *[R9(c).alias(c) for c in FEATURES])
+
+
 SCORE_CTE = f", sc AS (SELECT *, y_win AS y, (winrate_l5 + 1 - opp_winrate_l5) / 2 AS p FROM {DS})"
 
 

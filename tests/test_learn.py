@@ -47,3 +47,9 @@ def test_reloaded_model_scores_every_split(spark, sf_dir):
     want = {r.split: r.rows for r in E.queries()["split_counts"](spark, sf_dir).collect()}
     assert {s: r.rows for s, r in rows.items()} == {s: r.rows_scored for s, r in rows.items()} == want
     assert all(r.rows_differing == 0 and r.largest_difference == 0 for r in rows.values())
+
+
+def test_imputed_rows_of_every_split(spark, sf_dir):
+    import __spark_entry__ as E
+    out = E.queries()["ml_imputed_splits"](spark, sf_dir).groupBy("split").count().collect()
+    assert {r.split: r["count"] for r in out} == {r.split: r.rows for r in E.queries()["split_counts"](spark, sf_dir).collect()}
