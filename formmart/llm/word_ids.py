@@ -5,7 +5,8 @@ runs of letters, single digits and runs of other marks, cutting a text into
 words gives the same ids as encoding it whole (the tests compare the two).  To
 know more words again, a full stop or comma after a letter or digit at a word's
 end is a word of its own, and texts without characters beyond U+02FF (so without
-combining marks, whose composition depends on case) are lower-cased first.
+combining marks, whose composition depends on case) are lower-cased first, unless
+that could make or hide an added token, which is matched in the raw text.
 """
 
 from __future__ import annotations
@@ -30,15 +31,20 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.added = tuple(t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values())
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    @staticmethod
-    def words(text: str | None) -> list[str]:
+    def words(self, text: str | None) -> list[str]:
         if not text:
             return []
         if not _FAR.search(text):
-            text = text.lower()
+            low = text.lower()
+            for token in self.added:
+                if token in low:
+                    break
+            else:
+                text = low
         return _ENDING.sub(r" \1", text).replace("\n", " ").split(" ")
 
     def texts(self, texts: list[str | None], chunk: int = 256):

@@ -84,3 +84,9 @@ def test_best_fit_and_bounded_space():
     packer.add(Piece(5, 0, b"\0\0\0\0" * 5, 5))  # none fits: the fullest (9 or 9) takes the head
     assert len(packer.open) <= 2
     assert all(sum(map(len, w)) == 10 for w in packer.full)
+
+
+def test_added_tokens_in_other_cases(tokenizer):
+    texts = [t for s in ("<|ENDOFTEXT|>", "<|EndOfText|>", "<|endoftext|>", "<|STARTOFTEXT|>") for t in (s, f"Some {s} Words", f"A{s}.")]
+    got = [np.frombuffer(b, "<u4").tolist() for b in WordIds(PATH).texts(texts)]
+    assert got == [ids_of(tokenizer, t)[:-1] for t in texts]
