@@ -69,3 +69,37 @@ def op1_ppm(spark, sf_dir):
 
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return score_corpus(docs, split_held_out(docs.doc_id, folds=7, held=2))
+
+
+#: Counts and products stay within 128 bits.
+_OP11_SQL = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+                       unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                              'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+                FROM documents),
+worded AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces),
+totals AS (SELECT lang, sum(len(ws))::HUGEINT AS n FROM worded GROUP BY lang),
+spans AS (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM worded, (SELECT unnest(range(1, 6)) AS k)),
+counts AS (SELECT lang, ws[i:i + k - 1] AS w, k, count(*)::HUGEINT AS f FROM spans GROUP BY ALL HAVING count(*) >= 100),
+cand AS (SELECT lang, w, k, f AS a FROM counts WHERE k >= 2),
+inside AS (SELECT DISTINCT lang, w[i:i + m - 1] AS w, a AS longer
+           FROM cand, (SELECT unnest(range(2, 5)) AS m), (SELECT unnest(range(1, 5)) AS i) WHERE m < k AND i + m - 1 <= k),
+kept AS (SELECT c.* FROM cand c WHERE NOT EXISTS (SELECT 1 FROM inside s WHERE s.lang = c.lang AND s.w = c.w AND s.longer >= c.a)),
+cuts AS (SELECT c.lang, c.w, c.a, t.n, j, x.f AS l, y.f AS r, (1000 * c.a * t.n) // (x.f * y.f) AS score
+         FROM kept c JOIN totals t USING (lang), (SELECT unnest(range(1, 5)) AS j), counts x, counts y
+         WHERE j < c.k AND x.lang = c.lang AND y.lang = c.lang AND x.w = c.w[1:j] AND y.w = c.w[j + 1:]),
+weakest AS (SELECT *, row_number() OVER (PARTITION BY lang, w ORDER BY score, j) AS nth FROM cuts),
+ranked AS (SELECT *, array_to_string(w, ' ') AS phrase,
+                  row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(w, ' ')) AS rank
+           FROM weakest WHERE nth = 1)
+SELECT lang, CAST(rank AS INTEGER) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+
+@register("op11_collocations", _OP11_SQL)
+def op11_collocations(spark, sf_dir):
+    from formmart.llm.collocations import collocations
+
+    return collocations(read_table(spark, sf_dir, "documents").select("text", "lang"), min_count=100, top=2000)
