@@ -19,4 +19,4 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
-from formmart.llm import q_docs, q_vectors, q_web  # noqa: E402,F401
+from formmart.llm import q_docs, q_talk, q_vectors, q_web  # noqa: E402,F401
