@@ -1,4 +1,4 @@
-"""Query over ``embeddings``: exact search."""
+"""Queries over ``embeddings``: exact and approximate search."""
 
 from __future__ import annotations
 
@@ -25,3 +25,10 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 @register("op3_topk", _OP3_SQL)
 def op3_topk(spark, sf_dir):
     return search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
+@register("op12_collision_search")
+def op12_collision_search(spark, sf_dir):
+    from formmart.llm import collision_search
+
+    return collision_search.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
