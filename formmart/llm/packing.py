@@ -137,7 +137,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = 20
         encode, packer, done = WordIds(tokenizer_path), Packer(window, open_windows), part << _GROUP_SHIFT
         end = end_id.to_bytes(TOKEN_BYTES, "little")
         for batch in batches:
-            for key, ids in zip(batch.column(0).to_pylist(), encode.texts(batch.column(1).to_pylist())):
+            for key, ids in zip(batch.column(0).to_pylist(), encode.texts(batch.column(1))):
                 ids += end
                 packer.add(Piece(key, 0, ids, len(ids) // TOKEN_BYTES))
             rows, done, packer.full = list(_rows(packer.full, done)), done + len(packer.full), []

@@ -1,28 +1,35 @@
 """Ids of a ``tokenizers`` file, encoded word by word with a bounded store of known words.
 
 For tokenizers that normalize to NFC and lower case, drop white space and split
-runs of letters, single digits and runs of other marks, cutting a text into
-words gives the same ids as encoding it whole (the tests compare the two).  To
-know more words again, a full stop or comma after a letter or digit at a word's
-end is a word of its own, and texts without characters beyond U+02FF (so without
-combining marks, whose composition depends on case) are lower-cased first, unless
-that could make or hide an added token, which is matched in the raw text.
+runs of letters, single digits and runs of other marks, cutting a text at blanks
+and line feeds gives the same ids as encoding it whole: no pre-token and no
+composition of characters goes across a blank (the tests compare the two, for
+every code point before a full stop and a comma).  A batch is cut into distinct
+words at once; only words that aren't known yet are encoded.  So that more are
+known, A-Z are lower-cased first in texts that hold no added token, which is
+matched in the raw text, and no character from U+0300 on, which may combine with
+a letter of one case alone; and a new word that ends in a Latin letter or a digit
+and a full stop or comma is put together from the ids of both parts.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Words in each of the two generations of the store.
-MAX_WORDS = 300_000
-#: Longer words are encoded each time they occur.
-MAX_WORD_CHARS = 64
+#: The store starts anew when it holds this many words or characters.
+MAX_WORDS = 1 << 19
+MAX_CHARS = 1 << 24
 
-_FAR = re.compile("[^\x00-˿]")
-_ENDING = re.compile(r"(?<=[^\W_])([.,])(?=[ \n]|\Z)")
+_COMBINING = r"[\x{0300}-\x{10FFFF}]"
+#: The letters from U+00C0 on stay single letters in lower case and normal form, U+0130 alone excepted.
+_ENDED = re.compile("[a-zA-Z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f][.,]\\Z")
 
 
 class WordIds:
@@ -32,37 +39,63 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = tuple(t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self._forget()
 
-    def words(self, text: str | None) -> list[str]:
-        if not text:
-            return []
-        if not _FAR.search(text):
-            low = text.lower()
-            for token in self.added:
-                if token in low:
-                    break
-            else:
-                text = low
-        return _ENDING.sub(r" \1", text).replace("\n", " ").split(" ")
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}  # word: its place in starts and lengths
+        self.chars = 0
+        self.ids = np.zeros(0, np.uint32)
+        self.starts = self.lengths = np.zeros(0, np.int64)
 
-    def texts(self, texts: list[str | None], chunk: int = 256):
+    def _places(self, words: list[str]) -> np.ndarray:
+        """Where each of the distinct words is stored, after encoding the new ones."""
+        if len(self.known) >= MAX_WORDS or self.chars >= MAX_CHARS:
+            self._forget()
+        known = self.known
+        new = [w for w in words if w not in known]
+        ended = [w for w in new if _ENDED.search(w)]
+        alone = set(new).difference(ended)
+        unseen = [w for w in alone.union([w[:-1] for w in ended], ".,") if w not in known]
+        coded = [e.ids for e in self.tokenizer.encode_batch_fast(unseen, add_special_tokens=False)]
+        of = dict(zip(unseen, coded))
+        for w in ended:
+            coded.append([*self._ids(of, w[:-1]), *self._ids(of, w[-1])])
+        if coded:
+            known.update(zip([*unseen, *ended], range(len(self.starts), len(self.starts) + len(coded))))
+            lengths = np.fromiter(map(len, coded), np.int64, len(coded))
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+            self.lengths = np.concatenate([self.lengths, lengths])
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(coded), np.uint32)])
+        self.chars += sum(map(len, new))
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+
+    def _ids(self, fresh: dict[str, list[int]], word: str) -> list[int]:
+        if word in fresh:
+            return fresh[word]
+        at = self.known[word]
+        return self.ids[self.starts[at]:self.starts[at] + self.lengths[at]].tolist()
+
+    def _lowered(self, texts: pa.Array) -> pa.Array:
+        """Texts with A-Z lower-cased, but for those where that could change an id."""
+        low = pc.ascii_lower(texts)
+        raw = pc.match_substring_regex(texts, _COMBINING)
+        for token in self.added:
+            raw = pc.or_(raw, pc.match_substring(low, token))
+        return pc.if_else(raw, texts, low)
+
+    def texts(self, texts: pa.Array | list[str | None], chunk: int = 4096) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; null counts as empty."""
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
         for at in range(0, len(texts), chunk):
-            words = [self.words(t) for t in texts[at:at + chunk]]
-            needed = set().union(*words)
-            if len(self.young) >= MAX_WORDS:
-                self.old, self.young = self.young, {}
-            missing = needed - self.young.keys()
-            again = {w: self.old[w] for w in missing if w in self.old}
-            new = list(missing - again.keys())
-            encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            again.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in encoded)))
-            self.young |= again
-            known = self.young
-            for ws in words:
-                yield b"".join([known[w] for w in ws])
-            for w in again:
-                if len(w) > MAX_WORD_CHARS:
-                    del known[w]
+            lists = pc.split_pattern(pc.replace_substring(self._lowered(texts.slice(at, chunk)), "\n", " "), " ")
+            coded = lists.flatten().dictionary_encode()
+            place = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+            lengths = self.lengths[place]
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            # place of an id: its word's start, and how far into the word
+            gather = np.repeat(self.starts[place] - ends[:-1], lengths)
+            gather += np.arange(len(gather))
+            data = self.ids[gather].astype("<u4", copy=False).tobytes()
+            bounds = 4 * ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                yield data[a:b]

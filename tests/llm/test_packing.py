@@ -90,3 +90,23 @@ def test_added_tokens_in_other_cases(tokenizer):
     texts = [t for s in ("<|ENDOFTEXT|>", "<|EndOfText|>", "<|endoftext|>", "<|STARTOFTEXT|>") for t in (s, f"Some {s} Words", f"A{s}.")]
     got = [np.frombuffer(b, "<u4").tolist() for b in WordIds(PATH).texts(texts)]
     assert got == [ids_of(tokenizer, t)[:-1] for t in texts]
+
+
+def test_every_code_point_before_a_mark(tokenizer):
+    """Letters whose normal form ends in a combining mark keep the mark with what follows."""
+    letters = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(letters), 1 << 17):
+        texts = [f"日 x{c}{mark} y" for c in letters[at:at + (1 << 17)] for mark in ".,"]
+        want = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        got = WordIds(PATH).texts(texts)
+        wrong = [t for t, e, ids in zip(texts, want, got) if np.array(e.ids, "<u4").tobytes() != ids]
+        assert not wrong, wrong[:5]
+
+
+def test_the_store_starts_anew(monkeypatch, tokenizer):
+    from formmart.llm import word_ids
+
+    monkeypatch.setattr(word_ids, "MAX_WORDS", 5)
+    texts = [prose(i, 20) + f" W{i}" for i in range(30)]
+    got = WordIds(PATH).texts(texts, chunk=4)
+    assert [np.frombuffer(b, "<u4").tolist() for b in got] == [ids_of(tokenizer, t)[:-1] for t in texts]
