@@ -206,25 +206,25 @@ def decode_bytes(data: bytes) -> str:
 
 
 class Stored(dict):
-    """Segment → its ids, each after a blank.  ``odd`` has the segments that don't decode to their own text.
+    """Segment → its ids, each after a blank, and their decoded part.
 
-    Two generations: when the young one is full it becomes the old one, and
-    what is used again moves back, so that frequent segments stay.
+    The part is None where bytes of the neighbours may join it: where it isn't
+    the segment's own text.  Two generations: when the young one is full it
+    becomes the old one, and what is used again moves back, so that frequent
+    segments stay.
     """
 
     def __init__(self, model: PieceModel):
         super().__init__()
         self.model = model
-        self.old: dict[str, str] = {}
-        self.odd: set[str] = set()
+        self.old: dict[str, tuple[str, str | None]] = {}
 
-    def __missing__(self, segment: str) -> str:
+    def __missing__(self, segment: str) -> tuple[str, str | None]:
         value = self.old.get(segment)
         if value is None:
             ids = list(self.model.ids(self.model.tokens(segment)))
-            value = "".join([f" {i}" for i in ids])
-            if self.model.decode_part(ids) != segment.replace(BLANK, " "):
-                self.odd.add(segment)
+            part = self.model.decode_part(ids)
+            value = "".join([f" {i}" for i in ids]), part if part == segment.replace(BLANK, " ") else None
         if len(segment) <= MAX_STORED_CHARS:
             if len(self) >= MAX_STORED:
                 self.old = dict(self)
@@ -233,14 +233,13 @@ class Stored(dict):
         return value
 
     def encode_decode(self, text: str) -> tuple[str, str]:
-        """Decimal ids, each after a blank, and the decoded text."""
-        normal = self.model.normalized(text)
-        segments = self.model.segments(normal)
-        ids = "".join([self[s] for s in segments])
-        if self.odd and not self.odd.isdisjoint(segments):
+        """Decimal ids, each after a blank, and the text decoded from them."""
+        found = [self[s] for s in self.model.segments(self.model.normalized(text))]
+        ids = "".join([i for i, _ in found])
+        try:
+            decoded = "".join([part for _, part in found])
+        except TypeError:  # a part that needs its neighbours
             decoded = self.model.decode_part(map(int, ids.split()))
-        else:
-            decoded = normal.replace(BLANK, " ")
         return ids, decoded.removeprefix(" ")
 
 

@@ -75,3 +75,37 @@ def test_nothing_learned(spark):
     assert train_prototypes(empty_docs(spark)) == {}
     assert {r.lang_pred for r in identify(odd_docs(spark), {}).collect()} == {"und"}
     assert identify(empty_docs(spark), {"en": np.ones(512)}).count() == 0
+
+
+def test_identify_against_one_by_one(spark):
+    """Predictions and scores from vectors bound and bundled letter by letter."""
+    import numpy as np
+
+    from formmart.llm.language_id import LetterSpace, identify, train_prototypes
+
+    texts = [("the house and the river", "en"), ("la maison et la rivière", "fr"), ("das haus und der fluss", "de"),
+             ("over the old stone", "en"), ("un vieux mur", "fr"), ("ein altes tor", "de")]
+    train = spark.createDataFrame(texts, "text string, lang string")
+    asked = [(i, t) for i, t in enumerate(["the stone house", "la vieille maison", "der alte fluss", "a", "", None, "12 ..", "ñandú über"])]
+    space = LetterSpace()
+    prototypes = train_prototypes(train)
+
+    def bundle(text):
+        from formmart.llm.language_id import trigram_counts
+        points, _, codes, counts = trigram_counts([text])
+        total = np.zeros(space.dim)
+        for code, n in zip(codes, counts):
+            total += n * space.trigrams(points, np.array([code])).astype(float)[0]
+        return total
+
+    for lang, vector in prototypes.items():
+        assert np.allclose(vector, sum(bundle(t) for t, x in texts if x == lang))
+    names = list(prototypes)
+    got = identify(spark.createDataFrame(asked, "id int, text string"), prototypes).collect()
+    for r in got:
+        vector = bundle(r.text or "")
+        if not vector.any():
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        cosines = [float(vector @ prototypes[x] / np.linalg.norm(vector) / np.linalg.norm(prototypes[x])) for x in names]
+        assert r.lang_pred == names[int(np.argmax(cosines))] and abs(r.score - max(0.0, max(cosines))) < 1e-6
