@@ -89,7 +89,7 @@ class Shard:
     def read(cls, row: dict, dim: int, m: int) -> Shard:
         n = row["rows"]
         return cls(np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["vectors"], "<f8").reshape(n, dim),
-                   np.frombuffer(row["keys"], "<f4").reshape(m, n), np.frombuffer(row["places"], "<i4").reshape(m, n), row["norm"])
+                   np.frombuffer(row["keys"], "<f4").reshape(m, n), np.frombuffer(row["places"], "<i4").reshape(m, n).astype(np.intp), row["norm"])
 
     def levels(self, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Half-widths, and for each query, level and direction the window's ends."""
@@ -190,8 +190,8 @@ def build_index(rows: DataFrame, dim: int, m: int, shard_rows: int, seed: int) -
     return dealt.groupBy("shard").applyInArrow(build, _INDEX)
 
 
-def search(df: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding", m: int = 128,
-           share: float = 0.7, z: float = 2.0, shard_rows: int = 1 << 13, block_rows: int = 1 << 11, seed: int = 11,
+def search(df: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding", m: int = 64,
+           share: float = 0.7, z: float = 1.25, shard_rows: int = 1 << 14, block_rows: int = 1 << 11, seed: int = 11,
            with_verified: bool = False) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of all other rows for each query row.
 
