@@ -29,16 +29,23 @@ MAX_CHARS = 1 << 24
 
 _COMBINING = r"[\x{0300}-\x{10FFFF}]"
 #: The letters from U+00C0 on stay single letters in lower case and normal form, U+0130 alone excepted.
-_ENDED = re.compile("[a-zA-Z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f][.,]\\Z")
+_LATIN = "a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+_ENDED = re.compile(f"[{_LATIN}0-9][.,]\\Z")
+_LETTERS = re.compile(f"[{_LATIN}]+")
 
 
 class WordIds:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = tuple(t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values())
+        # what the byte-level pre-tokenizer writes for the bytes of letters
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.byte_chars = {}
+        for c in map(chr, range(0x80, 0x800)):
+            self.byte_chars.update(zip(c.encode(), level.pre_tokenize_str(c)[0][0]))
         self._forget()
 
     def _forget(self) -> None:
@@ -56,7 +63,14 @@ class WordIds:
         ended = [w for w in new if _ENDED.search(w)]
         alone = set(new).difference(ended)
         unseen = [w for w in alone.union([w[:-1] for w in ended], ".,") if w not in known]
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast(unseen, add_special_tokens=False)]
+        # a word of Latin letters is one pre-token: its lower case goes to the merges at once
+        letters = [w for w in unseen if _LETTERS.fullmatch(w)]
+        others = [w for w in unseen if not _LETTERS.fullmatch(w)]
+        unseen = letters + others
+        merge, byte_chars = self.tokenizer.model.tokenize, self.byte_chars
+        coded = [[t.id for t in merge(w.lower() if w.isascii() else w.lower().encode().decode("latin-1").translate(byte_chars))]
+                 for w in letters]
+        coded += [e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
         of = dict(zip(unseen, coded))
         for w in ended:
             coded.append([*self._ids(of, w[:-1]), *self._ids(of, w[-1])])
@@ -83,7 +97,7 @@ class WordIds:
             raw = pc.or_(raw, pc.match_substring(low, token))
         return pc.if_else(raw, texts, low)
 
-    def texts(self, texts: pa.Array | list[str | None], chunk: int = 4096) -> Iterator[bytes]:
+    def texts(self, texts: pa.Array | list[str | None], chunk: int = 2048) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; null counts as empty."""
         texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
         for at in range(0, len(texts), chunk):
@@ -93,8 +107,9 @@ class WordIds:
             lengths = self.lengths[place]
             ends = np.concatenate([[0], np.cumsum(lengths)])
             # place of an id: its word's start, and how far into the word
-            gather = np.repeat(self.starts[place] - ends[:-1], lengths)
-            gather += np.arange(len(gather))
+            kind = np.int32 if ends[-1] + len(self.ids) < 1 << 31 else np.int64
+            gather = np.repeat((self.starts[place] - ends[:-1]).astype(kind), lengths)
+            gather += np.arange(len(gather), dtype=kind)
             data = self.ids[gather].astype("<u4", copy=False).tobytes()
             bounds = 4 * ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
