@@ -5,11 +5,16 @@ All take a DataFrame with a 0/1 label column and a probability column.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from formmart.functions.labels import percent_text
-from formmart.operators.quantiles import BUCKET_VALUES, exact_quantiles
+from formmart.operators.quantiles import exact_quantiles
 
 EPS = 2.220446049250313e-16  # double machine epsilon: probabilities are clipped to [eps, 1 - eps]
 
@@ -35,50 +40,39 @@ def accuracy_and_log_loss(df: DataFrame, y: str = "y", p: str = "p", threshold:
                   (-F.avg(yy * F.log(q) + (1 - yy) * F.log(1 - q))).alias("log_loss"))
 
 
-def roc_auc(df: DataFrame, y: str = "y", p: str = "p", buckets: int | None = None) -> DataFrame:
+def roc_auc(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     """Area under the ROC curve with ties counted as one half; null for a single class.
 
     Equals the rank-sum statistic with average ranks.  Scores are reduced to
-    distinct values with (positives, negatives) counts.  The running count of
-    negatives below each score comes from a two-level scan: score buckets cut
-    at approximate quantiles (one for each ``BUCKET_VALUES`` distinct scores),
-    per-bucket totals (a small table), then a running sum inside each bucket:
-    no task ever orders all scores.  Null scores come first, NaN last.
+    distinct values with (positives, negatives) counts, which are range-sorted
+    once.  Each range gives one row: its positives, its negatives and its own
+    pairs, from a running count of negatives; the pairs with the ranges before
+    it need their totals alone, a table of one row a range.  No task orders all
+    scores.  Null scores come first, NaN last.
     """
-    from pyspark import StorageLevel
     scores = df.select(F.col(p).cast("double").alias("s"), F.col(y).cast("int").alias("y"))
-    dist = (scores.groupBy("s").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
-                  .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        buckets = buckets or max(2, -(-dist.count() // BUCKET_VALUES))
-        auc = _roc_auc_bucketed(dist, buckets).first()[0]
-    finally:
-        dist.unpersist()
-    return df.sparkSession.createDataFrame([(auc,)], "roc_auc double")
-
-
-def _roc_auc_bucketed(dist: DataFrame, buckets: int) -> DataFrame:
-    edges = dist.agg(F.percentile_approx("s", [i / buckets for i in range(1, buckets)], 10 * buckets)
-                     .alias("edges")).first()["edges"] or []
-    if edges:
-        arr = F.array(*[F.lit(float(e)) for e in edges])  # at most `buckets` literals
-        bucket = F.size(F.filter(arr, lambda e: e < F.col("s")))
-    else:
-        bucket = F.lit(0)
-    with_b = dist.withColumn("b", bucket)
-    totals = with_b.groupBy("b").agg(F.sum("neg").alias("bneg"), F.sum("pos").alias("bpos"))
-    # at most `buckets` rows: the one global window here runs over a bounded table
-    before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = totals.select("b", F.coalesce(F.sum("bneg").over(before), F.lit(0)).alias("neg_before_bucket"))
-    inside = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    contrib = (with_b.join(F.broadcast(offs), "b")
-                     .withColumn("neg_below", F.col("neg_before_bucket")
-                                 + F.coalesce(F.sum("neg").over(inside), F.lit(0)))
-                     .select((F.col("pos") * (F.col("neg_below") + F.col("neg") * 0.5)).alias("c"),
-                             "pos", "neg"))
-    agg = contrib.agg(F.sum("c").alias("c"), F.sum("pos").alias("npos"), F.sum("neg").alias("nneg"))
-    return agg.select(F.when((F.col("npos") > 0) & (F.col("nneg") > 0),
-                             F.col("c") / (F.col("npos").cast("double") * F.col("nneg"))).alias("roc_auc"))
+    dist = scores.groupBy("s").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
+    ranges = (dist.repartitionByRange("s").sortWithinPartitions("s").select("pos", "neg")
+              .mapInArrow(_pairs_inside, "part int, pos double, neg double, pairs double"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    pairs = F.col("pairs") + F.col("pos") * F.coalesce(F.sum("neg").over(before), F.lit(0.0))
+    total = (ranges.select("pos", "neg", pairs.alias("c"))
+             .agg(F.sum("c").alias("c"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
+    return total.select(F.when((F.col("pos") > 0) & (F.col("neg") > 0), F.col("c") / (F.col("pos") * F.col("neg")))
+                        .alias("roc_auc"))
+
+
+def _pairs_inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Positives, negatives, and pairs of a negative before a positive (ties: half) in one sorted range."""
+    pos = neg = pairs = 0.0
+    for batch in batches:
+        p, n = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("pos", "neg"))
+        p, n = np.nan_to_num(p), np.nan_to_num(n)  # rows without a label count for neither class
+        below = neg + np.cumsum(n) - n
+        pairs += float((p * (below + n * 0.5)).sum())
+        pos, neg = pos + float(p.sum()), neg + float(n.sum())
+    yield pa.RecordBatch.from_pydict({"part": pa.array([TaskContext.get().partitionId()], pa.int32()),
+                                      "pos": [pos], "neg": [neg], "pairs": [pairs]})
 
 
 def calibration(df: DataFrame, y: str = "y", p: str = "p", bins: int = 10) -> DataFrame:

@@ -4,8 +4,9 @@ correlations, histograms, the heuristic baseline and the leakage check."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,14 +22,43 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def _long_form(row_df: DataFrame, names: Sequence[str], key: str, value: str) -> DataFrame:
     """Turn the single wide row of per-column aggregates into (key, value) rows."""
-    return row_df.unpivot([], list(names), key, value)
+    return row_df.unpivot([], [F.col(f"`{c}`") for c in names], key, value)
 
 
 def coverage(ds: DataFrame) -> DataFrame:
-    return ds.agg(F.count(F.lit(1)).alias("rows"), F.min("game_date").alias("start_date"),
-                  F.max("game_date").alias("end_date"),
-                  F.count_distinct("team_id").alias("num_teams"),
-                  F.count_distinct("game_id").alias("num_games"))
+    """Rows, dates and exact numbers of teams and games.
+
+    Each distinct count dedupes its own column in two phases (before and after
+    its exchange), so no row is expanded for another column's count.
+    """
+    parts = [ds.agg(F.count(F.lit(1)).alias("rows"), F.min("game_date").alias("start_date"), F.max("game_date").alias("end_date")),
+             ds.select("team_id").distinct().agg(F.count("team_id").alias("num_teams")),
+             ds.select("game_id").distinct().agg(F.count("game_id").alias("num_games"))]
+    one = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)  # a row a part
+    return one.agg(*[F.max(c).alias(c) for c in ("rows", "start_date", "end_date", "num_teams", "num_games")])
+
+
+#: log2 of a sketch's registers: a relative standard error of 1.04 / sqrt(2^14), below 0.82%.
+SKETCH_LOG_K = 14
+SKETCH_ERROR = 1.04 / (1 << SKETCH_LOG_K) ** 0.5
+
+
+def coverage_sketches(ds: DataFrame, day: str = "game_date") -> DataFrame:
+    """Rows and sketches of the teams and games of each day, to be stored and merged for any range of days.
+
+    A sketch has a fixed size (at most 2^``SKETCH_LOG_K`` registers), so the table
+    grows with the days alone, and a range never reads the rows again.
+    """
+    sketch = lambda c: F.hll_sketch_agg(c, F.lit(SKETCH_LOG_K))
+    return ds.groupBy(F.col(day).alias("day")).agg(F.count(F.lit(1)).alias("rows"), sketch("team_id").alias("teams"),
+                                                   sketch("game_id").alias("games"))
+
+
+def coverage_estimate(sketches: DataFrame, *by: Column) -> DataFrame:
+    """Rows, dates and estimated numbers of teams and games of the sketched days, all together or by groups of days."""
+    merged = lambda c: F.hll_sketch_estimate(F.hll_union_agg(c, F.lit(True)))
+    return sketches.groupBy(*by).agg(F.sum("rows").alias("rows"), F.min("day").alias("start_date"), F.max("day").alias("end_date"),
+                                     merged("teams").alias("num_teams"), merged("games").alias("num_games"))
 
 
 def target_distribution(ds: DataFrame, target: str = "y_win") -> DataFrame:
@@ -50,27 +80,34 @@ def baseline_accuracy(ds: DataFrame) -> DataFrame:
     return ds.agg(F.avg(F.when(pred == F.col("y_win"), 1).otherwise(0)).alias("baseline_accuracy"))
 
 
+#: Columns whose co-moments one aggregate holds: 10 buffers each, below the 100 fields up to which Spark compiles a stage.
+CORR_BATCH = 9
+
+
 def correlations(ds: DataFrame, target: str = "y_win", top: int = 20) -> DataFrame:
     """Pearson correlation of every numeric column with ``target`` over pairwise
     non-null rows; a constant or all-null column gives null (sorted last).
 
-    Long form: each row is unpivoted into (column, x, y) pairs and aggregated per
-    column with the numerically stable central-moment aggregates — a few
-    aggregates per group instead of one very wide row of them.
+    Rows stay wide: an aggregate holds count, means and central co-moments of a
+    batch of columns, merges them pairwise (so large means don't cancel) and
+    reads no other column.  A batch ends as one row, which is then unpivoted.
     """
     cols = numeric_columns(ds)
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x"))
-                                for c in cols]))
-    long = (ds.select(F.col(target).cast("double").alias("y"), pairs.alias("p"))
-              .select("p.column_name", "p.x", "y")
-              .where(F.col("x").isNotNull() & F.col("y").isNotNull()))
-    den = F.stddev_pop("x") * F.stddev_pop("y")
-    per_col = long.groupBy("column_name").agg((F.covar_pop("x", "y") / F.when(den != 0, den))
-                                              .alias("corr_with_y_win"))
-    # one row per numeric column (schema-sized): columns without pairs keep a null
-    names = ds.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
-    return (names.join(per_col, "column_name", "left")
-                 .orderBy(F.col("corr_with_y_win").desc_nulls_last(), "column_name").limit(top))
+    y = F.col(f"`{target}`").cast("double")
+    batches = []
+    for at in range(0, len(cols), CORR_BATCH):
+        batch, moments = cols[at:at + CORR_BATCH], []
+        for i, c in enumerate(batch):
+            x = F.col(f"`{c}`").cast("double")
+            both = x.isNotNull() & y.isNotNull()
+            moments += [F.covar_pop(x, y).alias(f"c{i}"), F.stddev_pop(F.when(both, x)).alias(f"x{i}"),
+                        F.stddev_pop(F.when(both, y)).alias(f"y{i}")]
+        den = [F.col(f"x{i}") * F.col(f"y{i}") for i in range(len(batch))]
+        row = ds.agg(*moments).select(*[(F.col(f"c{i}") / F.when(d != 0, d)).alias(c) for i, (c, d) in enumerate(zip(batch, den))])
+        batches.append(_long_form(row, batch, "column_name", "corr_with_y_win"))
+    out = reduce(DataFrame.unionByName, batches) if batches else ds.sparkSession.createDataFrame(
+        [], "column_name string, corr_with_y_win double")
+    return out.orderBy(F.col("corr_with_y_win").desc_nulls_last(), "column_name").limit(top)
 
 
 def histogram(ds: DataFrame, col: str, bins: int = 30) -> DataFrame:

@@ -1,28 +1,126 @@
-"""Exact order statistics without sending a column to one task.
-
-Spark's exact ``percentile``/``median`` merge a value→count map of the whole
-column in a single task, which does not survive a column with billions of
-distinct values.  Here: approximate quantiles cut each column into ~equal
-buckets, per-bucket counts (a small table) locate the bucket holding each
-wanted rank, and only those buckets are aggregated by distinct value to read
-the exact element.  Quantiles interpolate linearly between neighbouring
-order statistics, like ``numpy.percentile`` and SQL ``quantile_cont``.
+"""Exact order statistics by narrowing brackets over wide rows.
+
+A wanted rank of a column is held in a bracket, a closed range of values that
+contains it, with the number of values below and inside.  One pass over the
+rows works for all brackets of all columns at once, without exploding them:
+
+* a mergeable sketch (``percentile_approx``) of each bracket's values proposes
+  a pivot at the wanted rank and a narrower range around it;
+* the next pass counts, for each proposal, the values below the range, in it
+  below the pivot, equal to the pivot, and in it above the pivot.  The counts
+  are exact, so they tell which of these parts holds the rank, whatever the
+  sketch's error; the same pass sketches the proposed range for the next one.
+
+A bracket is done when its rank falls on the pivot or when at most
+``BRACKET_VALUES`` values are inside: these are then collected, for all such
+brackets in one pass, together with the least value above each bracket, which
+the next rank may need.  Every pass drops at least the
+pivot, and a sketch of relative error e leaves a few e of the values, so the
+passes grow with the logarithm of the rows.  Nothing but aggregates leaves a
+partition: there is no exchange of (column, value) pairs and no task that
+holds a column.  Quantiles interpolate linearly between neighbouring order
+statistics, like ``numpy.percentile`` and SQL ``quantile_cont``.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Values of a bracket that are collected instead of being narrowed again.
+BRACKET_VALUES = 1 << 11
+#: Sketch accuracy (ranks are off by at most n / SKETCH) and how far around a rank the next range reaches.
+SKETCH = 1000
+MARGIN = 3.0 / SKETCH
+#: Parts of a range whose place in the order isn't known yet.
+GRID = 100
+#: Aggregates in one pass, so that a pass's expressions stay of a size that compiles.
+PASS_AGGREGATES = 400
+
+
+@dataclass(eq=False)
+class Bracket:
+    """``rank`` of a column lies in [lo, hi]; with ``pair`` the rank after it is wanted too."""
+    col: str
+    rank: int
+    pair: bool
+    inside: int                     # values in [lo, hi]
+    below: int = 0                  # values under lo
+    lo: float = -math.inf
+    hi: float = math.inf
+    ask: tuple[float, float, float] | None = None    # proposed lo, pivot, hi
+
+
+def _value(col: str) -> Column:
+    x = F.col(f"`{col}`").cast("double")
+    return F.when(~F.isnan(x), x + F.lit(0.0))  # adding 0 makes -0.0 the equal 0.0
+
+
+def _within(x: Column, lo: float, hi: float) -> Column:
+    cond = x.isNotNull()
+    if lo != -math.inf:
+        cond = cond & (x >= F.lit(lo))
+    if hi != math.inf:
+        cond = cond & (x <= F.lit(hi))
+    return cond
+
+
+def _in_passes(df: DataFrame, exprs: list[Column]) -> list:
+    """Values of aggregates, in as few passes as ``PASS_AGGREGATES`` allows."""
+    out = []
+    for at in range(0, len(exprs), PASS_AGGREGATES):
+        part = exprs[at:at + PASS_AGGREGATES]
+        out += list(df.agg(*[e.alias(f"a{i}") for i, e in enumerate(part)]).first())
+    return out
+
 
-def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v"))
-                                for c in cols]))
-    out = df.select(pairs.alias("p")).select("p.k", "p.v")
-    return out.where(F.col("v").isNotNull() & ~F.isnan("v"))
+def _sketch(col: str, lo: float, hi: float, probs: Sequence[float]) -> Column:
+    x = _value(col)
+    return F.percentile_approx(F.when(_within(x, lo, hi), x), F.array(*[F.lit(p) for p in probs]), F.lit(SKETCH))
+
+
+def _known(b: Bracket) -> Column:
+    """The value at the bracket's rank, and those a margin around it."""
+    at = (b.rank - b.below) / max(1, b.inside - 1)
+    return _sketch(b.col, b.lo, b.hi, (max(0.0, at - MARGIN), at, min(1.0, at + MARGIN)))
+
+
+def _counted(b: Bracket) -> list[Column]:
+    """Counts of the proposal's parts, and a grid of the values in it."""
+    x = _value(b.col)
+    lo, pivot, hi = b.ask
+    return [F.count_if(_within(x, b.lo, b.hi) & (x < lo)), F.count_if((x >= lo) & (x < pivot)), F.count_if(x == pivot),
+            F.count_if((x > pivot) & (x <= hi)), _sketch(b.col, lo, hi, [i / GRID for i in range(GRID + 1)])]
+
+
+def _settle(b: Bracket, under: int, low: int, equal: int, high: int, grid: Sequence[float] | None) -> None:
+    """Move the bracket into the part of its proposal that holds the rank, and propose again where the grid reaches."""
+    (lo, pivot, hi), b.ask = b.ask, None
+    after = b.below + b.inside
+    a, c, d, e = (b.below + n for n in (under, under + low, under + low + equal, under + low + equal + high))
+    if b.rank < a:
+        b.hi, b.inside = math.nextafter(lo, -math.inf), under
+        return
+    if b.rank >= e:
+        b.lo, b.below, b.inside = math.nextafter(hi, math.inf), e, after - e
+        return
+    if b.rank < c:
+        b.lo, b.hi, b.below, b.inside = lo, math.nextafter(pivot, -math.inf), a, low
+    elif b.rank < d:
+        b.lo, b.hi, b.below, b.inside = pivot, pivot, c, equal
+        return
+    else:
+        b.lo, b.hi, b.below, b.inside = math.nextafter(pivot, math.inf), hi, d, high
+    if grid:
+        at = GRID * (b.rank - a) / max(1, e - a - 1)
+        near = (grid[max(0, math.floor(at) - 2)], grid[round(at)], grid[min(GRID, math.ceil(at) + 2)])
+        near = tuple(min(max(v, b.lo), b.hi) for v in near)
+        # a pivot must be a value of the bracket
+        b.ask = near if near[1] in grid else None
 
 
 def order_statistics(df: DataFrame, cols: Sequence[str], ranks: dict[str, set[int]] | None = None,
@@ -30,71 +128,64 @@ def order_statistics(df: DataFrame, cols: Sequence[str], ranks: dict[str, set[in
     """Return ({col: n_non_null}, {(col, rank): value}) for the requested 0-based ranks.
 
     If ``ranks`` is None, the ranks needed for ``probs`` (linear interpolation)
-    are requested.  All passes after the first run on the distinct
-    (column, value, count) table, which is far smaller than the input whenever
-    values repeat.  ``buckets`` defaults to one for each ``BUCKET_VALUES``
-    distinct values of the largest column, so that a bucket's window task keeps
-    its size as the data grow.
+    are requested.  Null and NaN values are left out; columns without a value
+    have no entry.  With ``buckets``, brackets are collected once they hold a
+    column's share of 1 / buckets.
     """
-    from pyspark import StorageLevel
-    # map-side combined: one row per distinct value of each column
-    dist = (_long(df, cols).groupBy("k", "v").agg(F.count(F.lit(1)).alias("cnt"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        return _order_statistics(df, dist, ranks, probs, buckets)
-    finally:
-        dist.unpersist()
-
-
-BUCKET_VALUES = 1 << 18
-
-
-def _order_statistics(df, dist, ranks, probs, buckets):
-    per_col = dist.groupBy("k").agg(F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("d")).collect()
-    counts = {r["k"]: r["n"] for r in per_col}
-    buckets = buckets or max(2, -(-max([r["d"] for r in per_col], default=0) // BUCKET_VALUES))
+    cols = list(dict.fromkeys(cols))
+    wide = df.select(*[F.col(f"`{c}`") for c in cols])
+    counts = {c: n for c, n in zip(cols, _in_passes(wide, [F.count(_value(c)) for c in cols])) if n}
     if ranks is None:
-        ranks = {}
-        for c, n in counts.items():
-            want = set()
-            for p in probs:
-                h = (n - 1) * p
-                want.update({int(math.floor(h)), min(int(math.floor(h)) + 1, n - 1)})
-            ranks[c] = want
-    ranks = {c: r for c, r in ranks.items() if c in counts and r}
-    if not ranks:
-        return counts, {}
-    qs = [i / buckets for i in range(1, buckets)]
-    # edges over distinct values: buckets hold similar numbers of distinct values,
-    # which bounds the rows any one window task below has to order
-    # collected once (at most `buckets` numbers a column): the sketch may differ from job to job
-    cut = {r["k"]: r["edges"] for r in dist.where(F.col("k").isin(list(ranks))).groupBy("k")
-           .agg(F.percentile_approx("v", qs, 10 * buckets).alias("edges")).collect()}
-    edges = df.sparkSession.createDataFrame(list(cut.items()), "k string, edges array<double>")
-    bucketed = (dist.join(F.broadcast(edges), "k")
-                    .withColumn("b", F.size(F.filter("edges", lambda e: e < F.col("v")))).drop("edges"))
-    per_bucket = bucketed.groupBy("k", "b").agg(F.sum("cnt").alias("n")).collect()
-    by_col: dict[str, list] = {}
-    for r in per_bucket:
-        by_col.setdefault(r["k"], []).append((r["b"], r["n"]))
-    wanted = []  # (col, bucket, local rank, global rank)
-    for c, lst in by_col.items():
-        acc = 0
-        for b, n in sorted(lst):
-            for r in ranks.get(c, ()):
-                if acc <= r < acc + n:
-                    wanted.append((c, b, r - acc, r))
-            acc += n
-    want_df = df.sparkSession.createDataFrame(wanted, "k string, b int, local long, rnk long")
-    keys = want_df.select("k", "b").distinct()
-    w = Window.partitionBy("k", "b").orderBy("v")
-    run = (bucketed.join(F.broadcast(keys), ["k", "b"])
-                   .withColumn("hi", F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-                   .withColumn("lo", F.col("hi") - F.col("cnt")))
-    hits = (run.join(F.broadcast(want_df), ["k", "b"])
-               .where((F.col("local") >= F.col("lo")) & (F.col("local") < F.col("hi")))
-               .select("k", "rnk", "v").collect())
-    return counts, {(r["k"], r["rnk"]): r["v"] for r in hits}
+        ranks = {c: {r for p in probs for r in _neighbours(n, p)} for c, n in counts.items()}
+    open_: list[Bracket] = []
+    for c, wanted in ranks.items():
+        for r in sorted(wanted) if c in counts else []:
+            if not 0 <= r < counts[c]:
+                raise ValueError(f"no rank {r} among {counts[c]} values")
+            if open_ and open_[-1].col == c and open_[-1].rank == r - 1 and not open_[-1].pair:
+                open_[-1].pair = True
+            else:
+                open_.append(Bracket(c, r, False, counts[c]))
+    limit = {c: max(1, n // buckets) if buckets else BRACKET_VALUES for c, n in counts.items()}
+    done: list[Bracket] = []
+    while open_:
+        done += [b for b in open_ if b.lo == b.hi or b.inside <= limit[b.col]]
+        open_ = [b for b in open_ if b.lo != b.hi and b.inside > limit[b.col]]
+        asked = [b for b in open_ if b.ask]
+        rest = [b for b in open_ if not b.ask]
+        got = iter(_in_passes(wide, [e for b in asked for e in _counted(b)] + [_known(b) for b in rest]))
+        for b in asked:
+            _settle(b, *[next(got) for _ in range(5)])
+        for b in rest:
+            b.ask = tuple(next(got))
+    return counts, _read(wide, done)
+
+
+def _read(wide: DataFrame, brackets: list[Bracket]) -> dict[tuple[str, int], float]:
+    """Values of the ranks in small brackets: those inside, and the next greater value for a pair."""
+    exprs = []
+    for b in brackets:
+        x = _value(b.col)
+        if b.lo != b.hi:
+            exprs.append(F.sort_array(F.collect_list(F.when(_within(x, b.lo, b.hi), x))))
+        if b.pair:
+            exprs.append(F.min(F.when(x > b.hi, x)))
+    got = iter(_in_passes(wide, exprs))
+    values = {}
+    for b in brackets:
+        inside = [b.lo] if b.lo == b.hi else next(got)
+        at = 0 if b.lo == b.hi else b.rank - b.below
+        values[(b.col, b.rank)] = inside[at]
+        if b.pair:
+            above = next(got)
+            more = b.rank + 1 < b.below + b.inside
+            values[(b.col, b.rank + 1)] = (inside[at] if b.lo == b.hi else inside[at + 1]) if more else above
+    return values
+
+
+def _neighbours(n: int, p: float) -> tuple[int, int]:
+    at = int(math.floor((n - 1) * p))
+    return at, min(at + 1, n - 1)
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
@@ -109,11 +200,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             continue
         res = []
         for p in probs:
-            h = (n - 1) * p
-            lo = int(math.floor(h))
-            hi = min(lo + 1, n - 1)
+            lo, hi = _neighbours(n, p)
             a, b = vals[(c, lo)], vals[(c, hi)]
-            t = h - lo
+            t = (n - 1) * p - lo
             res.append(a if t == 0 or a == b else a + (b - a) * t)
         out[c] = res
     return out

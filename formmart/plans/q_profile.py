@@ -15,6 +15,7 @@ from formmart.operators import profile as PR
 from formmart.operators.quantiles import exact_medians
 from formmart.operators.split import time_split
 from formmart.plans.fixture_mart import mart_for
+from formmart.plans.mart import materialize
 from formmart.plans.oracle_sql import with_views
 from formmart.plans.q_analytics import _ENR
 from formmart.plans.registry import register
@@ -44,6 +45,24 @@ def q_profile_coverage(spark, sf_dir):
     return PR.coverage(_ds(spark, sf_dir))
 
 
+@register("profile_coverage_sketch", with_views(
+    f'SELECT CAST(year(game_date) AS INTEGER) AS year, count(*) AS "rows", min(game_date) AS start_date, max(game_date) AS end_date, '
+    f"count(DISTINCT team_id) AS exact_teams, count(DISTINCT game_id) AS exact_games, true AS teams_within, true AS games_within "
+    f"FROM {DS} GROUP BY 1"))
+def q_profile_coverage_sketch(spark, sf_dir):
+    """Coverage by year from the stored sketches of days, held against the exact counts (five standard errors)."""
+    ds = _ds(spark, sf_dir)
+    year = F.year("day").alias("year")
+    guess = PR.coverage_estimate(materialize(PR.coverage_sketches(ds), "coverage_sketches"), year)
+    dated = ds.select(F.year("game_date").alias("year"), "team_id", "game_id")
+    exact = [dated.select("year", c).distinct().groupBy("year").agg(F.count(c).alias(n))
+             for c, n in (("team_id", "exact_teams"), ("game_id", "exact_games"))]
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= 5 * PR.SKETCH_ERROR * F.col(b)
+    return guess.join(exact[0], "year").join(exact[1], "year").select(
+        "year", "rows", "start_date", "end_date", "exact_teams", "exact_games",
+        near("num_teams", "exact_teams").alias("teams_within"), near("num_games", "exact_games").alias("games_within"))
+
+
 @register("profile_target", with_views(
     f"SELECT y_win, count(*) AS count, {r9('count(*) / sum(count(*)) OVER ()')} AS share FROM {DS} GROUP BY y_win"))
 def q_profile_target(spark, sf_dir):
