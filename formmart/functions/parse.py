@@ -18,9 +18,13 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: The characters with Unicode's White_Space property.
+WHITE_SPACE = "".join(map(chr, (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+
+
 def strip(c) -> Column:
     """Without white space at either end, of any Unicode kind (tabs, no-break spaces)."""
-    return F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")
+    return F.btrim(_c(c), F.lit(WHITE_SPACE))
 
 
 def blank_to_null(c) -> Column:

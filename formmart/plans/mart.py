@@ -13,7 +13,7 @@ also cuts their lineage so a lost executor only re-reads files.
 from __future__ import annotations
 
 import threading
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from formmart.operators import features as V
 from formmart.operators.form import DEFAULT_CHUNK_ROWS
 from formmart.session import scratch_path
+from formmart.sources.tables import VersionedTable
 
 
 @dataclass(frozen=True)
@@ -30,41 +31,16 @@ class StandardTables:
     games: DataFrame
     players: DataFrame | None = None
     player_games: DataFrame | None = None
+    rejected: dict = field(default_factory=dict, compare=False)   # table → reason → dropped rows
 
     @property
     def has_players(self) -> bool:
         return self.players is not None and self.player_games is not None
 
 
-SMALL_TABLE_BYTES = 256 << 20
-
-
-def _listing(spark: SparkSession, path: str) -> tuple[int, int]:
-    """(data files, bytes) under ``path`` — driver-side file-system metadata only."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files = [st for st in fs.listStatus(p) if st.isFile() and not st.getPath().getName().startswith(("_", "."))]
-    return len(files), sum(st.getLen() for st in files)
-
-
-def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
-    """Replace a table at ``path`` (drop + create-as-select) and return a scan of it.
-
-    A small result that the optimizer wrote with at most half as many files as
-    there are cores is rewritten once as one file per core (size-checked: only
-    below ``SMALL_TABLE_BYTES``), so later scans of it are not limited to a few
-    tasks.  Large tables are already split across many files.
-    """
-    spark = df.sparkSession
-    df.write.mode(mode).parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    n_files, n_bytes = _listing(spark, path)
-    if 2 * n_files <= cores and n_bytes < SMALL_TABLE_BYTES:
-        spread = path.rstrip("/") + "_spread"
-        spark.read.parquet(path).repartition(cores).write.mode("overwrite").parquet(spread)
-        return spark.read.parquet(spread)
-    return spark.read.parquet(path)
+def write_table(df: DataFrame, path: str) -> DataFrame:
+    """Replace the table at ``path`` at once (see :class:`formmart.sources.tables.VersionedTable`) and return a scan of it."""
+    return VersionedTable(df.sparkSession, path).replace(df)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -200,7 +176,3 @@ class Mart:
         for name, fn in views.items():
             fn().createOrReplaceTempView(name)
         return sorted(views)
-
-
-def add_string_id(games: DataFrame) -> DataFrame:
-    return games.withColumn("game_id", F.col("game_id").cast("string"))

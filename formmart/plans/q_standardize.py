@@ -100,11 +100,52 @@ def q_src_csv_roundtrip(spark, sf_dir):
 
 @register("sink_table_replace", CLEAN_GAMES)
 def q_sink_table_replace(spark, sf_dir):
-    """Replace semantics: a second overwrite leaves exactly one copy of the rows."""
+    """Replace semantics: the whole table written twice leaves exactly one copy of the rows."""
     g = _tables(spark, sf_dir).games
     path = scratch_path(spark, "tables", "games_replace")
-    write_table(g.limit(0), path)
-    return write_table(g, path, mode="overwrite")
+    write_table(g, path)
+    return write_table(g, path)
+
+
+@register("std_games_rejected", with_views(
+    "SELECT CASE (CAST(game_id AS BIGINT) + team_id) % 3 WHEN 0 THEN 'game_date' WHEN 1 THEN 'matchup' "
+    "ELSE 'opponent_abbreviation' END AS reject_reason, count(*) AS \"rows\" FROM games GROUP BY 1"))
+def q_std_games_rejected(spark, sf_dir):
+    """Rows that the games export loses, by reason."""
+    t = _tables(spark, sf_dir)
+    return STD.rejects(STD.games_with_reasons(R.raw_games_matchup(t.games, t.teams), t.teams))
+
+
+@register("std_player_games_rejected", with_views(
+    "SELECT CASE (CAST(game_id AS BIGINT) + team_id) % 4 WHEN 0 THEN 'game_date' WHEN 1 THEN 'team_abbreviation' "
+    "WHEN 2 THEN 'matchup' ELSE 'opponent_abbreviation' END AS reject_reason, count(*) AS \"rows\" "
+    "FROM player_games GROUP BY 1"))
+def q_std_player_games_rejected(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return STD.rejects(STD.player_games_with_reasons(R.raw_player_games(t.player_games, t.teams), t.teams))
+
+
+@register("std_build_rejected", with_views(
+    "SELECT 'games' AS source, CASE (CAST(game_id AS BIGINT) + team_id) % 3 WHEN 0 THEN 'game_date' WHEN 1 THEN 'matchup' "
+    "ELSE 'opponent_abbreviation' END AS reject_reason, count(*) AS \"rows\" FROM games GROUP BY 2"))
+def q_std_build_rejected(spark, sf_dir):
+    """Dropped rows as observed while the tables are built from CSV text."""
+    t = _tables(spark, sf_dir)
+    base = scratch_path(spark, "csv", "rejects")
+    std = CSV.build_standard_tables(spark, CSV.write_raw_csv(R.raw_teams(t.teams), f"{base}/teams"),
+                                    CSV.write_raw_csv(R.raw_games_matchup(t.games, t.teams), f"{base}/games"))
+    rows = [(table, reason, n) for table, reasons in std.rejected.items() for reason, n in reasons.items()]
+    return spark.createDataFrame(rows, "source string, reject_reason string, rows bigint")
+
+
+@register("std_row_positions", with_views(
+    "SELECT CAST(range AS VARCHAR) AS game_id FROM range((SELECT count(*) FROM games))"))
+def q_std_row_positions(spark, sf_dir):
+    """Synthetic ids of an export without ids, read from CSV text and shuffled before and after: dense from 0."""
+    t = _tables(spark, sf_dir)
+    raw = R.raw_games_oppid(t.games, junk=False).drop("game_id")
+    path = CSV.write_raw_csv(raw.repartition("date"), scratch_path(spark, "csv", "no_id"))
+    return STD.standardize_games(CSV.read_raw_csv(spark, path), t.teams).repartition("team_id").select("game_id")
 
 
 # -- parsers ------------------------------------------------------------------
