@@ -24,7 +24,10 @@ WHITE_SPACE = "".join(map(chr, (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(
 
 def strip(c) -> Column:
     """Without white space at either end, of any Unicode kind (tabs, no-break spaces)."""
-    return F.btrim(_c(c), F.lit(WHITE_SPACE))
+    t = _c(c)
+    printed = lambda end: F.ascii(end).between(33, 126)
+    # most text begins and ends with a printed ASCII character
+    return F.when(printed(t) & printed(F.substring(t, -1, 1)), t).otherwise(F.btrim(t, F.lit(WHITE_SPACE)))
 
 
 def blank_to_null(c) -> Column:
@@ -32,27 +35,32 @@ def blank_to_null(c) -> Column:
     return F.when(t != "", t)
 
 
-def to_numeric(c) -> Column:
+def _text(c, clean: bool) -> Column:
+    """Stripped text, blanks null; ``clean`` text already is."""
+    return _c(c) if clean else blank_to_null(c)
+
+
+def to_numeric(c, clean: bool = False) -> Column:
     """Number or null; NaN becomes null so it cannot poison averages."""
-    x = blank_to_null(c).try_cast("double")
+    x = _text(c, clean).try_cast("double")
     return F.when(~F.isnan(x), x)
 
 
-def to_long(c) -> Column:
+def to_long(c, clean: bool = False) -> Column:
     """Tolerant integer: plain integer text directly; otherwise through double, so
     '2019.0' reads as 2019 and fractions give null."""
-    x = to_numeric(c)
-    return F.coalesce(blank_to_null(c).try_cast("bigint"), F.when(x == F.floor(x), x.cast("bigint")))
+    x = to_numeric(c, clean)
+    return F.coalesce(_text(c, clean).try_cast("bigint"), F.when(x == F.floor(x), x.cast("bigint")))
 
 
-def strict_long(c, what: str = "id") -> Column:
+def strict_long(c, what: str = "id", clean: bool = False) -> Column:
     """Integer identifier; a non-integer value fails the job (nulls pass through)."""
-    x = to_long(c)
+    x = to_long(c, clean)
     return F.when(_c(c).isNull() | x.isNotNull(), x).otherwise(
         F.raise_error(F.concat(F.lit(f"invalid {what}: "), _c(c).cast("string"))).cast("bigint"))
 
 
-def parse_date(c, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
+def parse_date(c, formats: Sequence[tuple[str, str]] = DATE_FORMATS, clean: bool = False) -> Column:
     """First (format, shape) whose shape matches and whose format parses wins, then Spark's
     own reading of timestamps (ISO forms with fractions or a zone).
 
@@ -60,7 +68,7 @@ def parse_date(c, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
     being attempted on text they cannot read; text that starts with four digits
     and a dash tries the ISO forms alone.
     """
-    t = blank_to_null(c)
+    t = _text(c, clean)
     iso = t.rlike(r"^\d{4}-")
     plain = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), t.try_cast("date"))
     tried = lambda of: [F.when(t.rlike(shape), F.try_to_timestamp(t, F.lit(fmt))).cast("date")
@@ -75,13 +83,13 @@ def season_start(d) -> Column:
     return (F.year(d) - F.when(F.month(d) < 10, 1).otherwise(0)).cast("bigint")
 
 
-def parse_matchup(c) -> Column:
+def parse_matchup(c, clean: bool = False) -> Column:
     """'AAA vs. BBB' → (AAA, BBB, home); 'AAA @ BBB' → (AAA, BBB, away); else nulls.
 
     Whitespace-split; at least three tokens; a middle token containing 'vs'
     (any case) means home, exactly '@' means away.  Abbreviations upper-cased.
     """
-    parts = F.split(strip(c), r"(?U)\s+")
+    parts = F.split(_c(c) if clean else strip(c), r"(?U)\s+")
     ok = _c(c).isNotNull() & (F.size(parts) >= 3)
     mid = F.get(parts, 1)
     home = F.when(ok & F.lower(mid).contains("vs"), F.lit(True)).when(ok & (mid == "@"), F.lit(False))
@@ -93,9 +101,9 @@ def parse_matchup(c) -> Column:
     )
 
 
-def parse_minutes(c) -> Column:
+def parse_minutes(c, clean: bool = False) -> Column:
     """Minutes played from a number or 'MM:SS' (split at the first colon)."""
-    t = strip(_c(c).cast("string"))
+    t = _c(c) if clean else strip(_c(c).cast("string"))
     has_colon = F.instr(t, ":") > 0
     mm = F.substring_index(t, ":", 1)
     ss = t.substr(F.instr(t, ":") + 1, F.lit(1 << 30))
@@ -103,19 +111,19 @@ def parse_minutes(c) -> Column:
     return F.when(has_colon, mins).otherwise(to_numeric(t))
 
 
-def parse_bool(c) -> Column:
+def parse_bool(c, clean: bool = False) -> Column:
     """true/false, t/f, yes/no, y/n, 1/0 (any case); anything else null."""
-    t = F.lower(blank_to_null(c))
-    n = to_numeric(t)
+    t = F.lower(_text(c, clean))
+    n = to_numeric(t, clean=True)
     return F.coalesce(t.try_cast("boolean"), F.when(n == 1, True).when(n == 0, False))
 
 
-def clean_wl(c) -> Column:
+def clean_wl(c, clean: bool = False) -> Column:
     """Upper-cased, trimmed result letter; null stays null."""
-    return F.upper(strip(c))
+    return F.upper(_c(c) if clean else strip(c))
 
 
-def clean_id(c) -> Column:
+def clean_id(c, clean: bool = False) -> Column:
     """Identifier text without surrounding blanks; of all-digit ids also without leading zeros ('007' → '7')."""
-    t = blank_to_null(c)
-    return F.regexp_replace(t, r"^0+(?=\d+$)", "")
+    t = _text(c, clean)
+    return F.when(t.startswith("0"), F.regexp_replace(t, r"^0+(?=\d+$)", "")).otherwise(t)

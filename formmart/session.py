@@ -21,6 +21,8 @@ _DEFAULTS = {
     # small final stages keep enough partitions to use every core (and are
     # written as that many files); no effect on large stages
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
+    # the JVM never compiles methods above 8,000 bytes of code: wide parsing stages run as separate operators instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
