@@ -111,13 +111,14 @@ def base_counts(df: DataFrame, text: str) -> DataFrame:
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(f"[^{WORD_CLASS}]"))
     df = df.withColumn("_lines", lines)
     n = F.size("_words")
+    # where all hashes of windows differ, no window repeats; the others are compared as text
+    of_window = lambda f: F.transform(F.sequence(F.lit(0), n - 3), lambda i: f(*[F.get(F.col("_words"), i + k) for k in range(3)]))
+    df = df.withColumn("_hashes", F.when(n >= 3, of_window(F.xxhash64)))
+    repeated = F.size("_hashes") > F.size(F.array_distinct("_hashes"))
     # no word holds a blank, so the joined windows are equal only if their words are
-    windows = F.transform(F.sequence(F.lit(0), n - 3),
-                          lambda i: F.concat_ws(" ", *[F.get(F.col("_words"), i + k) for k in range(3)]))
-    df = df.withColumn("_windows", F.when(n >= 3, windows).otherwise(F.array().cast("array<string>")))
-    repeated = F.size("_windows") > F.size(F.array_distinct("_windows"))
-    placed = F.sort_array(F.transform(F.col("_windows"), lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-    df = df.withColumn("_sorted", F.when(repeated, placed))
+    windows = of_window(lambda *ws: F.concat_ws(" ", *ws))
+    placed = F.sort_array(F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
+    df = df.withColumn("_sorted", F.when((n >= 3) & repeated, placed))
     df = df.withColumn("_at", F.sort_array(F.transform(F.filter(
         F.col("_sorted"),
         lambda x, j: ((j > 0) & (F.get(F.col("_sorted"), j - 1)["w"] == x["w"]))
