@@ -113,46 +113,25 @@ def team_star_features(pform: DataFrame, top: int = 3) -> DataFrame:
 
 
 def enrich(base: DataFrame, stars: DataFrame, prefix: str = "opp_") -> DataFrame:
-    """Left-join own and opponent star features onto the base dataset.
+    """Left-join own and opponent star features onto the base dataset, by one join.
 
-    When every game has at most two star rows with distinct teams (checked by
-    one small aggregate), the star table is pivoted to one row per game and a
-    single left join on ``game_id`` serves both sides: two exchanges instead
-    of four.  Otherwise two left equi-joins on (game, team) are used.
+    The star rows of a game (its teams' aggregates, a few) become one array, and
+    each dataset row picks those of its own team and of its opponent; a team that
+    has several rows in a game gives a row for each, as two left joins would.
+    Tables bucketed by game are joined and grouped without an exchange.
     """
-    if _two_sides_per_game(stars):
-        return _enrich_by_game(base, stars, prefix)
-    own = stars.select(F.col("game_id").alias("_s_game"), F.col("team_id").alias("_s_team"),
-                       *S.STAR_FEATURES)
-    opp = stars.select(F.col("game_id").alias("_o_game"), F.col("team_id").alias("_o_team"),
-                       *[F.col(c).alias(prefix + c) for c in S.STAR_FEATURES])
-    out = (base.join(own, (base.game_id == own._s_game) & (base.team_id == own._s_team), "left")
-               .join(opp, (base.game_id == opp._o_game) & (base.opponent_team_id == opp._o_team), "left"))
-    return out.select(*base.columns, *S.STAR_FEATURES, *[prefix + c for c in S.STAR_FEATURES])
-
-
-def _two_sides_per_game(stars: DataFrame) -> bool:
-    per_game = stars.groupBy("game_id").agg(F.count(F.lit(1)).alias("n"),
-                                            F.count_distinct("team_id").alias("teams"))
-    row = per_game.agg(F.max("n"), F.sum(F.when(F.col("n") != F.col("teams"), 1).otherwise(0))).first()
-    return row[0] is None or (row[0] <= 2 and not row[1])
-
-
-def _enrich_by_game(base: DataFrame, stars: DataFrame, prefix: str) -> DataFrame:
-    feats = F.struct(*S.STAR_FEATURES)
-    per_game = (stars.where(F.col("team_id").isNotNull())
-                     .groupBy(F.col("game_id").alias("_g_game"))
-                     .agg(F.min("team_id").alias("_lo"), F.min_by(feats, F.col("team_id")).alias("_lo_f"),
-                          F.max("team_id").alias("_hi"), F.max_by(feats, F.col("team_id")).alias("_hi_f")))
-    j = base.join(per_game, base.game_id == per_game._g_game, "left")
-
-    def side(team_col: str):
-        return (F.when(F.col(team_col) == F.col("_lo"), F.col("_lo_f"))
-                 .when(F.col(team_col) == F.col("_hi"), F.col("_hi_f")))
-
-    own, opp = side("team_id"), side("opponent_team_id")
-    return j.select(*base.columns, *[own.getField(c).alias(c) for c in S.STAR_FEATURES],
-                    *[opp.getField(c).alias(prefix + c) for c in S.STAR_FEATURES])
+    side = F.struct(F.col("team_id"), *S.STAR_FEATURES)
+    per_game = (stars.where(F.col("team_id").isNotNull()).groupBy(F.col("game_id").alias("_g_game"))
+                     .agg(F.collect_list(side).alias("_sides")))
+    joined = base.join(per_game, base.game_id == per_game._g_game, "left")
+
+    def of(team: str):
+        return F.filter("_sides", lambda s: s["team_id"] == F.col(team))
+
+    own = joined.withColumn("_own", F.explode_outer(of("team_id")))
+    both = own.withColumn("_opp", F.explode_outer(of("opponent_team_id")))
+    return both.select(*base.columns, *[F.col("_own").getField(c).alias(c) for c in S.STAR_FEATURES],
+                       *[F.col("_opp").getField(c).alias(prefix + c) for c in S.STAR_FEATURES])
 
 
 def with_names(dataset: DataFrame, teams: DataFrame, enriched: bool = False) -> DataFrame:

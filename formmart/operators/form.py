@@ -9,12 +9,11 @@ same-day events in arbitrary order).
 Skew: a plain ``Window.partitionBy(entity)`` puts every event of an entity in
 one task.  The plan is chosen from a checked size, like a broadcast: one small
 aggregate gives the largest entity's event count.  When it fits in
-``chunk_rows``, the plain window (one exchange) is used.  Otherwise events get
-an exact per-entity rank first (two levels: per-(entity, day) counts → running
-offsets → row number inside the day), the rank is cut into chunks of
-``chunk_rows`` events, and the last ``n`` rows of each chunk are copied into the
-next chunk as read-only "halo" rows.  The window then runs per
-(entity, chunk), which is exact for any frame reaching at most ``n`` rows back.
+``chunk_rows``, the plain window (one exchange) is used.  Otherwise the events
+are range-partitioned by (entity, date, ties), also one exchange, so neither an
+entity nor an (entity, day) is one task; the last ``n`` rows before each range
+are carried over its border as read-only rows, and the window runs inside the
+ranges.  This is exact for any frame reaching at most ``n`` rows back.
 """
 
 from __future__ import annotations
@@ -24,9 +23,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from formmart.sources.tables import bucketed_table
+
 DEFAULT_CHUNK_ROWS = 1 << 20
 
-_RANK, _CHUNK, _HALO = "_fm_rank", "_fm_chunk", "_fm_halo"
+_RANK, _HALO = "_fm_rank", "_fm_halo"
+_PART, _PLACE, _NTH, _OWN = "_fm_part", "_fm_place", "_fm_nth", "_fm_own"
 
 
 def _cols(x) -> list[str]:
@@ -91,16 +93,49 @@ def with_rolling(df: DataFrame, entity, date_col: str, tie_cols: Sequence[str],
     if largest_entity(df, keys) <= chunk_rows:
         w = Window.partitionBy(*keys).orderBy(date_col, *tie_cols)
         return df.select("*", *[f(w).alias(name) for name, f in features.items()])
-    ranked = entity_rank(df, keys, date_col, tie_cols)
-    pos = F.col(_RANK) % chunk_rows
-    # Every row lives in its own chunk; the last n rows of a chunk are also
-    # copied into the next chunk, flagged as halo (context only, not output).
-    copies = F.when(pos >= chunk_rows - n, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    spread = (ranked.withColumn(_HALO, F.explode(copies))
-                    .withColumn(_CHUNK, F.floor(F.col(_RANK) / chunk_rows) + F.col(_HALO)))
-    w = Window.partitionBy(*keys, _CHUNK).orderBy(_RANK)
+    return _by_ranges(df, keys, [date_col, *tie_cols], features, n)
+
+
+def _by_ranges(df: DataFrame, keys: list[str], order: list[str], features: dict[str, Column], n: int) -> DataFrame:
+    """Window features over ranges of (entity, order), one exchange of the rows.
+
+    The ranges are written once, bucketed by their number, so every later step
+    reads them as they lie.  ``halo`` has for each range the last ``n`` rows of
+    its first entity before it: a range's tail is sent to the ``n`` ranges after
+    it (each has at least one row, so no row of interest is farther), and those
+    of the right entity and the last n of them are kept.  The halo joins its
+    range's first row and is opened there, ahead of it.
+    """
+    spark = df.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = (df.repartitionByRange(ranges, *keys, *order).sortWithinPartitions(*keys, *order)
+              .withColumn(_PART, F.spark_partition_id())
+              .withColumn(_PLACE, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+    rows = bucketed_table(placed, "form_ranges", _PART, ranges, sort=False)
+
+    firsts = rows.where(F.col(_PLACE) == 0).select(_PART, *[F.col(k).alias(f"_fm_f{i}") for i, k in enumerate(keys)])
+    numbered = firsts.withColumn(_NTH, F.row_number().over(Window.orderBy(_PART)))  # a row a range
+    ends = Window.partitionBy(_PART).orderBy(F.desc(_PLACE))
+    tails = (rows.withColumn("_fm_back", F.row_number().over(ends)).where(F.col("_fm_back") <= n).drop("_fm_back")
+             .join(numbered.select(_PART, _NTH), _PART))
+    sent = tails.select(F.struct(*df.columns).alias("_fm_row"), F.col(_NTH).alias("_fm_from"), _PLACE,
+                        F.explode(F.sequence(F.col(_NTH) + 1, F.col(_NTH) + n)).alias(_NTH))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col("_fm_row").getField(k).eqNullSafe(F.col(f"_fm_f{i}"))
+    arrived = sent.join(numbered, _NTH).where(same)
+    nearest = Window.partitionBy(_PART).orderBy(F.desc("_fm_from"), F.desc(_PLACE))
+    halo = (arrived.withColumn("_fm_back", F.row_number().over(nearest)).where(F.col("_fm_back") <= n)
+            .groupBy(_PART).agg(F.collect_list("_fm_row").alias(_HALO)))
+
+    own = F.array(F.struct(F.struct(*df.columns).alias("row"), F.lit(True).alias("own")))
+    before = F.transform(_HALO, lambda r: F.struct(r.alias("row"), F.lit(False).alias("own")))
+    opened = F.when((F.col(_PLACE) == 0) & F.col(_HALO).isNotNull(), F.concat(before, own)).otherwise(own)
+    spread = rows.join(halo, _PART, "left").select(_PART, F.explode(opened).alias("_fm_x"))
+    spread = spread.select(_PART, "_fm_x.own", *[F.col("_fm_x.row").getField(c).alias(c) for c in df.columns]).withColumnRenamed("own", _OWN)
+    w = Window.partitionBy(_PART, *keys).orderBy(*order)
     out = spread.select("*", *[f(w).alias(name) for name, f in features.items()])
-    return out.where(F.col(_HALO) == 0).drop(_RANK, _CHUNK, _HALO)
+    return out.where(_OWN).drop(_PART, _OWN)
 
 
 # Feature builders: each returns a function of the ordered window.

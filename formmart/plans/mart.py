@@ -7,11 +7,14 @@ form table (star ranking and the player views) and the team star table (own
 and opponent enrichment).  The training datasets (base and enriched) feed
 every profiling, split, metric, comparison and model step.  All five are
 written once as parquet under the shared working folder, which
-also cuts their lineage so a lost executor only re-reads files.
+also cuts their lineage so a lost executor only re-reads files.  The tables that
+are joined by game (team form, star features, base dataset) are bucketed and
+sorted by game, so neither the opponent join nor the star join has an exchange.
 """
 
 from __future__ import annotations
 
+import re
 import threading
 from dataclasses import dataclass, field
 
@@ -21,7 +24,7 @@ from pyspark.sql import functions as F
 from formmart.operators import features as V
 from formmart.operators.form import DEFAULT_CHUNK_ROWS
 from formmart.session import scratch_path
-from formmart.sources.tables import VersionedTable
+from formmart.sources.tables import VersionedTable, bucketed_table
 
 
 @dataclass(frozen=True)
@@ -47,6 +50,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return write_table(df, scratch_path(df.sparkSession, "tables", name))
 
 
+def colocated(df: DataFrame, name: str, key: str = "game_id") -> DataFrame:
+    """The frame written once, bucketed and sorted by ``key``; joins and groups on the key then need no exchange.
+
+    The table's files lie below the shared folder, its entry (buckets, order) in
+    the session's catalog.  There are as many buckets as shuffle partitions.
+    """
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return bucketed_table(df.repartition(buckets, key), name, key, buckets)
+
+
+def _catalog_tables(value) -> list[str]:
+    """Names of the tables of :func:`colocated` that a frame reads directly."""
+    if not isinstance(value, DataFrame):
+        return []
+    return sorted(set(re.findall(r"\bfm_\w+_[0-9a-f]{12}\b", value._jdf.queryExecution().analyzed().toString())))
+
+
 class Mart:
     """Views of one set of standard tables.
 
@@ -68,13 +88,22 @@ class Mart:
         self._cache: dict[str, DataFrame] = {}
         self._lock = threading.RLock()
 
-    def _memo(self, key: str, build, persist: bool = False) -> DataFrame:
+    def _memo(self, key: str, build, persist=None) -> DataFrame:
+        """Build once; ``persist`` writes the frame (:func:`materialize` or :func:`colocated`)."""
         with self._lock:
             if key not in self._cache:
                 df = build()
-                self._cache[key] = materialize(df, key) if (persist and self._mat) else df
+                self._cache[key] = persist(df, key) if (persist and self._mat) else df
             return self._cache[key]
 
+    def close(self) -> None:
+        """Forget all built frames and drop the catalog's entries of the written tables."""
+        with self._lock:
+            for df in self._cache.values():
+                for name in _catalog_tables(df):
+                    self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            self._cache.clear()
+
     def adopt(self, other: Mart, keys) -> None:
         """Reuse another mart's materialized tables built from the same games."""
         if other.tables.games is not self.tables.games or other.n != self.n:
@@ -104,23 +133,23 @@ class Mart:
     # -- features -----------------------------------------------------------
     def team_form(self) -> DataFrame:
         return self._memo("team_form", lambda: V.team_form(self.tables.games, self.n,
-                                                           chunk_rows=self.chunk_rows), persist=True)
+                                                           chunk_rows=self.chunk_rows), persist=colocated)
 
     def training_dataset(self) -> DataFrame:
-        return self._memo("training_dataset", lambda: V.opponent_join(self.team_form()), persist=True)
+        return self._memo("training_dataset", lambda: V.opponent_join(self.team_form()), persist=colocated)
 
     def player_form(self) -> DataFrame:
         self._need_players()
         return self._memo("player_form", lambda: V.player_form(self.tables.player_games, self.n,
-                                                               chunk_rows=self.chunk_rows), persist=True)
+                                                               chunk_rows=self.chunk_rows), persist=materialize)
 
     def team_star_features(self) -> DataFrame:
         self._need_players()
-        return self._memo("team_star", lambda: V.team_star_features(self.player_form()), persist=True)
+        return self._memo("team_star", lambda: V.team_star_features(self.player_form()), persist=colocated)
 
     def training_dataset_enriched(self) -> DataFrame:
         return self._memo("training_dataset_enriched",
-                          lambda: V.enrich(self.training_dataset(), self.team_star_features()), persist=True)
+                          lambda: V.enrich(self.training_dataset(), self.team_star_features()), persist=materialize)
 
     def training_dataset_named(self) -> DataFrame:
         return V.with_names(self.training_dataset(), self.tables.teams)

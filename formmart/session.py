@@ -23,6 +23,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     # the JVM never compiles methods above 8,000 bytes of code: wide parsing stages run as separate operators instead
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # tables bucketed by game serve joins on (game, team) as they lie
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",

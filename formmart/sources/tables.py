@@ -14,9 +14,25 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from formmart.session import scratch_path
+
 CURRENT = "CURRENT"
 
 
+def bucketed_table(df: DataFrame, name: str, key: str, buckets: int, sort: bool = True) -> DataFrame:
+    """The frame written as a catalog table with files below the shared folder, bucketed by ``key``.
+
+    Rows are written where they lie: a frame whose partitions each hold one
+    bucket (hashed by the key, or one key value a partition) gives one file a bucket.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "tables", name)
+    table = f"fm_{name}_{path.rsplit('/', 1)[1]}"
+    writer = df.write.bucketBy(buckets, key)
+    (writer.sortBy(key) if sort else writer).option("path", path).format("parquet").saveAsTable(table)
+    return spark.table(table)
+
+
 class VersionedTable:
     """A table at ``path`` on any file system that Spark writes to; ``keep`` old versions stay for running readers."""
 

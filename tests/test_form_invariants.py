@@ -124,7 +124,7 @@ def _two_join_reference(base, stars):
                 .drop("g1", "t1", "g2", "t2"))
 
 
-def test_enrich_pivot_and_fallback_match_two_joins(spark):
+def test_enrich_matches_two_joins(spark):
     base = spark.createDataFrame([("a", 1, 2), ("a", 2, 1), ("b", 3, 4), ("b", 4, 3), ("c", 5, 6)],
                                  "game_id string, team_id long, opponent_team_id long")
     cols = "game_id string, team_id long, star_pts_avg_l5_sum double, star_min_avg_l5_avg double, " \
@@ -132,9 +132,32 @@ def test_enrich_pivot_and_fallback_match_two_joins(spark):
     two_sided = spark.createDataFrame([("a", 1, 10.0, 1.0, None), ("a", 2, 20.0, 2.0, 0.5), ("b", 4, 40.0, 4.0, 4.5)],
                                       cols)  # game b has one side, game c none
     three_teams = two_sided.unionByName(spark.createDataFrame([("a", 9, 90.0, 9.0, 9.5)], cols))
-    for stars, pivot in ((two_sided, True), (three_teams, False)):
-        assert V._two_sides_per_game(stars) is pivot
+    for stars in (two_sided, three_teams):
         got = V.enrich(base, stars)
         want = _two_join_reference(base, stars).select(*got.columns)
         assert got.count() == want.count()
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_one_entity_one_day_is_split(spark):
+    """All events on one day of one entity (or of none) lie in several ranges, computed with one exchange of the rows."""
+    from pyspark.sql import functions as F
+    from formmart.operators import form as FO
+    rows = [(None if e == 0 else e, dt.date(2020, 1, 1) if e < 2 else None, f"g{(i * 37) % 90:03d}", float(i)) for e in (0, 1, 2) for i in range(90)]
+    df = spark.createDataFrame(rows, "team_id int, game_date date, game_id string, pts double")
+    feats = {"m": FO.prev_mean("pts", 5), "p": FO.prev_value("pts", 3), "d": FO.days_since_previous()}
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    for parts in ("23", "3"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            out = FO.with_rolling(df, "team_id", "game_date", ["game_id"], feats, n=5, chunk_rows=6)
+            want = FO.with_rolling(df, "team_id", "game_date", ["game_id"], feats, n=5)
+            assert out.columns == want.columns
+            assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+            stored = out._jdf.queryExecution().analyzed().toString()
+            plan = out._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", was)
+        # what is shuffled after the ranges are written is keyed by range alone, for at most n rows of each
+        assert "fm_form_ranges" in stored
+        assert "hashpartitioning(team_id" not in plan.replace("_fm_part", "")
