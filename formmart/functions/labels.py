@@ -26,9 +26,10 @@ def quantize(c, digits: int = 9) -> Column:
     """x rounded half-up to ``digits`` decimals in plain double arithmetic:
     floor(x·10^d + 0.5) / 10^d.  Cheap (no decimal conversion) and evaluated
     identically by any IEEE engine, so it is also the canonical form results
-    are compared in."""
+    are compared in.  Values too large for the rounding to change a double stay as they are."""
     scale = float(10 ** digits)
-    return F.floor(_c(c) * scale + 0.5).cast("double") / scale
+    x = _c(c).cast("double")
+    return F.when(F.abs(x) < 9e18 / scale, F.floor(x * scale + 0.5).cast("double") / scale).otherwise(x)
 
 
 def quantize_sql(expr: str, digits: int = 9) -> str:

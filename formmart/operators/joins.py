@@ -58,9 +58,9 @@ def small_side(df: DataFrame) -> DataFrame:
 
 
 def hot_keys(df: DataFrame, keys, max_rows: int = 1 << 20) -> DataFrame | None:
-    """(keys, salts) of the keys with more than ``max_rows`` rows, a task's fair load at any size.
+    """(keys, _fm_salts) of the keys with more than ``max_rows`` rows, a task's fair load at any size.
 
-    ``salts`` is how many tasks such a key is dealt to.  Returns None when there
+    ``_fm_salts`` is how many tasks such a key is dealt to.  Returns None when there
     are none (the common case, one small job).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -68,7 +68,7 @@ def hot_keys(df: DataFrame, keys, max_rows: int = 1 << 20) -> DataFrame | None:
     if (per_key.agg(F.max("_fm_rows")).first()[0] or 0) <= max_rows:
         return None
     return per_key.where(F.col("_fm_rows") > max_rows).select(
-        *keys, F.ceil(F.col("_fm_rows") / max_rows).cast("int").alias("salts"))
+        *keys, F.ceil(F.col("_fm_rows") / max_rows).cast("int").alias("_fm_salts"))
 
 
 SALTED = ("inner", "left", "left_semi", "left_anti")
@@ -89,8 +89,8 @@ def salted_join(big: DataFrame, small: DataFrame, keys, how: str = "inner", max_
     if hot is None:
         return big.join(small, keys, how)
     hot = small_side(hot)
-    salts = F.coalesce(F.col("salts"), F.lit(1))
+    salts = F.coalesce(F.col("_fm_salts"), F.lit(1))
     b = (big.join(hot, keys, "left")
-         .withColumn("_fm_salt", F.pmod(F.xxhash64(*big.columns), salts).cast("int")).drop("salts"))
-    s = small.join(hot, keys, "left").withColumn("_fm_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+         .withColumn("_fm_salt", F.pmod(F.xxhash64(*big.columns), salts).cast("int")).drop("_fm_salts"))
+    s = small.join(hot, keys, "left").withColumn("_fm_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_fm_salts")
     return b.join(s, [*keys, "_fm_salt"], how).drop("_fm_salt")

@@ -208,9 +208,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     return out
 
 
-def exact_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
+def exact_medians(df: DataFrame, cols: Sequence[str], buckets: int | None = None) -> dict[str, float | None]:
     """Median of each column over its non-null values (midpoint for an even count)."""
-    counts, vals = order_statistics(df, cols, probs=(0.5,))
+    counts, vals = order_statistics(df, cols, probs=(0.5,), buckets=buckets)
     out = {}
     for c in cols:
         n = counts.get(c, 0)

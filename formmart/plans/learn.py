@@ -146,6 +146,27 @@ def coefficients(model: PipelineModel, features: Sequence[str]) -> list[tuple[st
     return list(zip(features, [float(x) for x in lr.coefficients]))
 
 
+def fit_certificate(train: DataFrame, model: PipelineModel, features: Sequence[str]) -> DataFrame:
+    """(term, coef, gradient, scale): the logistic fit's stated objective, differentiated over the training rows.
+
+    The objective is the mean log loss plus half the squared coefficients (not
+    the intercept) divided by the number of rows; at its minimum the gradient is
+    zero.  One pass sums p - y times each imputed feature; ``scale`` is the root
+    mean square of the feature, by which a gradient compares with others.
+    """
+    lr = model.stages[-1]
+    x = F.col("_x")
+    rows = model.transform(with_label(train)).select(
+        vector_to_array("features").alias("_x"), (vector_to_array("probability")[1] - F.col("label")).alias("_r"))
+    sums = rows.agg(F.count(F.lit(1)).alias("n"), F.avg("_r").alias("g"),
+                    *[F.avg(x[i] * F.col("_r")).alias(f"g{i}") for i in range(len(features))],
+                    *[F.sqrt(F.avg(x[i] * x[i])).alias(f"s{i}") for i in range(len(features))]).first()
+    coefs = [float(c) for c in lr.coefficients]
+    terms = [("(intercept)", float(lr.intercept), sums["g"], 1.0)]
+    terms += [(f, c, sums[f"g{i}"] + c / sums["n"], sums[f"s{i}"]) for i, (f, c) in enumerate(zip(features, coefs))]
+    return train.sparkSession.createDataFrame(terms, "term string, coef double, gradient double, scale double")
+
+
 # -- artifacts -----------------------------------------------------------------
 
 def save_bundle(res: TrainResult, path: str) -> str:
@@ -170,6 +191,13 @@ def write_metrics(res: TrainResult, path: str) -> str:
     return path
 
 
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """(model, split, metric, value) of a metrics file."""
+    rows = [(*name.split("_", 2), None if value is None else float(value))
+            for name, value in json.loads(spark.read.text(path).first()[0]).items()]
+    return spark.createDataFrame(rows, "model string, split string, metric string, value double")
+
+
 def write_predictions(pred: DataFrame, path: str) -> str:
     pred.write.mode("overwrite").option("header", True).csv(path)
     return path

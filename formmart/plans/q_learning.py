@@ -1,39 +1,31 @@
-"""Registered queries for model fitting, artifacts, scoring and the catalog (row checks only)."""
+"""Registered queries for model fitting, artifacts, scoring and the catalog.
 
-from __future__ import annotations
+Fitted numbers have no oracle; what SQL can say about the artifacts (rows, keys,
+labels, ranges, agreement, a vanishing gradient) has one.
+"""
 
-import threading
+from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from formmart.operators.split import time_split
 from formmart.plans import learn as L
 from formmart.plans.fixture_mart import mart_for
+from formmart.plans.oracle_sql import with_views
+from formmart.plans.q_profile import DS, FEATURES, SPLIT_CTE
 from formmart.plans.registry import register
+from formmart.plans.train import train_mart
 from formmart.session import scratch_path
 
-_FITS: dict = {}
-PREDICTIONS = ("game_id string, game_date date, team_id bigint, opponent_team_id bigint, is_home boolean, "
-               "y_win int, pred_win_proba double")
-_LOCK = threading.Lock()
+
+def run_of(spark, sf_dir):
+    """The training run of the fixture's mart, once per mart."""
+    m = mart_for(spark, sf_dir)
+    return m.memo("train_run", lambda: train_mart(m, scratch_path(spark, "artifacts")))
 
 
 def trained(spark, sf_dir):
-    """Fit once per mart: the train CLI's flow (split → fit ×2 → evaluate → select → artifacts)."""
-    m = mart_for(spark, sf_dir)
-    with _LOCK:
-        if id(m) not in _FITS:
-            split = m.memo("time_split", lambda: time_split(m.dataset()))
-            res = L.fit_models(split, m.dataset_view)
-            base = scratch_path(spark, "artifacts")
-            L.save_bundle(res, f"{base}/bundle")
-            L.write_metrics(res, f"{base}/metrics")
-            test = L.with_label(split.where(F.col("split") == "test").withColumn(
-                "is_home", F.col("is_home").cast("double")))
-            pred = L.proba(res.models[res.best], test).withColumn("is_home", F.col("is_home").cast("boolean"))
-            L.write_predictions(pred, f"{base}/test_predictions")
-            _FITS[id(m)] = (res, base, split)
-        return _FITS[id(m)]
+    run = run_of(spark, sf_dir)
+    return run.result, run.out_dir, run.split
 
 
 def _scores(spark, sf_dir, kind):
@@ -94,22 +86,83 @@ def q_ml_model_roundtrip(spark, sf_dir):
         F.lit(len(meta["feature_cols"])).alias("n_features"), "split", "rows", "rows_scored", "rows_differing", "largest_difference")
 
 
+@register("ml_roundtrip_counts", with_views(
+    SPLIT_CTE + ' SELECT split, count(*) AS "rows", count(*) AS rows_scored, CAST(0 AS BIGINT) AS rows_differing FROM sp GROUP BY split'))
+def q_ml_roundtrip_counts(spark, sf_dir):
+    """Every row of every split is scored by the reloaded model as by the fitted one."""
+    return q_ml_model_roundtrip(spark, sf_dir).select("split", "rows", "rows_scored", "rows_differing")
+
+
+@register("ml_features", with_views(
+    SPLIT_CTE + " SELECT feature, ordinal, non_null_rows FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {i} AS ordinal, count({c}) AS non_null_rows FROM sp WHERE split = 'train'"
+        for i, c in enumerate(FEATURES)) + ")"))
+def q_ml_features(spark, sf_dir):
+    """The model's inputs in order, with their training rows."""
+    res, _, split = trained(spark, sf_dir)
+    order = spark.createDataFrame(list(enumerate(res.features)), "ordinal int, feature string")
+    counts = split.where(F.col("split") == "train").agg(*[F.count(c).alias(c) for c in res.features])
+    return order.join(counts.unpivot([], res.features, "feature", "non_null_rows"), "feature")
+
+
+#: Root mean squares of one feature that its gradient may be off by.
+CERTIFIED = 1e-3
+
+
+@register("ml_fit_certificate", with_views(
+    "SELECT term, true AS stationary, n_train FROM (VALUES " + ", ".join(f"('{c}')" for c in ["(intercept)", *FEATURES])
+    + f") t(term), (SELECT count(*) - CAST(round_even(count(*) * 0.2, 0) + round_even(count(*) * 0.1, 0) AS BIGINT) AS n_train FROM {DS})"))
+def q_ml_fit_certificate(spark, sf_dir):
+    """The logistic fit's gradient vanishes in every term, up to a tolerance on the feature's scale."""
+    res, _, split = trained(spark, sf_dir)
+    train = split.where(F.col("split") == "train").withColumn("is_home", F.col("is_home").cast("double"))
+    terms = L.fit_certificate(train, res.models["lr"], res.features)
+    return terms.select("term", (F.abs("gradient") <= CERTIFIED * F.col("scale")).alias("stationary"),
+                        F.lit(res.n_train).cast("bigint").alias("n_train"))
+
+
+@register("metrics_file", with_views(
+    "SELECT model, split, metric, true AS in_range, n FROM (VALUES ('lr'), ('gbt')) a(model), (VALUES ('val'), ('test')) b(split), "
+    "(VALUES ('roc_auc'), ('logloss'), ('accuracy')) c(metric), (SELECT count(*) AS n FROM " + DS + ")"))
+def q_metrics_file(spark, sf_dir):
+    """The metrics file read back: each metric of each model and split in its range, over n rows in all."""
+    run = run_of(spark, sf_dir)
+    top = F.when(F.col("metric") == "logloss", F.lit(40.0)).otherwise(F.lit(1.0))
+    return run.metrics().select("model", "split", "metric", F.col("value").between(F.lit(0.0), top).alias("in_range"),
+                                F.lit(run.split.count()).cast("bigint").alias("n"))
+
+
+_SCORED = "game_id, game_date, team_id, opponent_team_id, is_home, CAST(y_win AS INTEGER) AS y_win, true AS is_probability"
+
+
+def _keys(scored):
+    p = F.col("pred_win_proba")
+    return scored.select("game_id", "game_date", "team_id", "opponent_team_id", "is_home", F.col("y_win").cast("int").alias("y_win"),
+                         (p.isNotNull() & p.between(0.0, 1.0)).alias("is_probability"))
+
+
+@register("sink_predictions_keys", with_views(SPLIT_CTE + f" SELECT {_SCORED} FROM sp WHERE split = 'test'"))
+def q_sink_predictions_keys(spark, sf_dir):
+    """Keys and labels of the written test predictions."""
+    return _keys(run_of(spark, sf_dir).test_predictions())
+
+
+@register("score_full_keys", with_views(f"SELECT {_SCORED} FROM {DS}"))
+def q_score_full_keys(spark, sf_dir):
+    """Keys and labels of the whole history, scored by the saved bundle."""
+    return _keys(run_of(spark, sf_dir).score())
+
+
 @register("sink_predictions")
 def q_sink_predictions(spark, sf_dir):
     """Test-set predictions as written (CSV with header), read back."""
-    _, base, _ = trained(spark, sf_dir)
-    return spark.read.option("header", True).schema(PREDICTIONS).csv(f"{base}/test_predictions")
+    return run_of(spark, sf_dir).test_predictions()
 
 
 @register("score_full")
 def q_score_full(spark, sf_dir):
     """Batch scoring of the full history with the saved bundle; written as CSV and returned."""
-    m = mart_for(spark, sf_dir)
-    _, base, _ = trained(spark, sf_dir)
-    views = {"v_training_dataset": m.training_dataset()}
-    if m.tables.has_players:
-        views["v_training_dataset_enriched"] = m.training_dataset_enriched()
-    out = L.score(spark, f"{base}/bundle", views)
+    out = run_of(spark, sf_dir).score()
     path = L.write_predictions(out, scratch_path(spark, "artifacts", "predictions_full"))
     return spark.read.option("header", True).schema(out.schema).csv(path)
 

@@ -158,36 +158,43 @@ def q_split_counts(spark, sf_dir):
     return _split(spark, sf_dir).groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
 
 
-_MEDIANS: dict = {}
-
-
 def _train_medians(spark, sf_dir):
     """Train rows and their exact feature medians (computed once per mart)."""
     m = mart_for(spark, sf_dir)
     train = _split(spark, sf_dir).where(F.col("split") == "train")
     train = train.withColumn("is_home", F.col("is_home").cast("double"))
-    if id(m) not in _MEDIANS:
-        _MEDIANS[id(m)] = exact_medians(train, FEATURES)
-    return train, _MEDIANS[id(m)]
+    return train, m.memo("train_medians", lambda: exact_medians(train, FEATURES))
 
 
-@register("ml_impute_medians", with_views(
+_MEDIANS_SQL = with_views(
     SPLIT_CTE + " SELECT feature, " + r9("median") + " AS median FROM (" + " UNION ALL ".join(
         f"SELECT '{c}' AS feature, median(CAST({c} AS DOUBLE)) AS median FROM sp WHERE split = 'train'"
-        for c in FEATURES) + ")"))
+        for c in FEATURES) + ")")
+
+
+@register("ml_impute_medians", _MEDIANS_SQL)
 def q_ml_impute_medians(spark, sf_dir):
     _, med = _train_medians(spark, sf_dir)
     return spark.createDataFrame([(c, med[c]) for c in FEATURES], "feature string, median double").withColumn(
         "median", R9("median"))
 
 
+@register("ml_impute_medians_large", _MEDIANS_SQL)
+def q_ml_impute_medians_large(spark, sf_dir):
+    """The same medians with brackets narrowed to a 4,096th of a column before they are collected."""
+    train, _ = _train_medians(spark, sf_dir)
+    med = exact_medians(train, FEATURES, buckets=1 << 12)
+    return spark.createDataFrame([(c, med[c]) for c in FEATURES], "feature string, median double").withColumn(
+        "median", R9("median"))
+
+
 @register("ml_imputed", with_views(
     SPLIT_CTE + ", med AS (SELECT " + ", ".join(f"median(CAST({c} AS DOUBLE)) AS m_{c}" for c in FEATURES)
     + " FROM sp WHERE split = 'train') SELECT game_id, team_id, " + ", ".join(
         f"{r9(f'coalesce(CAST({c} AS DOUBLE), m_{c})')} AS {c}" for c in FEATURES)
     + " FROM sp, med WHERE split = 'train'"))
 def q_ml_imputed(spark, sf_dir):
-    from formmart.plans.learn import impute  # noqa: F401
+    from formmart.plans.learn import impute
     train, med = _train_medians(spark, sf_dir)
     out = impute(train, med)
     return out.select("game_id", "team_id", *[R9(c).alias(c) for c in FEATURES])

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from formmart.functions.labels import quantize
 from formmart.plans import oracle_sql as O
 from formmart.plans.fixture_mart import mart_for
+from formmart.plans.mart import Mart
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -104,6 +105,26 @@ def q_v_player_form(spark, sf_dir):
     return rounded(mart_for(spark, sf_dir).player_form())
 
 
+#: Events a window task may see in the ``*_large`` queries: every entity is hot.
+FEW_EVENTS = 16
+
+
+def _large(spark, sf_dir):
+    """A mart of the same tables that divides every entity."""
+    m = mart_for(spark, sf_dir)
+    return m.memo("large", lambda: Mart(spark, m.tables, chunk_rows=FEW_EVENTS))
+
+
+@register("v_team_form_large", _view_sql("v_team_form", _FORM_COLS))
+def q_v_team_form_large(spark, sf_dir):
+    return rounded(_large(spark, sf_dir).team_form())
+
+
+@register("v_player_form_large", _view_sql("v_player_form", _PG_COLS + ["min_avg_l5", "pts_avg_l5", "pm_avg_l5"]))
+def q_v_player_form_large(spark, sf_dir):
+    return rounded(_large(spark, sf_dir).player_form())
+
+
 @register("star_ranked", _view_sql("star_ranked", ["game_id", "team_id", "opponent_team_id", "game_date",
                                                    "player_id", "pts_avg_l5", "min_avg_l5", "pm_avg_l5", "rn"]))
 def q_star_ranked(spark, sf_dir):

@@ -43,3 +43,11 @@ def test_salted_join_refuses_joins_that_keep_the_small_side(spark):
     for how in ("right", "full"):
         with pytest.raises(ValueError):
             salted_join(df, df, "id", how)
+
+
+def test_columns_named_like_the_salts(spark):
+    from formmart.operators.joins import salted_join
+    big = spark.createDataFrame([(1, i, "b") for i in range(50)] + [(2, 0, "b")], "k int, salts int, salt string")
+    small = spark.createDataFrame([(1, "x"), (2, "y")], "k int, s string")
+    out = salted_join(big, small, "k", max_rows=7)
+    assert sorted(map(tuple, out.collect())) == sorted([(1, i, "b", "x") for i in range(50)] + [(2, 0, "b", "y")])

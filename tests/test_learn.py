@@ -53,3 +53,35 @@ def test_imputed_rows_of_every_split(spark, sf_dir):
     import __spark_entry__ as E
     out = E.queries()["ml_imputed_splits"](spark, sf_dir).groupBy("split").count().collect()
     assert {r.split: r["count"] for r in out} == {r.split: r.rows for r in E.queries()["split_counts"](spark, sf_dir).collect()}
+
+
+def test_train_from_raw_exports(spark, sf_dir):
+    """Four CSV exports to artifacts that are read back; the fit's gradient vanishes."""
+    from formmart.plans.train import train
+    from formmart.sources import csv as CSV
+    from formmart.sources import raw_render as R
+    t = mart_for(spark, sf_dir).tables
+    base = scratch_path(spark, "test-train")
+    paths = {"teams": CSV.write_raw_csv(R.raw_teams(t.teams), f"{base}/teams"),
+             "games": CSV.write_raw_csv(R.raw_games_matchup(t.games, t.teams), f"{base}/games")}
+    run = train(spark, paths, f"{base}/out", seed=1, kinds=("lr",))
+    assert run.mart.tables.rejected["games"] and run.result.best == "lr"
+    assert {(r.model, r.split, r.metric) for r in run.metrics().collect()} == {
+        ("lr", s, m) for s in ("val", "test") for m in ("roc_auc", "logloss", "accuracy")}
+    counts = {r.split: r["count"] for r in run.split.groupBy("split").count().collect()}
+    assert run.test_predictions().count() == counts["test"] and run.score().count() == sum(counts.values())
+    train_rows = run.split.where(F.col("split") == "train").withColumn("is_home", F.col("is_home").cast("double"))
+    terms = L.fit_certificate(train_rows, run.result.models["lr"], run.result.features).collect()
+    assert len(terms) == len(run.result.features) + 1
+    assert all(abs(r.gradient) <= 1e-3 * r.scale for r in terms)
+
+
+def test_a_moved_coefficient_has_no_certificate(spark, fitted):
+    """The certificate tells a fit from one that stopped early."""
+    split, res = fitted
+    train_rows = split.where(F.col("split") == "train").withColumn("is_home", F.col("is_home").cast("double"))
+    early = L.build_pipeline("lr", res.features, res.medians, res.n_train)
+    early.getStages()[-1].setMaxIter(1)
+    model = early.fit(L.with_label(train_rows))
+    terms = L.fit_certificate(train_rows, model, res.features).collect()
+    assert any(abs(r.gradient) > 1e-3 * r.scale for r in terms)

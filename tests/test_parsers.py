@@ -77,3 +77,10 @@ def test_white_space_of_any_kind_and_ids(spark):
     rows = df.select(parse_matchup("m").alias("m"), clean_wl("wl").alias("wl"), clean_id("id").alias("id")).collect()
     assert [(r.m.team, r.m.opponent, r.m.is_home, r.wl, r.id) for r in rows] == [
         ("MEM", "OKC", True, "W", "001B"), ("ORL", "BOS", False, "L", "7")]
+
+
+def test_order_of_large_differences(spark):
+    """Differences beyond the quantum keep their order."""
+    from formmart.functions.labels import quantize
+    df = spark.createDataFrame([(1e10,), (5e10,), (-9.3e9,), (0.1234567894,), (None,)], "x double")
+    assert [r[0] for r in df.select(quantize("x")).collect()] == [1e10, 5e10, -9.3e9, 0.123456789, None]
