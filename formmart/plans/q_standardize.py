@@ -8,7 +8,7 @@ from formmart import schemas as S
 from formmart.functions import parse as P
 from formmart.operators import standardize as STD
 from formmart.plans.fixture_mart import mart_for
-from formmart.plans.mart import write_table
+from formmart.plans.mart import materialize, write_table
 from formmart.plans.oracle_sql import with_views
 from formmart.plans.registry import _ENR_COLS, _view_sql, register
 from formmart.session import scratch_path
@@ -25,6 +25,18 @@ def _tables(spark, sf_dir):
     return mart_for(spark, sf_dir).tables
 
 
+def raw_games(spark, sf_dir):
+    """The games export with a matchup text, rendered and written once per mart."""
+    m = mart_for(spark, sf_dir)
+    return m.memo("raw_games", lambda: materialize(R.raw_games_matchup(m.tables.games, m.tables.teams), "raw_games"))
+
+
+def raw_player_games(spark, sf_dir):
+    m = mart_for(spark, sf_dir)
+    return m.memo("raw_player_games", lambda: materialize(
+        R.raw_player_games(m.tables.player_games, m.tables.teams), "raw_player_games"))
+
+
 @register("std_norm_cols", with_views(
     "SELECT lpad(CAST(team_id AS VARCHAR), 10, '0') AS id, full_name, abbreviation, full_name AS nickname, "
     "city, state, '' AS year_founded FROM teams"))
@@ -46,8 +58,7 @@ def q_std_players(spark, sf_dir):
 
 @register("std_games_matchup", CLEAN_GAMES)
 def q_std_games_matchup(spark, sf_dir):
-    t = _tables(spark, sf_dir)
-    return STD.standardize_games(R.raw_games_matchup(t.games, t.teams), t.teams)
+    return STD.standardize_games(raw_games(spark, sf_dir), _tables(spark, sf_dir).teams)
 
 
 @register("std_games_oppid", CLEAN_GAMES)
@@ -79,8 +90,7 @@ def q_std_games_no_id(spark, sf_dir):
 
 @register("std_player_games", CLEAN_PG)
 def q_std_player_games(spark, sf_dir):
-    t = _tables(spark, sf_dir)
-    return STD.standardize_player_games(R.raw_player_games(t.player_games, t.teams), t.teams)
+    return STD.standardize_player_games(raw_player_games(spark, sf_dir), _tables(spark, sf_dir).teams)
 
 
 @register("fn_season_fallback", CLEAN_GAMES)

@@ -7,7 +7,7 @@ def test_salted_join_equals_plain_join(spark):
     big = spark.range(20000).select((F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500)).alias("k"),
                                     F.col("id").alias("v"))
     small = spark.range(500).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    assert [(r.k, r.salts) for r in hot_keys(big, "k", max_rows=1000).collect()] == [(7, 7)]
+    assert [(r.k, r["_fm_salts"]) for r in hot_keys(big, "k", max_rows=1000).collect()] == [(7, 7)]
     for how in ("inner", "left", "left_semi", "left_anti"):
         a = salted_join(big, small, "k", how, max_rows=1000)
         b = big.join(small, "k", how)
