@@ -16,7 +16,8 @@ Letters are Python's ``str.isalpha`` characters, lower-cased; all else is a gap.
 
 Edge cases: a text that is null or has no letter is ``und`` with score 0, as is
 every text when nothing was learned; rows without a language don't train; texts
-of any length are used whole; repeated rows train as often as they occur.
+of any length are used whole; repeated rows train as often as they occur; an empty table gives no
+prototype and no rows.
 """
 
 from __future__ import annotations

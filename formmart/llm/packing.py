@@ -16,7 +16,8 @@ read, so that a lost executor can't change a window after it was used.
 
 Edge cases: a null text counts as empty and still has its end token; an empty
 table gives no rows; repeated rows are documents of their own; other columns of
-the input are ignored.
+the input are ignored; of equally full windows the one opened last is taken; a
+text of any length is encoded whole, in one row, and fills windows of its own.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ blank mark, around line feeds); each distinct segment is encoded once and kept
 in a bounded store.
 
 Edge cases: a null text is empty; the empty text has the end id alone; texts of
-any length are encoded whole (long segments aren't stored).
+any length are encoded whole (long segments aren't stored); repeated rows are
+encoded one by one; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations

@@ -29,7 +29,7 @@ gets back the word's count.  No word list is ever held for the whole corpus.
 Edge cases: a null text is empty and consists of its end; without training texts
 all symbols are equally likely; a null doc_id counts as empty text for the fold;
 texts of any length are scored whole; repeated rows are scored, and train, row
-by row.
+by row; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations

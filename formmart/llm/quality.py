@@ -18,7 +18,8 @@ of each language are kept (ties to the smaller word).  At most
 
 Edge cases: a null text has no words and fails the base rules; a null language
 takes no part in the references; without any reference the base rules alone
-decide; a null doc_id or repeated rows are judged row by row.
+decide; a null doc_id or repeated rows are judged row by row; texts of any length are
+judged whole, in one row; an empty table gives no rows.
 """
 
 from __future__ import annotations

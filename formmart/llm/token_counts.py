@@ -15,7 +15,8 @@ UTF-8 bytes, each at a score below every piece.  Of equal scores the fewer
 tokens win.
 
 Edge cases: a null text or one without words has 0 tokens; repeated rows are
-counted one by one; words of any length are counted whole.
+counted one by one; words of any length are counted whole; an empty table
+gives no rows; other columns are not read.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ once for each block of queries, queries once for each shard.
 Edge cases: vectors that are null, or hold a null or non-finite value, and rows
 without an id take no part; shorter vectors count as padded with zeros; rows
 with the query's id are the query's own and no candidates; other repeated rows
-are candidates of their own; a query with fewer candidates than k gets all.
+are candidates of their own; a query with fewer candidates than k gets all; an
+empty table has no result; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ block wins.  Without a fitting rule the verdict is ``default``.
 Edge cases: a null URL, or one without ``://``, has an empty host and an empty
 path and gets the default.  An empty table gives an empty result.  Repeated
 rows are judged one by one.  Columns of the input are kept; outputs whose names
-clash replace the input's columns.
+clash replace the input's columns.  URLs of any length are judged whole.
 """
 
 from __future__ import annotations

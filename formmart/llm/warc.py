@@ -19,6 +19,8 @@ Edge cases: a null payload is empty; a null id takes part as a revisit of its
 group's largest id (a group of only null ids stays responses); rows that repeat
 the largest id of their group are all responses.  Control characters of a URL
 are percent-encoded in the record's header; the index keeps the URL as it is.
+A payload of any length is one record, held in memory once; an empty table gives
+an empty index; other columns are not read.
 """
 
 from __future__ import annotations
