@@ -35,9 +35,13 @@ def padded(c: str, width: int = 10) -> Column:
 
 
 def date_text(c: str = "game_date") -> Column:
-    k = style(5)
+    k = style(9)
     d = F.col(c)
-    return (F.when(k == 0, F.date_format(d, "yyyy-MM-dd"))
+    return (F.when(k == 5, F.date_format(d, "MMMM d, yyyy"))
+             .when(k == 6, F.date_format(d, "d MMM yyyy"))
+             .when(k == 7, F.concat(F.lit("\u00a0"), F.date_format(d, "yyyy/MM/dd"), F.lit("\t")))
+             .when(k == 8, F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss"))
+             .when(k == 0, F.date_format(d, "yyyy-MM-dd"))
              .when(k == 1, F.date_format(d, "MMM dd, yyyy"))
              .when(k == 2, F.upper(F.date_format(d, "MMM dd, yyyy")))
              .when(k == 3, F.date_format(d, "MM/dd/yyyy"))
@@ -47,7 +51,7 @@ def date_text(c: str = "game_date") -> Column:
 def wl_text(c: str = "wl") -> Column:
     k = style(3)
     return (F.when(k == 0, F.lower(F.col(c)))
-             .when(k == 1, F.concat(F.lit(" "), F.lower(F.col(c)), F.lit(" ")))
+             .when(k == 1, F.concat(F.lit(" "), F.lower(F.col(c)), F.lit("\u2003")))
              .otherwise(F.col(c)))
 
 
