@@ -10,8 +10,8 @@ one row a shard.
 
 *Search.*  Around the query's own projections a window of half-width u opens in each
 array, and widens from level to level by ``WIDEN``: the same arrays serve every
-width.  Each vector counts the windows that it lies in; only what a wider window
-adds is read.  A vector in at least ``share`` * m windows is verified with its
+width.  Each vector counts the windows that it lies in: narrow windows are read
+entry by entry, wide ones by comparing all places with the windows' ends.  A vector in at least ``share`` * m windows is verified with its
 inner product.  A shard is done when k are verified and a vector at the k-th best's
 distance d lies in enough windows but for ``z`` standard deviations: its projections
 differ from the query's by d times a standard normal number, so the chance of one
@@ -31,6 +31,7 @@ candidates than k gets all; an empty table has no result; other columns are igno
 from __future__ import annotations
 
 import math
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,8 @@ FIRST = 0.25
 WIDEN = 1.25
 #: Queries whose windows are looked up together.
 TOGETHER = 256
+#: Windows are read entry by entry while they hold less than this part of all, else all places are compared with their ends.
+SPARSE = 16
 
 _INDEX = "shard int, rows int, ids binary, vectors binary, keys binary, places binary, norm double"
 
@@ -69,6 +72,14 @@ class Shard:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, keys: np.ndarray, places: np.ndarray, norm: float):
         self.ids, self.vectors, self.keys, self.places, self.norm = ids, vectors, keys, places, norm
 
+    @cached_property
+    def ranks(self) -> np.ndarray:
+        """Each vector's place in each array."""
+        m, n = self.places.shape
+        out = np.empty((m, n), np.uint16 if n < 1 << 16 else np.uint32)
+        np.put_along_axis(out, self.places, np.arange(n, dtype=out.dtype)[None, :], axis=1)
+        return out
+
     @classmethod
     def build(cls, ids: np.ndarray, vectors: np.ndarray, along: np.ndarray) -> Shard:
         order = np.argsort(ids, kind="stable")
@@ -104,42 +115,62 @@ class Shard:
             hi[:, :, i] = np.searchsorted(keys, (at + widths).astype(np.float32), side="right")
         return widths, lo, hi
 
-    def nearest(self, own: int, query: np.ndarray, widths, lo, hi, k: int, share: float, z: float) -> tuple[np.ndarray, np.ndarray, int]:
-        """Ids and scores of the k best found, and how many vectors were verified."""
+    def counted(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """How many of the windows [left, right) each vector lies in."""
+        m, n = self.keys.shape
+        if int((right - left).sum()) * SPARSE < m * n:  # narrow windows: read their entries alone
+            return np.bincount(np.concatenate([p[a:b] for p, a, b in zip(self.places, left, right)]), minlength=n)
+        kind = self.ranks.dtype  # below the window's start wraps round to beyond its end
+        inside = self.ranks - left[:, None].astype(kind) < (right - left)[:, None].astype(kind)
+        return np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8 if m < 256 else np.int64)
+
+    def nearest(self, own: int, query: np.ndarray, widths, lo, hi, k: int, share: float, z: float,
+                level: int = 0) -> tuple[np.ndarray, np.ndarray, int, int]:
+        """Ids and scores of the k best found, how many vectors were verified, and the level that sufficed.
+
+        Windows only widen and a level's counts don't depend on the one before, so the first
+        level that suffices is looked for from ``level`` downwards or upwards.
+        """
         m, n = self.keys.shape
         need = share * m
-        counts = np.zeros(n, np.int64)
-        open_ = self.ids != own
-        scores = np.full(n, -np.inf)
+        other = self.ids != own
+        known = np.full(n, np.nan)
         length = float(_norms(query[None, :])[0])
         unit = query / length
-        before = None
-        for width, left, right in zip(widths, lo, hi):
-            if before is None:
-                new = [p[a:b] for p, a, b in zip(self.places, left, right)]
-            else:
-                new = [p[a:b] for p, a, b in zip(self.places, left, before[0])]
-                new += [p[a:b] for p, a, b in zip(self.places, before[1], right)]
-            before = left, right
-            counts += np.bincount(np.concatenate(new), minlength=n)
-            fresh = np.flatnonzero(open_ & (counts >= need))
-            if len(fresh):
-                open_[fresh] = False
-                scores[fresh] = self.vectors[fresh] @ unit / self.norm  # cosines up to the shard's norms
-            done = np.flatnonzero(scores > -np.inf)
-            if len(done) >= k:
-                worst = float(np.partition(scores[done], -k)[-k])
-                distance = math.sqrt(max(0.0, 2 - 2 * worst))
-                p = math.erf(width / (distance * math.sqrt(2))) if distance else 1.0
-                if m * p - z * math.sqrt(m * p * (1 - p)) >= need:
-                    break
+
+        def verified(at: int) -> tuple[np.ndarray, bool]:
+            """The vectors that the windows of a level verify, and whether these suffice."""
+            done = np.flatnonzero((self.counted(lo[at], hi[at]) >= need) & other)
+            fresh = done[np.isnan(known[done])]
+            known[fresh] = self.vectors[fresh] @ unit / self.norm  # cosines up to the shard's norms
+            if len(done) < k:
+                return done, False
+            worst = float(np.partition(known[done], -k)[-k])
+            distance = math.sqrt(max(0.0, 2 - 2 * worst))
+            p = math.erf(widths[at] / (distance * math.sqrt(2))) if distance else 1.0
+            return done, m * p - z * math.sqrt(m * p * (1 - p)) >= need
+
+        level = min(level, len(widths) - 1)
+        done, enough = verified(level)
+        while not enough and level < len(widths) - 1:
+            level += 1
+            done, enough = verified(level)
+            if enough:
+                break
+        else:
+            while enough and level:
+                less, enough = verified(level - 1)
+                if enough:
+                    level, done = level - 1, less
+        scores = np.full(n, -np.inf)
+        scores[done] = known[done]
         done = np.flatnonzero(scores > -np.inf)
         if len(done) > k:
             worst = np.partition(scores[done], -k)[-k]
             done = done[scores[done] >= worst - 1e-9]
         exact = inner_products(self.vectors[done], query)
         best = np.lexsort((self.ids[done], -exact))[:k]
-        return self.ids[done][best], exact[best], int((scores > -np.inf).sum())
+        return self.ids[done][best], exact[best], int((scores > -np.inf).sum()), level
 
 
 def _norms(vectors: np.ndarray) -> np.ndarray:
@@ -214,11 +245,13 @@ def search(df: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_id",
             shard = Shard.read(left.to_pylist()[0], dim, m)
             asked, own, keys = _matrix(right["v"], dim), right["id"].to_numpy(), right["key"].to_numpy()
             centres = (along[:, :-1] @ (asked / _norms(asked)[:, None]).T).T
+            level = 0
             for at in range(0, len(asked), TOGETHER):
                 some = slice(at, at + TOGETHER)
                 widths, lo, hi = shard.levels(centres[some])
                 for i, key, query, a, b in zip(own[some], keys[some], asked[some], lo, hi):
-                    ids, scores, verified = shard.nearest(i, query, widths, a, b, k, share, z)
+                    # where the query before it ended, this one begins
+                    ids, scores, verified, level = shard.nearest(i, query, widths, a, b, k, share, z, level)
                     for name, value in zip(out, (np.full(len(ids), i), np.full(len(ids), key), ids, scores,
                                                  np.full(len(ids), verified))):
                         out[name].append(value)

@@ -97,3 +97,41 @@ def test_every_vector_is_in_every_array():
     data = vectors(4, 500)
     shard = S.Shard.build(np.arange(500), data, S.directions(16, 24, 1))
     assert (np.sort(shard.places, axis=1) == np.arange(500)).all() and (np.diff(shard.keys, axis=1) >= 0).all()
+
+
+def level_by_level(shard, own, query, widths, lo, hi, k, share, z):
+    """Windows opened one level after the other from the narrowest, over all entries."""
+    unit = query / np.sqrt((query ** 2).sum())
+    m = len(shard.keys)
+    for width, left, right in zip(widths, lo, hi):
+        counts = np.zeros(len(shard.ids), int)
+        for places, a, b in zip(shard.places, left, right):
+            counts[places[a:b]] += 1
+        done = np.flatnonzero((counts >= share * m) & (shard.ids != own))
+        if len(done) >= k:
+            d = math.sqrt(max(0.0, 2 - 2 * float(np.sort(shard.vectors[done] @ unit / shard.norm)[-k])))
+            p = math.erf(width / (d * math.sqrt(2))) if d else 1.0
+            if m * p - z * math.sqrt(m * p * (1 - p)) >= share * m:
+                break
+    exact = S.inner_products(shard.vectors[done], query)
+    best = np.lexsort((shard.ids[done], -exact))[:k]
+    return shard.ids[done][best], exact[best], len(done)
+
+
+@pytest.mark.parametrize("sparse", [0, 16, 1 << 30])
+def test_few_levels_are_counted_and_the_first_that_suffices_is_taken(monkeypatch, sparse):
+    """A query's CPU is a few counts of its shard, not one for each level from the narrowest on."""
+    monkeypatch.setattr(S, "SPARSE", sparse)
+    data, along = vectors(6, 1500), S.directions(64, 24, 1)
+    shard = S.Shard.build(np.arange(1500), data, along)
+    asked = data[:60]
+    centres = (along[:, :-1] @ (asked / np.sqrt((asked ** 2).sum(axis=1))[:, None]).T).T
+    widths, lo, hi = shard.levels(centres)
+    calls, count = [], S.Shard.counted
+    monkeypatch.setattr(S.Shard, "counted", lambda *a: calls.append(1) or count(*a))
+    level = 0
+    for i in range(60):
+        ids, scores, verified, level = shard.nearest(i, asked[i], widths, lo[i], hi[i], 20, 0.7, 1.25, level)
+        want = level_by_level(shard, i, asked[i], widths, lo[i], hi[i], 20, 0.7, 1.25)
+        assert ids.tolist() == want[0].tolist() and scores.tolist() == want[1].tolist() and verified == want[2]
+    assert len(calls) <= 4 * 60
