@@ -19,7 +19,10 @@ totals are sums over its at most 257 symbols.  From four bytes on, the events
 are grouped by their last three bytes of context instead.  The values go back to the chunks
 by a join, and each chunk is scored as a whole.  The trie holds all contexts of
 the training texts at every size of the corpus, and is in no task, on no driver
-and in no broadcast as a whole.  (``min_share`` leaves out contexts with less
+and in no broadcast as a whole.  Tables and shuffle files that no later step
+reads are deleted, and the chunks are scored in ``PASSES`` parts, so that the
+disks hold the texts, words and logs of all chunks once and one part's a second
+time.  (``min_share`` leaves out contexts with less
 than that share of all symbols, for callers who ask for it.)
 
 The base score is a unigram model of words with add-one smoothing, over counts
@@ -46,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from formmart.llm.common import low_words, written
+from formmart.llm.common import dropped, low_words, stored, written
 
 END = 256             # the symbol after a text's last byte
 SYMBOLS = 257
@@ -55,6 +58,7 @@ RUN_BYTES = 1 << 20   # bytes of text turned into events at a time
 HELD_EVENTS = 1 << 22  # distinct events that a counting task holds
 JOINED = 3            # orders up to this one are scored by joins of rows
 BUCKET_EVENTS = 1 << 18  # distinct events of the longer orders in one task
+PASSES = 4            # parts of the chunks that are scored one after the other
 
 
 def events(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -264,7 +268,7 @@ def _shorter_levels(counted: DataFrame, order: int, least: float, name: str = "p
     levels = [counted]
     for j in range(order - 1, -1, -1):
         shorter = levels[0].groupBy(F.col("key").bitwiseAND((1 << (8 * j + 9)) - 1).alias("key")).agg(F.sum("n").alias("n"))
-        levels.insert(0, written(shorter, f"{name}_{j}"))
+        levels.insert(0, stored(shorter, f"{name}_{j}"))
     of_context = Window.partitionBy(F.shiftright("key", 9))
     rows = None
     for j, level in enumerate(levels):
@@ -308,7 +312,7 @@ def event_logs(counted: DataFrame, order: int, min_share: float = 0.0) -> DataFr
     if order <= JOINED:
         return _shorter_levels(counted, order, least).select("key", "log")
     mask = (1 << (8 * JOINED + 9)) - 1
-    joined = written(counted.groupBy(F.col("key").bitwiseAND(mask).alias("key")).agg(F.sum("n").alias("n")), f"ppm_level_{JOINED}")
+    joined = stored(counted.groupBy(F.col("key").bitwiseAND(mask).alias("key")).agg(F.sum("n").alias("n")), f"ppm_level_{JOINED}")
     bucket = F.pmod(F.xxhash64(F.shiftright(F.col("key").bitwiseAND(mask), 9)), F.lit(size.rows // BUCKET_EVENTS + 1)).alias("bucket")
 
     def logs(key: tuple, rows: pa.Table, up: pa.Table) -> pa.Table:
@@ -339,7 +343,7 @@ def _chunked(docs: DataFrame, chunk_chars: int) -> DataFrame:
                                              names=["chunk", "doc_id", "held_out", "text"])
 
     sized = docs.select(F.length("text").alias("size"), "doc_id", "held_out", "text")
-    return written(sized.mapInArrow(number, "chunk long, doc_id long, held_out boolean, text string"), "chunks")
+    return stored(sized.mapInArrow(number, "chunk long, doc_id long, held_out boolean, text string"), "chunks")
 
 
 def _chunk_words(chunks: DataFrame) -> DataFrame:
@@ -411,7 +415,7 @@ def _chunk_events(chunks: DataFrame, order: int) -> DataFrame:
         if now is not None:
             yield done()
 
-    return written(chunks.select("chunk", "held_out", "text").mapInArrow(count, "chunk long, key long, n long"), "chunk_events")
+    return stored(chunks.select("chunk", "held_out", "text").mapInArrow(count, "chunk long, key long, n long"), "chunk_events")
 
 
 def score_corpus(docs: DataFrame, held_out, order: int = 5, min_share: float = 0.0, doc_id: str = "doc_id",
@@ -421,11 +425,18 @@ def score_corpus(docs: DataFrame, held_out, order: int = 5, min_share: float = 0
                        F.coalesce(F.col(text), F.lit("")).alias("text"))
     chunks = _chunked(docs, chunk_chars)
     chunk_events = _chunk_events(chunks, order)
-    logs = event_logs(written(chunk_events.groupBy("key").agg(F.sum("n").alias("n")), "ppm_events"), order, min_share)
+    counted = stored(chunk_events.groupBy("key").agg(F.sum("n").alias("n")), "ppm_events")
+    logs = stored(event_logs(counted, order, min_share), "ppm_logs")
+    dropped(counted)
+    part = F.pmod(F.xxhash64("chunk"), F.lit(PASSES)).cast("int")
+    chunk_logs = stored(chunk_events.select("chunk", "key").join(logs, "key").withColumn("part", part), "chunk_logs", "part")
+    dropped(chunk_events)
+    dropped(logs)
     of_word = Window.partitionBy("word")
-    counted = (_chunk_words(chunks).withColumn("c", F.sum("n").over(of_word))
-               .withColumn("first", F.row_number().over(of_word.orderBy("chunk")) == 1))
-    known_of_chunk = counted.unionByName(chunk_events.select("chunk", "key").join(logs, "key"), allowMissingColumns=True)
+    chunk_words = stored(_chunk_words(chunks).withColumn("c", F.sum("n").over(of_word))
+                         .withColumn("first", F.row_number().over(of_word.orderBy("chunk")) == 1)
+                         .withColumn("part", part), "chunk_words", "part")
+    known_of_chunk = chunk_words.unionByName(chunk_logs, allowMissingColumns=True)
 
     def score(key: tuple, rows: pa.Table, given: pa.Table) -> pa.Table:
         # a word's row has no key, an event's row only a key and a log
@@ -455,7 +466,11 @@ def score_corpus(docs: DataFrame, held_out, order: int = 5, min_share: float = 0
 
     schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, score double, "
               "vocabulary long, trained long")
-    scored = written(chunks.groupBy("chunk").cogroup(known_of_chunk.groupBy("chunk")).applyInArrow(score, schema), "scored")
+    passes = [stored(chunks.where(part == i).groupBy("chunk").cogroup(known_of_chunk.where(F.col("part") == i).drop("part").groupBy("chunk"))
+                     .applyInArrow(score, schema), "scored") for i in range(PASSES)]
+    scored = reduce(DataFrame.unionByName, passes)
+    for df in (chunks, chunk_words, chunk_logs):
+        dropped(df)
     totals = scored.agg(F.sum("vocabulary").alias("v"), F.sum("trained").alias("n")).first()
     n, v = totals.n or 0, totals.v or 0
     base = F.col("log_counts") - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))

@@ -126,3 +126,25 @@ def test_no_limit_on_events_drops_contexts(spark, monkeypatch):
     assert len(model.keys[3]) > 500
     assert model.score([b"the old river", b"unseen"]) == pytest.approx(
         [Brute([t.encode() for t in texts], 3).score(t) for t in (b"the old river", b"unseen")])
+
+
+def test_superseded_tables_are_deleted_and_parts_change_nothing(spark, monkeypatch):
+    """Only the scores stay on the disks."""
+    import os
+
+    from formmart.session import work_dir
+    folder = os.path.join(work_dir(spark).removeprefix("file:"), "formmart", "llm")
+
+    def files():
+        return {(name, f) for name in (os.listdir(folder) if os.path.isdir(folder) else []) if not name.startswith(("scored", "ppm_level"))
+                for _, _, names in os.walk(os.path.join(folder, name)) for f in names if f.endswith(".parquet")}
+
+    docs = odd_docs(spark, [prose(i, 40 + i) for i in range(30)])
+    held_out = split_held_out(F.col("doc_id"), 7, 2)
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.n_tokens, r.score)
+    results, before = [], files()
+    for parts in (1, 3):
+        monkeypatch.setattr("formmart.llm.ppm.PASSES", parts, raising=False)
+        results.append(sorted(score_corpus(docs, held_out, order=4, chunk_chars=1000).collect(), key=key))
+    assert results[0] == results[1] and len(results[0]) == docs.count()
+    assert files() == before
