@@ -454,6 +454,7 @@ def score_corpus(docs: DataFrame, held_out, order: int = 5, min_share: float = 0
             keys, begin = events(run, order)
             unique, where = np.unique(keys, return_inverse=True)
             scores += np.add.reduceat(log[np.searchsorted(event, unique)][where], begin[:-1]).tolist()
+        del known, event, log
         vocabulary = int(np.count_nonzero(given["first"].drop_null().to_numpy() & (given["c"].drop_null().to_numpy() > 0)))
         # the last row has no document, but this chunk's part of the totals
         return pa.table({
