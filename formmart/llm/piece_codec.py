@@ -12,7 +12,7 @@ is unique and so a failed position fails for every path.
 Pieces that merging never reaches are left out, characters without a piece fall
 back to their bytes.  A text is cut where no piece crosses (before runs of the
 blank mark, around line feeds); each distinct segment is encoded once and kept
-in a bounded store.
+in a bounded store, which a worker keeps from task to task.
 
 Edge cases: a null text is empty; the empty text has the end id alone; texts of
 any length are encoded whole (long segments aren't stored); repeated rows are
@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -60,10 +61,15 @@ class PieceModel:
         self.cut_lines = "\n" not in inside
         self.cut_blanks = not any(BLANK in p.lstrip(BLANK) for p in self.id_of)
         self.automaton = ahocorasick.Automaton()
+        self.longer = ahocorasick.Automaton()  # the pieces of two or more characters
         for piece in self.id_of:
             if self.merge(piece) == [piece]:
                 self.automaton.add_word(piece, piece)
+                if len(piece) > 1:
+                    self.longer.add_word(piece, (len(piece) - 1, piece))
         self.automaton.make_automaton()
+        self.longer.make_automaton()
+        self.shown = {i: self.pieces[i].replace(BLANK, " ") for i in normal}
         self.pairs: dict[tuple[str, str], bool] = {}
 
     def merge(self, text: str) -> list[str]:
@@ -108,12 +114,11 @@ class PieceModel:
 
     def backtrack(self, text: str) -> list[str]:
         n = len(text)
-        starts: list[list[str]] = [[] for _ in range(n)]  # pieces by their start, the longest last
-        for end, piece in self.automaton.iter(text):
-            starts[end + 1 - len(piece)].append(piece)
-        for i, found in enumerate(starts):
-            if not found or len(found[0]) > 1:
-                found.insert(0, text[i])
+        starts = [[c] for c in text]  # pieces by their start, the longest last
+        if len(self.longer):
+            for end, (more, piece) in self.longer.iter(text):
+                starts[end - more].append(piece)
+        known, last = self.pairs.get, None
         failed = bytearray(n // 8 + 1)
         out: list[str] = []
         tried: list[int] = []  # which of a position's pieces stands in out
@@ -123,17 +128,19 @@ class PieceModel:
             while k >= 0:
                 token = found[k]
                 end = pos + len(token)
-                if not failed[end >> 3] >> (end & 7) & 1 and (not out or self.compatible(out[-1], token)):
+                if not failed[end >> 3] >> (end & 7) & 1 and (
+                        last is None or known((last, token)) or self.compatible(last, token)):
                     break
                 k -= 1
             if k >= 0:
                 out.append(token)
                 tried.append(k)
-                pos = end
+                pos, last = end, token
                 k = len(starts[pos]) - 1 if pos < n else 0
             else:
                 failed[pos >> 3] |= 1 << (pos & 7)
                 pos -= len(out.pop())
+                last = out[-1] if out else None
                 k = tried.pop() - 1
         return out
 
@@ -223,8 +230,13 @@ class Stored(dict):
     def __missing__(self, segment: str) -> tuple[str, str | None]:
         value = self.old.get(segment)
         if value is None:
-            ids = list(self.model.ids(self.model.tokens(segment)))
-            part = self.model.decode_part(ids)
+            model, tokens = self.model, self.model.tokens(segment)
+            try:
+                ids = [model.id_of[t] for t in tokens]
+                part = "".join([model.shown[i] for i in ids])
+            except KeyError:  # a character without a piece
+                ids = list(model.ids(tokens))
+                part = model.decode_part(ids)
             value = "".join([f" {i}" for i in ids]), part if part == segment.replace(BLANK, " ") else None
         if len(segment) <= MAX_STORED_CHARS:
             if len(self) >= MAX_STORED:
@@ -244,6 +256,12 @@ class Stored(dict):
         return ids, decoded.removeprefix(" ")
 
 
+@lru_cache(maxsize=1)
+def worker_store(model_path: str) -> Stored:
+    """The model and its store, once for all tasks of a Python worker."""
+    return Stored(PieceModel(model_path))
+
+
 def encode_decode(docs: DataFrame, model_path: str, end_id: int, doc_id: str = "doc_id", text: str = "text",
                   with_values: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and, where wanted, ids and decoded."""
@@ -252,8 +270,7 @@ def encode_decode(docs: DataFrame, model_path: str, end_id: int, doc_id: str = "
         schema += ", ids array<int>, decoded string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = PieceModel(model_path)
-        stored = Stored(model)
+        stored = worker_store(model_path)
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         for batch in batches:
             rows = []

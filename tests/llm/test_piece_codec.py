@@ -8,6 +8,7 @@ from helpers import ODD_TEXTS, empty_docs, odd_docs
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from formmart.llm import piece_codec
 from formmart.llm.piece_codec import PieceModel, Stored, encode_decode
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -68,3 +69,17 @@ def test_store_is_bounded(monkeypatch):
 
 def test_empty(spark):
     assert encode_decode(empty_docs(spark), PATH, end_id=2).count() == 0
+
+
+def test_a_worker_keeps_its_store(monkeypatch):
+    loaded = []
+    monkeypatch.setattr(piece_codec, "PieceModel", lambda path: loaded.append(path) or model)
+    piece_codec.worker_store.cache_clear()
+    try:
+        for text in ["the thin \n other", "é😀 the\u0378", "the thin \n other"]:
+            ids, decoded = piece_codec.worker_store(PATH).encode_decode(text)
+            assert list(map(int, ids.split())) == library.encode(text)
+            assert decoded == library.decode(library.encode(text))
+    finally:
+        piece_codec.worker_store.cache_clear()
+    assert loaded == [PATH]
