@@ -43,7 +43,6 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +54,7 @@ END = 256             # the symbol after a text's last byte
 SYMBOLS = 257
 END_WORD = b"\n"      # the base model's end token; no word holds a line feed
 RUN_BYTES = 1 << 20   # bytes of text turned into events at a time
+SCORED_BYTES = 1 << 18  # bytes of text scored at a time
 HELD_EVENTS = 1 << 22  # distinct events that a counting task holds
 JOINED = 3            # orders up to this one are scored by joins of rows
 BUCKET_EVENTS = 1 << 18  # distinct events of the longer orders in one task
@@ -81,12 +81,12 @@ def events(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     return keys, np.concatenate([[0], np.cumsum(sizes + 1)])
 
 
-def _runs(texts: Iterable[bytes]) -> Iterator[list[bytes]]:
+def _runs(texts: Iterable[bytes], most: int = RUN_BYTES) -> Iterator[list[bytes]]:
     run, size = [], 0
     for t in texts:
         run.append(t)
         size += len(t)
-        if size >= RUN_BYTES:
+        if size >= most:
             yield run
             run, size = [], 0
     if run:
@@ -418,6 +418,44 @@ def _chunk_events(chunks: DataFrame, order: int) -> DataFrame:
     return stored(chunks.select("chunk", "held_out", "text").mapInArrow(count, "chunk long, key long, n long"), "chunk_events")
 
 
+def _score_chunk(rows: pa.Table, given: pa.Table, order: int) -> pa.Table:
+    """The scores of a chunk's texts.  ``given``: a word's row has its count as value, an event's its key, and a log.
+
+    Words come first and are freed before the events; each needs arrays of a short run of text alone.
+    """
+    texts = rows["text"].cast(pa.binary()).chunks
+    known: dict[bytes, int] = {}
+    for batch in given.select(["word", "value"]).to_batches():
+        here = batch.filter(batch["word"].is_valid())
+        known.update(zip(here["word"].cast(pa.binary()).to_pylist(), here["value"].to_pylist()))
+    n_tokens, n_known, logs, scores = [], [], [], []
+    for part in texts:
+        for t in part:
+            counts = np.array([known[w] for w in t.as_py().lower().split()] + [known[END_WORD]])  # low_words of bytes
+            n_tokens.append(len(counts))
+            n_known.append(int(np.count_nonzero(counts)))
+            logs.append(float(np.log10(counts + 1.0).sum()))
+    del known, here, batch
+    pa.default_memory_pool().release_unused()
+    event, log = [], []
+    for batch in given.select(["value", "log"]).to_batches():
+        here = batch.filter(batch["log"].is_valid())
+        event.append(here["value"].to_numpy())
+        log.append(here["log"].to_numpy())
+    event, log = np.concatenate(event).view(np.uint64), np.concatenate(log)
+    at = np.argsort(event)
+    event, log = event[at], log[at]
+    for run in _runs((t.as_py() for part in texts for t in part), SCORED_BYTES):
+        keys, begin = events(run, order)
+        unique, where = np.unique(keys, return_inverse=True)
+        scores += np.add.reduceat(log[np.searchsorted(event, unique)][where], begin[:-1]).tolist()
+    out = rows.select(["doc_id", "held_out"])
+    for name, values, kind in (("n_tokens", n_tokens, pa.int64()), ("n_known", n_known, pa.int64()),
+                               ("log_counts", logs, pa.float64()), ("score", scores, pa.float64())):
+        out = out.append_column(name, pa.array(values, kind))
+    return out
+
+
 def score_corpus(docs: DataFrame, held_out, order: int = 5, min_share: float = 0.0, doc_id: str = "doc_id",
                  text: str = "text", chunk_chars: int = 24_000_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
@@ -436,44 +474,21 @@ def score_corpus(docs: DataFrame, held_out, order: int = 5, min_share: float = 0
     chunk_words = stored(_chunk_words(chunks).withColumn("c", F.sum("n").over(of_word))
                          .withColumn("first", F.row_number().over(of_word.orderBy("chunk")) == 1)
                          .withColumn("part", part), "chunk_words", "part")
-    known_of_chunk = chunk_words.unionByName(chunk_logs, allowMissingColumns=True)
+    totals = chunk_words.agg(F.count_if(F.col("first") & (F.col("c") > 0)).alias("v"), F.sum("n").alias("n")).first()
+    n, v = totals.n or 0, totals.v or 0
+    known_of_chunk = (chunk_words.select("chunk", "word", F.col("c").alias("value"), F.lit(None).cast("double").alias("log"), "part")
+                      .unionByName(chunk_logs.select("chunk", F.lit(None).cast("string").alias("word"), F.col("key").alias("value"),
+                                                     "log", "part")))
 
     def score(key: tuple, rows: pa.Table, given: pa.Table) -> pa.Table:
-        # a word's row has no key, an event's row only a key and a log
-        known = dict(zip(given["word"].drop_null().cast(pa.binary()).to_pylist(), given["c"].drop_null().to_pylist()))
-        event, log = given["key"].drop_null().to_numpy().view(np.uint64), given["log"].drop_null().to_numpy()
-        at = np.argsort(event)
-        event, log = event[at], log[at]
-        n_tokens, n_known, logs, scores = [], [], [], []
-        for run in _runs(t.as_py() for t in rows["text"].cast(pa.binary())):
-            for t in run:
-                counts = np.array([known[w] for w in t.lower().split()] + [known[END_WORD]])  # low_words of bytes
-                n_tokens.append(len(counts))
-                n_known.append(int(np.count_nonzero(counts)))
-                logs.append(float(np.log10(counts + 1.0).sum()))
-            keys, begin = events(run, order)
-            unique, where = np.unique(keys, return_inverse=True)
-            scores += np.add.reduceat(log[np.searchsorted(event, unique)][where], begin[:-1]).tolist()
-        del known, event, log
-        vocabulary = int(np.count_nonzero(given["first"].drop_null().to_numpy() & (given["c"].drop_null().to_numpy() > 0)))
-        # the last row has no document, but this chunk's part of the totals
-        return pa.table({
-            "doc_id": pa.concat_arrays([rows["doc_id"].combine_chunks(), pa.array([None], pa.int64())]),
-            "held_out": pa.array(rows["held_out"].to_pylist() + [None], pa.bool_()),
-            "n_tokens": pa.array(n_tokens + [0], pa.int64()), "n_known": pa.array(n_known + [0], pa.int64()),
-            "log_counts": pa.array(logs + [0.0]), "score": pa.array(scores + [0.0]),
-            "vocabulary": pa.array([0] * len(scores) + [vocabulary], pa.int64()),
-            "trained": pa.array([0] * len(scores) + [pc.sum(given["n"]).as_py()], pa.int64())})
-
-    schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, score double, "
-              "vocabulary long, trained long")
+        return _score_chunk(rows, given, order)
+
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, score double"
     passes = [stored(chunks.where(part == i).groupBy("chunk").cogroup(known_of_chunk.where(F.col("part") == i).drop("part").groupBy("chunk"))
                      .applyInArrow(score, schema), "scored") for i in range(PASSES)]
     scored = reduce(DataFrame.unionByName, passes)
     for df in (chunks, chunk_words, chunk_logs):
         dropped(df)
-    totals = scored.agg(F.sum("vocabulary").alias("v"), F.sum("trained").alias("n")).first()
-    n, v = totals.n or 0, totals.v or 0
     base = F.col("log_counts") - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))
-    return scored.where("n_tokens > 0").select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
-                                               base.alias("base_score"), "score")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
+                         base.alias("base_score"), "score")

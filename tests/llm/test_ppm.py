@@ -148,3 +148,34 @@ def test_superseded_tables_are_deleted_and_parts_change_nothing(spark, monkeypat
         results.append(sorted(score_corpus(docs, held_out, order=4, chunk_chars=1000).collect(), key=key))
     assert results[0] == results[1] and len(results[0]) == docs.count()
     assert files() == before
+
+
+def test_a_chunk_is_scored_in_short_runs():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from formmart.llm.ppm import _score_chunk, events
+
+    texts = [prose(i, 200) for i in range(20)] * 200 + ["", "Zz"]
+    counts = Counter(w for t in texts for w in low_words(t)) + Counter({"\n": len(texts)})
+    keys = np.unique(events([t.encode() for t in texts[-22:]], 5)[0])
+    log = {int(k): -float(i % 7 + 1) for i, k in enumerate(keys)}
+    given = pa.table({"word": [*counts, *[None] * len(log)],
+                      "value": pa.array([*counts.values(), *keys.view(np.int64).tolist()], pa.int64()),
+                      "log": pa.array([None] * len(counts) + list(log.values()), pa.float64())})
+    rows = pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "held_out": [False] * len(texts), "text": texts})
+    assert rows.nbytes > 3 << 20
+    tracemalloc.start()
+    try:
+        out = _score_chunk(rows, given, 5).to_pylist()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 40 << 20  # runs of a megabyte alone take 57 MB
+    for i in [0, 19, 4000, 4001]:
+        c = [counts[w] for w in [*low_words(texts[i]), "\n"]]
+        assert (out[i]["doc_id"], out[i]["n_tokens"], out[i]["n_known"]) == (i, len(c), len(c))
+        assert out[i]["log_counts"] == pytest.approx(sum(math.log10(x + 1) for x in c))
+        assert out[i]["score"] == pytest.approx(sum(log[int(k)] for k in events([texts[i].encode()], 5)[0]))
