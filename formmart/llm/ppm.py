@@ -28,6 +28,8 @@ than that share of all symbols, for callers who ask for it.)
 The base score is a unigram model of words with add-one smoothing, over counts
 of all training texts.  Each chunk sends each of its distinct words once and
 gets back the word's count.  No word list is ever held for the whole corpus.
+Words are split, counted and looked up in Arrow columns of about ``WORD_BYTES``
+of text, without an object for each word.
 
 Edge cases: a null text is empty and consists of its end; without training texts
 all symbols are equally likely; a null doc_id counts as empty text for the fold;
@@ -37,24 +39,26 @@ by row; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from formmart.llm.common import dropped, low_words, stored, written
+from formmart.llm.common import dropped, stored, written
 
 END = 256             # the symbol after a text's last byte
 SYMBOLS = 257
 END_WORD = b"\n"      # the base model's end token; no word holds a line feed
 RUN_BYTES = 1 << 20   # bytes of text turned into events at a time
 SCORED_BYTES = 1 << 18  # bytes of text scored at a time
+WORD_BYTES = 1 << 22  # bytes of text split into words at a time
+HELD_WORDS = 1 << 20  # distinct words of runs that a counting task holds
 HELD_EVENTS = 1 << 22  # distinct events that a counting task holds
 JOINED = 3            # orders up to this one are scored by joins of rows
 BUCKET_EVENTS = 1 << 18  # distinct events of the longer orders in one task
@@ -346,32 +350,62 @@ def _chunked(docs: DataFrame, chunk_chars: int) -> DataFrame:
     return stored(sized.mapInArrow(number, "chunk long, doc_id long, held_out boolean, text string"), "chunks")
 
 
+def _word_runs(texts: pa.Array) -> Iterator[tuple[int, int, pa.Array, np.ndarray]]:
+    """Ranges of texts of about WORD_BYTES, their words as in ``low_words`` one after another, and each text's number of words."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
+    begin = 0
+    while begin < len(texts):
+        done = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, done + WORD_BYTES, side="right")))
+        split = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(texts.slice(begin, end - begin))))
+        words, n = split.flatten(), pc.list_value_length(split).to_numpy().astype(np.int64)
+        alone = np.flatnonzero(n == 1)  # a text without words is split into one empty word
+        empty = alone[pc.equal(words.take((np.cumsum(n) - n)[alone]), "").to_numpy(zero_copy_only=False)]
+        if len(empty):
+            n[empty] = 0
+            words = words.filter(pc.not_equal(words, ""))
+        yield begin, end, words, n
+        begin = end
+
+
+def _words_summed(held: list[tuple[pa.Array, np.ndarray]]) -> tuple[pa.Array, np.ndarray]:
+    """Distinct words and the sums of their counts."""
+    words, n = pa.concat_arrays([w for w, _ in held]).dictionary_encode(), np.concatenate([n for _, n in held])
+    out = np.zeros(len(words.dictionary), np.int64)
+    np.add.at(out, words.indices.to_numpy(), n)
+    return words.dictionary, out
+
+
 def _chunk_words(chunks: DataFrame) -> DataFrame:
     """(chunk, word, n): the distinct words of each chunk, and how often its training texts have them."""
     schema = pa.schema([("chunk", pa.int64()), ("word", pa.string()), ("n", pa.int64())])
+    end_word = pa.array([END_WORD.decode()], pa.string())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, trained, other = None, Counter(), set()
+        now, held = None, []
 
         def done() -> pa.RecordBatch:
-            rest = list(other - trained.keys())
-            words = list(trained) + rest
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(words), now)), pa.array(words, pa.binary()).cast(pa.string()),
-                 pa.array(list(trained.values()) + [0] * len(rest), pa.int64())], schema=schema)
+            words, n = _words_summed(held)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(words), now)), words, pa.array(n)], schema=schema)
 
         for batch in batches:
-            for chunk, held_out, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if chunk != now:
+            numbers = batch["chunk"].to_numpy()
+            trains = ~batch["held_out"].fill_null(False).to_numpy(zero_copy_only=False)
+            texts = batch["text"].cast(pa.string())
+            first = np.flatnonzero(np.diff(numbers, prepend=numbers[:1] - 1))  # rows of a chunk lie together
+            for at, to in zip(first, np.append(first[1:], len(numbers))):
+                if numbers[at] != now:
                     if now is not None:
                         yield done()
-                    now, trained, other = chunk, Counter(), set()
-                if held_out:
-                    other.update(low_words(text))
-                    other.add(END_WORD)
-                else:
-                    trained.update(low_words(text))
-                    trained[END_WORD] += 1
+                    now = numbers[at]
+                for begin, end, words, n in _word_runs(texts.slice(at, to - at)):
+                    own = trains[at + begin:at + end]
+                    coded = words.dictionary_encode()
+                    counts = np.bincount(coded.indices.to_numpy()[np.repeat(own, n)], minlength=len(coded.dictionary))
+                    held += [(coded.dictionary, counts.astype(np.int64)), (end_word, np.array([own.sum()], np.int64))]
+                    if sum(len(w) for w, _ in held) > max(HELD_WORDS, 2 * len(held[0][0])):
+                        held[:] = [_words_summed(held)]
         if now is not None:
             yield done()
 
@@ -418,25 +452,39 @@ def _chunk_events(chunks: DataFrame, order: int) -> DataFrame:
     return stored(chunks.select("chunk", "held_out", "text").mapInArrow(count, "chunk long, key long, n long"), "chunk_events")
 
 
+def _base_sums(texts: pa.ChunkedArray, given: pa.Table) -> tuple[list[int], list[int], list[float]]:
+    """Each text's tokens, its known ones, and the sum of log10(count + 1) over them."""
+    words, counts = [], []
+    for batch in given.select(["word", "value"]).to_batches():
+        here = batch.filter(batch["word"].is_valid())
+        words.append(here["word"].cast(pa.string()))
+        counts.append(here["value"].to_numpy())
+    words, counts = pa.concat_arrays(words), np.concatenate(counts)
+    log_counts = np.log10(counts + 1.0)
+    end_word = pc.index(words, END_WORD.decode()).as_py()
+    n_tokens, n_known, logs = [], [], []
+    for part in texts.cast(pa.string()).chunks:
+        for _, _, run, n in _word_runs(part):
+            last = np.cumsum(n)
+            at = np.insert(pc.index_in(run, value_set=words).to_numpy(), last, end_word)
+            last += np.arange(1, len(n) + 1)
+            first = last - n - 1
+            n_tokens += (n + 1).tolist()
+            n_known += np.add.reduceat(counts[at] > 0, first, dtype=np.int64).tolist()
+            log = log_counts[at]
+            logs += [float(log[b:e].sum()) for b, e in zip(first.tolist(), last.tolist())]
+    return n_tokens, n_known, logs
+
+
 def _score_chunk(rows: pa.Table, given: pa.Table, order: int) -> pa.Table:
     """The scores of a chunk's texts.  ``given``: a word's row has its count as value, an event's its key, and a log.
 
     Words come first and are freed before the events; each needs arrays of a short run of text alone.
     """
-    texts = rows["text"].cast(pa.binary()).chunks
-    known: dict[bytes, int] = {}
-    for batch in given.select(["word", "value"]).to_batches():
-        here = batch.filter(batch["word"].is_valid())
-        known.update(zip(here["word"].cast(pa.binary()).to_pylist(), here["value"].to_pylist()))
-    n_tokens, n_known, logs, scores = [], [], [], []
-    for part in texts:
-        for t in part:
-            counts = np.array([known[w] for w in t.as_py().lower().split()] + [known[END_WORD]])  # low_words of bytes
-            n_tokens.append(len(counts))
-            n_known.append(int(np.count_nonzero(counts)))
-            logs.append(float(np.log10(counts + 1.0).sum()))
-    del known, here, batch
+    n_tokens, n_known, logs = _base_sums(rows["text"], given)
+    scores = []
     pa.default_memory_pool().release_unused()
+    texts = rows["text"].cast(pa.binary()).chunks
     event, log = [], []
     for batch in given.select(["value", "log"]).to_batches():
         here = batch.filter(batch["log"].is_valid())
@@ -445,6 +493,7 @@ def _score_chunk(rows: pa.Table, given: pa.Table, order: int) -> pa.Table:
     event, log = np.concatenate(event).view(np.uint64), np.concatenate(log)
     at = np.argsort(event)
     event, log = event[at], log[at]
+    del at
     for run in _runs((t.as_py() for part in texts for t in part), SCORED_BYTES):
         keys, begin = events(run, order)
         unique, where = np.unique(keys, return_inverse=True)

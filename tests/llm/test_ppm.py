@@ -179,3 +179,35 @@ def test_a_chunk_is_scored_in_short_runs():
         assert (out[i]["doc_id"], out[i]["n_tokens"], out[i]["n_known"]) == (i, len(c), len(c))
         assert out[i]["log_counts"] == pytest.approx(sum(math.log10(x + 1) for x in c))
         assert out[i]["score"] == pytest.approx(sum(log[int(k)] for k in events([texts[i].encode()], 5)[0]))
+
+
+def test_words_are_split_and_counted_by_columns(monkeypatch):
+    """Runs of words equal the words of each text, and a chunk's words are told without an object for each."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from formmart.llm.ppm import _base_sums, _word_runs
+
+    monkeypatch.setattr("formmart.llm.ppm.WORD_BYTES", 40)
+    texts = ["", " a\x0b\x0c B\tc\n\r ", "  ", "\u00dcn\u00ef x y\x85z  q", "\x1c\x1dA\x1f b", "one " * 30, "\x00 a\x00b", "\u0130I", "\n"]
+    runs = [(begin, end, [w.encode() for w in words.to_pylist()], n.tolist()) for begin, end, words, n in _word_runs(pa.array(texts))]
+    assert len(runs) == 3 and [r[0] for r in runs] == [0, *[r[1] for r in runs[:-1]]] and runs[-1][1] == len(texts)
+    split = [t.encode().lower().split() for t in texts]
+    assert [w for r in runs for w in r[2]] == sum(split, [])
+    assert [k for r in runs for k in r[3]] == [len(ws) for ws in split]
+
+    monkeypatch.undo()
+    words = [f"w{i}" for i in range(200_000)]
+    given = pa.table({"word": ["\n", *words, None], "value": pa.array([2, *[i % 3 for i in range(200_000)], 7], pa.int64())})
+    column = pa.chunked_array([pa.array([" ".join(words[:100_000])]), pa.array([" ".join(words[100_000:])])])
+    tracemalloc.start()
+    try:
+        n_tokens, n_known, logs = _base_sums(column, given)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n_tokens == [100_001] * 2 and n_known == [66_667, 66_668]
+    assert logs == pytest.approx([sum(math.log10(i % 3 + 1) for i in at) + math.log10(3) for at in (range(100_000), range(100_000, 200_000))])
+    assert peak < 12 << 20  # a dictionary of the words alone takes 25 MB
