@@ -29,3 +29,15 @@ def test_jaccard_join(spark, left_behind):
     joined = jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), size=3, percent=50)
     assert not left_behind()
     assert {r.component_id for r in joined.collect()} == {0}
+
+
+def test_op2(spark, left_behind, tmp_path):
+    from formmart.llm.q_docs import op2_ngram_jaccard_join
+
+    text = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen"
+    rows = [(1, text), (2, f"{text} {text}"), (3, f"{text} {text} {text}"), (4, "something else that has nothing in common")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    before = left_behind()
+    joined = op2_ngram_jaccard_join(spark, str(tmp_path))
+    assert left_behind() == before
+    assert {r.doc_id: r.component_id for r in joined.collect()} == {1: 1, 2: 2, 3: 2, 4: 4}
