@@ -23,6 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from formmart.session import shuffles_deleted
 from formmart.sources.tables import bucketed_table
 
 DEFAULT_CHUNK_ROWS = 1 << 20
@@ -73,7 +74,8 @@ def rank_rows(df: DataFrame, entity, date_col: str, tie_cols: Sequence[str], ran
 
 def largest_entity(df: DataFrame, keys: Sequence[str]) -> int:
     """Event count of the biggest entity (map-side partial counts, tiny result)."""
-    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_fm_n")).agg(F.max("_fm_n")).first()[0]
+    with shuffles_deleted(df.sparkSession):
+        n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_fm_n")).agg(F.max("_fm_n")).first()[0]
     return int(n or 0)
 
 

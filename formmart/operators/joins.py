@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from formmart.session import shuffles_deleted
+
 _ROWS: dict[tuple, int] = {}
 _LOCK = threading.Lock()
 
@@ -43,7 +45,8 @@ def measured_rows(df: DataFrame) -> int:
     with _LOCK:
         if key in _ROWS:
             return _ROWS[key]
-    n = df.count()
+    with shuffles_deleted(df.sparkSession):
+        n = df.count()
     with _LOCK:
         _ROWS[key] = n
     return n
@@ -65,7 +68,9 @@ def hot_keys(df: DataFrame, keys, max_rows: int = 1 << 20) -> DataFrame | None:
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_fm_rows"))
-    if (per_key.agg(F.max("_fm_rows")).first()[0] or 0) <= max_rows:
+    with shuffles_deleted(df.sparkSession):
+        most = per_key.agg(F.max("_fm_rows")).first()[0] or 0
+    if most <= max_rows:
         return None
     return per_key.where(F.col("_fm_rows") > max_rows).select(
         *keys, F.ceil(F.col("_fm_rows") / max_rows).cast("int").alias("_fm_salts"))

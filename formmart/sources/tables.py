@@ -14,7 +14,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from formmart.session import scratch_path
+from formmart.session import compact_tables, scratch_path
 
 CURRENT = "CURRENT"
 
@@ -29,7 +29,8 @@ def bucketed_table(df: DataFrame, name: str, key: str, buckets: int, sort: bool
     path = scratch_path(spark, "tables", name)
     table = f"fm_{name}_{path.rsplit('/', 1)[1]}"
     writer = df.write.bucketBy(buckets, key)
-    (writer.sortBy(key) if sort else writer).option("path", path).format("parquet").saveAsTable(table)
+    with compact_tables(spark):
+        (writer.sortBy(key) if sort else writer).option("path", path).format("parquet").saveAsTable(table)
     return spark.table(table)
 
 
@@ -72,7 +73,8 @@ class VersionedTable:
         """Make ``df`` the table's content (it may read the table itself); returns a scan of it."""
         last = max([int(v[1:].split("-")[0]) for v in self.versions()], default=0)
         version = f"v{last + 1:012d}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(f"{self.path}/{version}")
+        with compact_tables(self.spark):
+            df.write.parquet(f"{self.path}/{version}")
         self._publish(version)
         self._collect()
         return self.read()

@@ -1,5 +1,9 @@
 """A job that writes a table leaves no shuffle files behind: they would lie on the disks until the driver collects its garbage."""
 
+import datetime
+import glob
+import os
+
 import pytest
 
 
@@ -41,3 +45,39 @@ def test_op2(spark, left_behind, tmp_path):
     joined = op2_ngram_jaccard_join(spark, str(tmp_path))
     assert left_behind() == before
     assert {r.doc_id: r.component_id for r in joined.collect()} == {1: 1, 2: 2, 3: 2, 4: 4}
+
+
+@pytest.fixture
+def made(spark, tmp_path):
+    """Driver tables of 40 games of six teams, four lineitems each."""
+    tables = {
+        "region": [("r_regionkey int, r_name string"), [(0, "WEST")]],
+        "nation": [("n_nationkey int, n_name string, n_regionkey int"), [(0, "PERU", 0)]],
+        "supplier": [("s_suppkey bigint, s_name string, s_nationkey int"), [(k, f"Team {k}", 0) for k in range(6)]],
+        "part": [("p_partkey bigint, p_name string, p_size int"), [(k, f"big part {k}", k) for k in range(8)]],
+        "orders": [("o_orderkey bigint, o_orderdate date"), [(k, datetime.date(2020, 1, 1) + datetime.timedelta(k)) for k in range(40)]],
+        "lineitem": [("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_discount double, "
+                      "l_tax double"), [(k, (k + i) % 8, (k + i % 2) % 6, i + 1, float(k % 7 + i), 0.25, 0.5) for k in range(40) for i in range(4)]]}
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def codecs(spark, path):
+    """What the column chunks of a folder's Parquet files are packed with."""
+    import pyarrow.parquet as pq
+
+    files = glob.glob(f"{path}/**/*.parquet", recursive=True)
+    metas = [pq.ParquetFile(f).metadata for f in files]
+    return {m.row_group(g).column(c).compression for m in metas for g in range(m.num_row_groups) for c in range(m.num_columns)}
+
+
+def test_std_player_games(spark, left_behind, made):
+    from formmart.plans import q_standardize as Q
+
+    before = left_behind()
+    std = Q.q_std_player_games(spark, made)
+    assert left_behind() == before
+    raw = Q.raw_player_games(spark, made)
+    assert codecs(spark, os.path.dirname(raw.inputFiles()[0].removeprefix("file://"))) == {"ZSTD"}
+    assert sorted(map(str, std.collect())) == sorted(map(str, Q._tables(spark, made).player_games.select(std.columns).collect()))
