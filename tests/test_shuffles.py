@@ -81,3 +81,28 @@ def test_std_player_games(spark, left_behind, made):
     raw = Q.raw_player_games(spark, made)
     assert codecs(spark, os.path.dirname(raw.inputFiles()[0].removeprefix("file://"))) == {"ZSTD"}
     assert sorted(map(str, std.collect())) == sorted(map(str, Q._tables(spark, made).player_games.select(std.columns).collect()))
+
+
+def test_csv_to_dataset(spark, left_behind, made):
+    from formmart.plans import q_standardize as Q
+    from formmart.plans.fixture_mart import mart_for
+    from formmart.session import work_dir
+
+    exports = f"{work_dir(spark).removeprefix('file:')}/formmart/csv/exports/*"
+    mart_for(spark, made)
+    there, before = set(glob.glob(exports)), left_behind()
+    out = Q.q_csv_to_dataset(spark, made)
+    assert set(glob.glob(exports)) == there  # read once, then deleted
+    assert left_behind() == before
+    want = mart_for(spark, made).training_dataset_enriched()
+    assert out.count() == want.count() > 0
+
+
+def test_exports_are_packed_and_read_back_whole(spark, tmp_path):
+    from formmart.sources import csv as CSV
+
+    rows = [(str(i), None if i % 3 else f'say "{i}", twice') for i in range(2000)]
+    path = CSV.write_raw_csv(spark.createDataFrame(rows, "a string, b string").repartition(3), f"{tmp_path}/x")
+    files = [f for f in os.listdir(path) if not f.startswith((".", "_"))]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    assert sorted((r.a, r.b) for r in CSV.read_raw_csv(spark, path).collect()) == sorted(rows, key=lambda r: r[0])
